@@ -81,6 +81,6 @@ def snapshot_enrich(events: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def pattern_rules(spark, rules: list[tuple[str, str]]) -> DataFrame:
-    """Rules ``(first, second)`` named ``Rule_1``, ``Rule_2``... in arrival order."""
-    return spark.createDataFrame([(f"Rule_{i}", a, b) for i, (a, b) in enumerate(rules, start=1)],
+    """Rules ``(first, second)`` named ``Rule_0``, ``Rule_1``... in arrival order."""
+    return spark.createDataFrame([(f"Rule_{i}", a, b) for i, (a, b) in enumerate(rules)],
                                  "rule string, first string, second string")

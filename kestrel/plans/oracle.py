@@ -285,7 +285,7 @@ ORACLE["state_flag_timer"] = _FLAG + " AND ts <= prev_ts + INTERVAL 3600 SECOND"
 
 
 def _pattern(rules: list[tuple[str, str]]) -> str:
-    values = ", ".join(f"('Rule_{i}', '{a}', '{b}')" for i, (a, b) in enumerate(rules, start=1))
+    values = ", ".join(f"('Rule_{i}', '{a}', '{b}')" for i, (a, b) in enumerate(rules))
     # Each item of the first shape matches the next item of the second shape after it.
     return f"""WITH rules(rule, first, second) AS (VALUES {values}),
 f AS (SELECT r.rule, e.user_id, e.event_id AS seq FROM events e JOIN rules r ON e.event_type = r.first),
