@@ -341,3 +341,8 @@ FROM (SELECT concat_ws(',', event_type, CAST(floor(value) AS INTEGER)) AS v FROM
 ORACLE["sink_keyed_upsert"] = """SELECT CAST(user_id AS VARCHAR) AS rowkey, max(event_id) AS id,
   arg_max(event_type, event_id) AS name
 FROM events GROUP BY user_id"""
+
+ORACLE["src_events"] = with_(PERSON, AUCTION, BID) + """SELECT 0 AS event_type, count(*) AS events,
+  max(dateTime) AS last_time FROM person
+UNION ALL SELECT 1, count(*), max(dateTime) FROM auction
+UNION ALL SELECT 2, count(*), max(dateTime) FROM bid"""

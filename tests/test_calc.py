@@ -63,3 +63,14 @@ def test_threshold_and_cos_cbrt(spark):
     assert [r.id for r in calc.threshold_filter(df, "score", 101).orderBy("id").collect()] == [2, 3]
     v = calc.number_crunch(spark.range(1, 9), "id").collect()
     assert abs(v[7].value - __import__("math").cos(2.0)) < 1e-12
+
+
+def test_nested_event_views_equal_flat_entities(spark):
+    from kestrel.sources import auction as V
+    from kestrel.sources import fixtures as X
+    d = "/root/testdata/sf0.001"
+    ev = X.events_table(spark, d)
+    for view, flat in ((V.bid_view, X.bids), (V.auction_view, X.auctions), (V.person_view, X.persons)):
+        a, b = view(ev), flat(spark, d)
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
