@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kestrel.operators import windows
@@ -86,6 +87,90 @@ def count_tumble(cars: DataFrame, key: str, size: int) -> DataFrame:
     return cars.groupBy(key).transformWithStateInPandas(proc, stateful.COUNT_OUTPUT, "Append", "None")
 
 
+def with_ingest_time(df: DataFrame, col: str = "p_time") -> DataFrame:
+    """Processing time as a column (``PROCTIME()``): constant within a micro-batch."""
+    return df.withColumn(col, F.current_timestamp())
+
+
+def per_event_watermark(df: DataFrame, col: str = "p_time") -> DataFrame:
+    """Watermark that follows the wall clock per batch (ingest time, no delay)."""
+    return with_ingest_time(df, col).withWatermark(col, "0 seconds")
+
+
+def top_k(bids: DataFrame, keys: list[str], k: int, order: list[str], ascending: list[bool],
+          state_schema: str, rank_col: str | None = "rank_number") -> DataFrame:
+    """Stateful top-k per key (row_number is refused on streams). Output mode Update."""
+    cols = [f.name for f in bids.schema.fields]
+    out = T.StructType(bids.schema.fields + ([T.StructField(rank_col, T.LongType())] if rank_col else []))
+    proc = stateful.TopKProcessor(k, cols, order, ascending, state_schema, rank_col)
+    return bids.groupBy(*keys).transformWithStateInPandas(proc, out, "Update", "None")
+
+
+def two_step_pattern(items: DataFrame, rules: list[tuple[str, str]], key: str, seq: str, shape: str) -> DataFrame:
+    """Stateful pattern matcher for a fixed rule list (named ``Rule_0``...)."""
+    named = [(f"Rule_{i}", a, b) for i, (a, b) in enumerate(rules)]
+    out = T.StructType([T.StructField("rule", T.StringType()), T.StructField(key, items.schema[key].dataType),
+                        T.StructField("first_seq", T.LongType()), T.StructField("second_seq", T.LongType())])
+    proc = stateful.PatternProcessor(named, key, shape, seq)
+    return (items.select(key, seq, shape).groupBy(key)
+            .transformWithStateInPandas(proc, out, "Append", "None"))
+
+
+def punctuated_late_batches(store: str, seq: str, time: str, id_col: str, marker, delay_seconds: int, sink):
+    """``foreachBatch`` form of the punctuated watermark: late rows of each batch, with
+    the watermark carried between batches in a one-row table under ``store`` (written
+    per batch id, so a retried batch reads the same starting value)."""
+    from kestrel.operators import prefix as P
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        start = None
+        if batch_id > 0:
+            start = spark.read.parquet(f"{store}/b={batch_id - 1}").first()["watermark"]
+        mark = F.when(F.col(id_col) == marker, F.timestamp_add("SECOND", F.lit(-delay_seconds), F.col(time)))
+        x = P.prefix(batch, [], [seq], mark, "max", "watermark", False)
+        if start is not None:
+            x = x.withColumn("watermark", F.greatest(F.col("watermark"), F.lit(start)))
+        late = x.where(F.col(time) <= F.col("watermark"))
+        sink(late, batch_id)
+        end = batch.agg(F.max(mark).alias("m")).first()["m"]
+        wm = max([v for v in (start, end) if v is not None], default=None)
+        spark.createDataFrame([(wm,)], f"watermark {batch.schema[time].dataType.simpleString()}") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{store}/b={batch_id}")
+    return run
+
+
+def avg_of_max_batches(load_auctions, store: str, sink):
+    """``foreachBatch`` form of q4 (an aggregate of an aggregate is refused on streams):
+    per batch, join the new bids to the open auctions, merge the per-auction maxima into
+    the snapshot kept under ``store`` (version = batch id), recompute category averages."""
+    from kestrel.functions import scalar as S
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        a = load_auctions()
+        j = a.join(batch.select("auction", "price", F.col("dateTime").alias("bid_dateTime")),
+                   (a.id == F.col("auction")) & F.col("bid_dateTime").between(a.dateTime, a.expires))
+        fresh = j.groupBy("id", "category").agg(F.max("price").alias("final"))
+        if batch_id > 0:
+            old = spark.read.parquet(f"{store}/v={batch_id - 1}")
+            fresh = old.unionByName(fresh).groupBy("id", "category").agg(F.max("final").alias("final"))
+        fresh.write.mode("overwrite").parquet(f"{store}/v={batch_id}")
+        snap = spark.read.parquet(f"{store}/v={batch_id}")
+        sink(snap.groupBy("category").agg(S.int_avg("final").alias("final"))
+             .select(F.col("category").alias("id"), "final"), batch_id)
+    return run
+
+
+def keyed_upsert_batches(store: str, key: str, seq: str, cols: list[str]):
+    """``foreachBatch`` keyed upsert: each batch writes snapshot version ``batch_id``."""
+    from kestrel.sources import sinks
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sinks.upsert_snapshot(batch.sparkSession, batch, store, key, seq, cols, batch_id)
+    return run
+
+
 def snapshot_enrich_batches(load_dim, sink):
     """``foreachBatch`` form of snapshot enrichment: the dimension is re-read for every
     micro-batch (the reference polls its table every 5 s) and joined as of event time."""

@@ -103,3 +103,73 @@ class CountWindowProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class TopKProcessor(StatefulProcessor):
+    """Top ``k`` rows per key (q19; q18 is k = 1 ordered by time descending).
+
+    State: the current top rows of the key. Each micro-batch merges them with the new
+    rows, keeps ``k`` and emits the key's new top list with ranks (output mode Update:
+    the latest list of a key is its answer).
+    """
+
+    def __init__(self, k: int, columns: list[str], order: list[str], ascending: list[bool],
+                 state_schema: str, rank_col: str | None = "rank_number"):
+        self.k, self.columns, self.order, self.ascending = k, columns, order, ascending
+        self.state_schema, self.rank_col = state_schema, rank_col
+
+    def init(self, handle) -> None:
+        self.top = handle.getListState("top", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = pd.concat(list(rows), ignore_index=True)[self.columns]
+        old = pd.DataFrame(list(self.top.get()), columns=self.columns) if self.top.exists() else None
+        allrows = new if old is None or old.empty else pd.concat([old, new], ignore_index=True)
+        best = allrows.sort_values(self.order, ascending=self.ascending, kind="stable").head(self.k)
+        best = best.reset_index(drop=True)
+        self.top.put([tuple(r) for r in best.itertuples(index=False)])
+        if self.rank_col:
+            best[self.rank_col] = np.arange(1, len(best) + 1, dtype="int64")
+        yield best
+
+    def close(self) -> None:
+        pass
+
+
+class PatternProcessor(StatefulProcessor):
+    """Two-step shape pattern per key for a fixed rule list ``[(name, first, second)]``.
+
+    State: pending first items per rule. In a batch (rows in ``seq`` order) every first
+    item — pending ones before all new rows — matches the next second item after it
+    (``searchsorted``); unmatched ones stay pending. Same as the batch form.
+    """
+
+    def __init__(self, rules: list[tuple[str, str, str]], key: str, shape: str = "shape", seq: str = "seq"):
+        self.rules, self.key, self.shape, self.seq = rules, key, shape, seq
+
+    def init(self, handle) -> None:
+        self.pending = handle.getListState("pending", "rule string, seq long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.seq, kind="stable")
+        shapes, seqs = batch[self.shape].to_numpy(), batch[self.seq].to_numpy(dtype="int64")
+        old = list(self.pending.get()) if self.pending.exists() else []
+        out, keep = [], []
+        for name, first, second in self.rules:
+            waiting = np.array([s for r, s in old if r == name], dtype="int64")
+            firsts = np.concatenate([waiting, seqs[shapes == first]])
+            seconds = seqs[shapes == second]
+            # a pending item precedes every new row; new firsts look strictly after themselves
+            pos = np.concatenate([np.zeros(len(waiting), dtype="int64"),
+                                  np.searchsorted(seconds, seqs[shapes == first], side="right")])
+            hit = pos < len(seconds)
+            out += [(name, f, int(seconds[p])) for f, p in zip(firsts[hit], pos[hit])]
+            keep += [(name, int(f)) for f in firsts[~hit]]
+        self.pending.put(keep) if keep else self.pending.clear()
+        k = key[0]
+        yield pd.DataFrame({"rule": [r for r, _, _ in out], self.key: [k] * len(out),
+                            "first_seq": np.array([f for _, f, _ in out], dtype="int64"),
+                            "second_seq": np.array([s for _, _, s in out], dtype="int64")})
+
+    def close(self) -> None:
+        pass
