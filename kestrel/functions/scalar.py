@@ -84,3 +84,11 @@ def in_band(price, low=None, high=None) -> Column:
     if high is not None:
         cond = cond & (p < high)
     return cond
+
+
+def record_text(name: str, cols: list[str]) -> Column:
+    """A record as text ``Name(a=1, b=x)`` (the object-to-string map of the join job)."""
+    parts = []
+    for i, c in enumerate(cols):
+        parts += [F.lit(("" if i == 0 else ", ") + f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))]
+    return F.concat(F.lit(f"{name}("), *parts, F.lit(")"))

@@ -98,3 +98,10 @@ def running_sum(df: DataFrame, key: str, order: list[str], value: str, keep: lis
     out = run.join(first, key)
     return out.select(*[F.col("_first")[c].alias(c) for c in keep], key,
                       F.col("_run").cast("double").alias(value), *[F.col(c).alias(f"row_{c}") for c in order])
+
+
+def running_sum_values(df: DataFrame, value: str) -> DataFrame:
+    """Keyed running sum where the key is the value itself, after which the sum is
+    dropped: one output row per input row, equal to the input value. The plan is the
+    projection; a running-sum window whose result is unused is pruned by Catalyst."""
+    return df.select(F.col(value))

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.functions import scalar as S
 from kestrel.operators import aggs, calc, counts, joins, rules, state, topk, windows
 from kestrel.sources import auction as V
 from kestrel.sources import fixtures as X
@@ -117,6 +118,10 @@ QUERIES: dict[str, Query] = {
         X.events(s, d), rules.pattern_rules(s, PATTERN_RULES), "user_id", "event_id", "event_type"),
     # scalar jobs, sources, sinks
     "src_events": _event_counts,
+    "running_sum_values": lambda s, d: aggs.running_sum_values(
+        calc.number_crunch(X.table(s, d, "lineitem"), "l_orderkey"), "value"),
+    "map_tostring": lambda s, d: joins.window_join(X.order_items(s, d), X.goods(s, d), "30 days").select(
+        S.record_text("OrderDetails", ["goodsId", "goodsName", "count", "totalMoney"]).alias("text")),
     "map_cos_cbrt": lambda s, d: calc.number_crunch(X.table(s, d, "lineitem"), "l_orderkey"),
     "src_text_csv": lambda s, d: readers.parse_csv_lines(
         X.cars(s, d).select(F.concat_ws(",", "sensorId", "count").alias("value"))),

@@ -346,3 +346,11 @@ ORACLE["src_events"] = with_(PERSON, AUCTION, BID) + """SELECT 0 AS event_type,
   max(dateTime) AS last_time FROM person
 UNION ALL SELECT 1, count(*), max(dateTime) FROM auction
 UNION ALL SELECT 2, count(*), max(dateTime) FROM bid"""
+
+ORACLE["running_sum_values"] = "SELECT cos(cbrt(CAST(l_orderkey AS DOUBLE))) AS value FROM lineitem"
+
+ORACLE["map_tostring"] = with_(ORDER_ITEM, GOODS) + f"""SELECT concat('OrderDetails(goodsId=', o.goodsId,
+  ', goodsName=', g.goodsName, ', count=', CAST(o.count AS VARCHAR),
+  ', totalMoney=', CAST(g.goodsPrice * o.count AS VARCHAR), ')') AS text
+FROM order_item o JOIN goods g
+  ON o.goodsId = g.goodsId AND {tumble_start('o.ts', '30 days')} = {tumble_start('g.ts', '30 days')}"""

@@ -72,3 +72,13 @@ def for_each_batch(writer):
     def run(batch_df: DataFrame, batch_id: int) -> None:
         writer(batch_df, batch_id)
     return run
+
+
+def print_rows(df: DataFrame, n: int = 20) -> None:
+    """Print rows (the reference's ``print()`` / alert sink) in batch."""
+    df.show(n, truncate=False)
+
+
+def console(stream: DataFrame, mode: str = "append"):
+    """Streaming print sink: a ``DataStreamWriter`` on the console format."""
+    return stream.writeStream.format("console").outputMode(mode).option("truncate", "false")
