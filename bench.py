@@ -4,7 +4,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints one JSON line: {"metric", "value" (sum of per-query seconds), "unit", "queries",
-"sf", ...}. Each query runs ``BENCH_RUNS`` times (default 2); the best run is reported,
+"sf", ...}. Each query runs ``BENCH_RUNS`` times (default 3); the best run is reported,
 so the first run pays JVM warm-up and file listing once.
 """
 
@@ -25,7 +25,7 @@ from kestrel.plans.catalog import QUERIES  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = session.build(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="kestrel-bench")
     times: dict[str, float] = {}

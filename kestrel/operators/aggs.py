@@ -56,30 +56,46 @@ def band_stats(bid: DataFrame, keys: list[str], extra: list[Column] | None = Non
     return reduce(lambda x, y: x.join(y, keys), parts)
 
 
+def _with_date(bid: DataFrame) -> DataFrame:
+    """Group on the calendar date (a fixed-width key); the ``yyyy-MM-dd`` string is
+    formatted after aggregation, on one row per group instead of one per bid."""
+    return bid.withColumn("_date", F.to_date("dateTime"))
+
+
+def _day_first(df: DataFrame, keys_before: list[str]) -> DataFrame:
+    cols = [c for c in df.columns if c not in (*keys_before, "_date")]
+    return df.select(*keys_before, F.date_format("_date", "yyyy-MM-dd").alias("day"), *cols)
+
+
 def daily_bands(bid: DataFrame) -> DataFrame:
     """q15: per day, bids / distinct bidders / distinct auctions, overall and per band."""
-    return band_stats(bid.withColumn("day", S.day_string("dateTime")), ["day"])
+    return _day_first(band_stats(_with_date(bid), ["_date"]), [])
 
 
 def channel_daily(bid: DataFrame) -> DataFrame:
-    """q16: q15 per (channel, day), plus the latest HH:mm of the day."""
-    b = bid.withColumn("day", S.day_string("dateTime"))
-    return band_stats(b, ["channel", "day"], [F.max(S.minute_string("dateTime")).alias("minute")])
+    """q16: q15 per (channel, day), plus the latest HH:mm of the day (``max`` of the
+    minute of day, formatted after aggregation: same order as the ``HH:mm`` strings)."""
+    minute_of_day = F.hour("dateTime") * 60 + F.minute("dateTime")
+    out = band_stats(_with_date(bid), ["channel", "_date"], [F.max(minute_of_day).alias("_mod")])
+    hhmm = F.format_string("%02d:%02d", F.floor(F.col("_mod") / 60).cast("int"), (F.col("_mod") % 60).cast("int"))
+    return _day_first(out.withColumn("minute", hhmm).drop("_mod"), ["channel"]).select(
+        "channel", "day", "minute", *[c for c in out.columns if c not in ("channel", "_date", "_mod")])
 
 
 def auction_daily(bid: DataFrame) -> DataFrame:
     """q17: per (auction, day) counts, bands, min / max / truncated avg / sum of price."""
     r1, r2, r3 = bands()
-    return (bid.withColumn("day", S.day_string("dateTime"))
-            .groupBy("auction", "day")
-            .agg(F.count(F.lit(1)).alias("total_bids"),
-                 F.count_if(r1).alias("rank1_bids"),
-                 F.count_if(r2).alias("rank2_bids"),
-                 F.count_if(r3).alias("rank3_bids"),
-                 F.min("price").alias("min_price"),
-                 F.max("price").alias("max_price"),
-                 S.int_avg("price").alias("avg_price"),
-                 F.sum("price").alias("sum_price")))
+    out = (_with_date(bid)
+           .groupBy("auction", "_date")
+           .agg(F.count(F.lit(1)).alias("total_bids"),
+                F.count_if(r1).alias("rank1_bids"),
+                F.count_if(r2).alias("rank2_bids"),
+                F.count_if(r3).alias("rank3_bids"),
+                F.min("price").alias("min_price"),
+                F.max("price").alias("max_price"),
+                S.int_avg("price").alias("avg_price"),
+                F.sum("price").alias("sum_price")))
+    return _day_first(out, ["auction"])
 
 
 def running_sum(df: DataFrame, key: str, order: list[str], value: str, keep: list[str],
