@@ -18,19 +18,39 @@ def _bounds(w: str = "window"):
     return [F.col(f"{w}.start").alias("starttime"), F.col(f"{w}.end").alias("endtime")]
 
 
-def hot_items(df: DataFrame, key: str, time: str, size: str, slide: str, out_key: str = "auction") -> DataFrame:
+def hot_items(df: DataFrame, key: str, time: str, size: str, slide: str, out_key: str = "auction",
+              max_broadcast_windows: int = 1_000_000) -> DataFrame:
     """q5: per hop window, the keys with the most rows (all ties kept) and their count.
 
-    The reference joins the windowed count to its own per-window maximum; here the
-    maximum is a window function over the counts, which needs one exchange instead of
-    two more (the counts are already computed once).
+    The per-window maximum is a partial aggregate (one row per window), joined back to
+    the counts on the window. It is broadcast when the number of windows, bounded from
+    the time range, is at most ``max_broadcast_windows``; otherwise the join shuffles.
+    A window function ``max() over (partition by window)`` would put every key of a
+    window into one task.
     """
     counts = (df.groupBy(F.col(key).alias(out_key), F.window(time, size, slide))
               .agg(F.count(F.lit(1)).alias("num")))
-    w = Window.partitionBy("window")
-    return (counts.withColumn("maxn", F.max("num").over(w))
-            .where(F.col("num") >= F.col("maxn"))
-            .select(out_key, "num"))
+    maxes = counts.groupBy(F.col("window").alias("m_window")).agg(F.max("num").alias("maxn"))
+    if _window_count_bound(df, time, size, slide) <= max_broadcast_windows:
+        maxes = F.broadcast(maxes)
+    j = counts.join(maxes, (counts.window == maxes.m_window) & (counts.num >= maxes.maxn))
+    return j.select(out_key, "num")
+
+
+def _window_count_bound(df: DataFrame, time: str, size: str, slide: str) -> int:
+    """Upper bound of the number of hop windows over the time range of ``df``."""
+    lo, hi = df.agg(F.min(time), F.max(time)).first()
+    if lo is None:
+        return 0
+    span = (hi - lo).total_seconds()
+    slide_s = _seconds(slide)
+    return int(span // slide_s) + int(_seconds(size) // slide_s) + 1
+
+
+def _seconds(interval: str) -> float:
+    n, unit = interval.split()
+    mult = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    return float(n) * mult[unit.lower().rstrip("s")]
 
 
 def max_per_window(df: DataFrame, time: str, price: str, size: str, size_seconds: int) -> DataFrame:
@@ -65,11 +85,27 @@ def new_users(person: DataFrame, auction: DataFrame, size: str) -> DataFrame:
     return j.select("id", "name", F.col("starttime").alias("stime"))
 
 
-def session_count(df: DataFrame, key: str, time: str, gap: str, out_key: str = "bidder") -> DataFrame:
+def session_count(df: DataFrame, key: str, time: str, gap: str, out_key: str = "bidder",
+                  buckets: int | None = None) -> DataFrame:
     """q11: rows per (key, session); a session ends after ``gap`` with no row of the key.
-    A row exactly one gap after the previous one joins the session; end = last + gap."""
-    return (df.groupBy(F.col(key).alias(out_key), F.session_window(time, gap))
-            .agg(F.count(F.lit(1)).alias("bid_count"))
+    A row exactly one gap after the previous one joins the session; end = last + gap.
+
+    Two levels, so a hot key is not sessionised in one task: sessions are first built
+    inside (key, time-range bucket) — partial aggregation, parallel — and the partial
+    sessions are then merged across bucket edges: a partial session is a row with the
+    dynamic gap ``(last - first) + gap``, i.e. the window ``[first, last + gap)``, which
+    merges with the next one exactly when their rows would have.
+    """
+    from kestrel.operators import prefix as P
+
+    gap_us = int(_seconds(gap) * 1_000_000)
+    b = P.with_bucket(df.select(key, time), time, buckets)
+    part = (b.groupBy(key, P.BKT, F.session_window(time, gap))
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi")))
+    span_us = F.unix_micros(F.col("_hi").cast("timestamp")) - F.unix_micros(F.col("_lo").cast("timestamp"))
+    dyn_gap = F.concat((span_us + F.lit(gap_us)).cast("string"), F.lit(" microseconds"))
+    return (part.groupBy(F.col(key).alias(out_key), F.session_window("_lo", dyn_gap))
+            .agg(F.sum("_n").alias("bid_count"))
             .select(out_key, "bid_count", F.col("session_window.start").alias("starttime"),
                     F.col("session_window.end").alias("endtime")))
 
