@@ -30,8 +30,14 @@ def hot_items(df: DataFrame, key: str, time: str, size: str, slide: str, out_key
     """
     counts = (df.groupBy(F.col(key).alias(out_key), F.window(time, size, slide))
               .agg(F.count(F.lit(1)).alias("num")))
+    small = _window_count_bound(df, time, size, slide) <= max_broadcast_windows
+    return top_per_window(counts, out_key, small)
+
+
+def top_per_window(counts: DataFrame, out_key: str, broadcast_max: bool) -> DataFrame:
+    """Rows of ``(out_key, window, num)`` whose ``num`` is the maximum of their window."""
     maxes = counts.groupBy(F.col("window").alias("m_window")).agg(F.max("num").alias("maxn"))
-    if _window_count_bound(df, time, size, slide) <= max_broadcast_windows:
+    if broadcast_max:
         maxes = F.broadcast(maxes)
     j = counts.join(maxes, (counts.window == maxes.m_window) & (counts.num >= maxes.maxn))
     return j.select(out_key, "num")

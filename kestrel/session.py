@@ -71,5 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("KESTREL_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # sessions without a SparkContext (Spark Connect): conf only
+        pass
     return d

@@ -97,3 +97,21 @@ def test_count_window_processor_equals_batch(spark, scratch):
     got = rows(spark.read.parquet(f"{scratch}/out"))
     want = rows(counts.count_tumble(cars, "sensorId", "seq", "count", 5))
     assert got == want and len(want) > 0
+
+
+def test_hot_items_stream_equals_batch(spark, scratch):
+    ev = X.events(spark, SF)
+    src = f"{scratch}/ev"
+    split_files(ev, src, 3, "ts")
+    schema = ev.schema
+    for i in range(2):
+        add_file(spark, src, [(10**9 + i, FAR + dt.timedelta(days=5 * i), 999, "x", 0.0, "{}")], schema, f"s{i}")
+    stream = readers.stream_parquet(spark, src, schema, ("ts",), max_files_per_trigger=1)
+    counts = jobs.hot_item_counts(stream, "user_id", "ts", "1 day", "6 hours", delay="0 seconds")
+
+    def sink(df, batch_id):
+        df.write.mode("append").parquet(f"{scratch}/out")
+    jobs.run_batches(counts, f"{scratch}/ckpt", jobs.hot_items_batches(sink))
+    got = rows(spark.read.parquet(f"{scratch}/out").where("auction <> 999"))
+    want = rows(windows.hot_items(ev, "user_id", "ts", "1 day", "6 hours"))
+    assert got == want and len(want) > 0
