@@ -116,6 +116,15 @@ def session_count(df: DataFrame, key: str, time: str, gap: str, out_key: str = "
                     F.col("session_window.end").alias("endtime")))
 
 
+def session_count_single(df: DataFrame, key: str, time: str, gap: str, out_key: str = "bidder") -> DataFrame:
+    """q11 in one level (Spark's session window): the streaming form, whose state store
+    already works per key incrementally and is bounded by the watermark."""
+    return (df.groupBy(F.col(key).alias(out_key), F.session_window(time, gap))
+            .agg(F.count(F.lit(1)).alias("bid_count"))
+            .select(out_key, "bid_count", F.col("session_window.start").alias("starttime"),
+                    F.col("session_window.end").alias("endtime")))
+
+
 def tumble_count(df: DataFrame, key: str, time: str, size: str, out_key: str = "bidder") -> DataFrame:
     """q12: rows per (key, tumbling window). For processing time pass an ingest-time column."""
     return (df.groupBy(F.col(key).alias(out_key), F.window(time, size))

@@ -41,7 +41,7 @@ def window_sum(stream: DataFrame, key: str, time: str, size: str, slide: str | N
 def session_count(stream: DataFrame, key: str, time: str, gap: str, delay: str = DEFAULT_DELAY,
                   out_key: str = "bidder") -> DataFrame:
     """Session windows in append mode (update mode is refused for sessions)."""
-    return windows.session_count(watermarked(stream, time, delay), key, time, gap, out_key)
+    return windows.session_count_single(watermarked(stream, time, delay), key, time, gap, out_key)
 
 
 def window_join(orders: DataFrame, goods: DataFrame, size: str, delay: str = DEFAULT_DELAY) -> DataFrame:

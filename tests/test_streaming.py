@@ -115,3 +115,42 @@ def test_hot_items_stream_equals_batch(spark, scratch):
     got = rows(spark.read.parquet(f"{scratch}/out").where("auction <> 999"))
     want = rows(windows.hot_items(ev, "user_id", "ts", "1 day", "6 hours"))
     assert got == want and len(want) > 0
+
+
+def test_session_and_window_join_streams_equal_batch(spark, scratch):
+    from kestrel.operators import joins
+    ev = X.events(spark, SF)
+    src = f"{scratch}/ev"
+    split_files(ev, src, 3, "ts")
+    for i in range(2):
+        add_file(spark, src, [(10**9 + i, FAR + dt.timedelta(days=5 * i), 999, "x", 0.0, "{}")], ev.schema, f"s{i}")
+    stream = readers.stream_parquet(spark, src, ev.schema, ("ts",), 1)
+    jobs.run_available(jobs.session_count(stream, "user_id", "ts", "6 hours", delay="0 seconds"),
+                       f"{scratch}/ck1", f"{scratch}/out1")
+    got = rows(spark.read.parquet(f"{scratch}/out1").where("bidder <> 999")
+               .select("bidder", "bid_count", F.col("starttime").cast("string")))
+    want = rows(windows.session_count(ev, "user_id", "ts", "6 hours").select(
+        "bidder", "bid_count", F.col("starttime").cast("string")))
+    assert got == want and len(want) > 0
+
+    orders, goods = X.order_items(spark, SF), X.goods(spark, SF)
+    split_files(orders, f"{scratch}/o", 3, "ts")
+    split_files(goods, f"{scratch}/g", 3, "ts")
+    os_ = readers.stream_parquet(spark, f"{scratch}/o", orders.schema, ("ts",), 1)
+    gs = readers.stream_parquet(spark, f"{scratch}/g", goods.schema, ("ts",), 1)
+    jobs.run_available(jobs.window_join(os_, gs, "30 days", delay="0 seconds"), f"{scratch}/ck2", f"{scratch}/out2")
+    got = rows(spark.read.parquet(f"{scratch}/out2"))
+    want = rows(joins.window_join(orders, goods, "30 days"))
+    assert got == want and len(want) > 0
+
+
+def test_equi_join_stream_equals_batch(spark, scratch):
+    from kestrel.operators import joins
+    auctions, persons = X.auctions(spark, SF), X.persons(spark, SF)
+    split_files(auctions, f"{scratch}/a", 3, "dateTime")
+    split_files(persons, f"{scratch}/p", 2, "dateTime")
+    a = readers.stream_parquet(spark, f"{scratch}/a", auctions.schema, ("dateTime", "expires"), 1)
+    p = readers.stream_parquet(spark, f"{scratch}/p", persons.schema, ("dateTime",), 1)
+    jobs.run_available(joins.join_equi(a, p), f"{scratch}/ck", f"{scratch}/out")
+    got = rows(spark.read.parquet(f"{scratch}/out"))
+    assert got == rows(joins.join_equi(auctions, persons)) and len(got) > 0
