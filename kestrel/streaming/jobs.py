@@ -70,6 +70,64 @@ def hot_items_batches(sink, out_key: str = "auction"):
     return run
 
 
+def auction_daily(bids: DataFrame) -> DataFrame:
+    """q17 on a stream, output mode Update: the latest row of each (auction, day) is its
+    answer (an unwindowed aggregate emits a change stream, as in the reference)."""
+    from kestrel.operators import aggs
+
+    return aggs.auction_daily(bids)
+
+
+def band_stats_batches(store: str, keys: list[str], sink, with_minute: bool = False):
+    """q15 (``keys=[]``) / q16 (``keys=["channel"]``) on a stream via ``foreachBatch``;
+    exact distinct counts are refused by streaming aggregation.
+
+    Log-structured and idempotent: batch ``id`` writes its partial tables under
+    ``store/<part>/batch=<id>/_month=...`` (band flags per (keys, day, bidder) and per
+    (keys, day, auction), counts per (keys, day)); a retried batch rewrites the same
+    folder. Then only the days the batch touched are recomputed from all batches'
+    partials (semi-join on the batch's (month, day); month folders prune the reads), and
+    their rows are emitted: the latest row of a (keys, day) is its answer.
+    """
+    from kestrel.operators import aggs
+
+    group = [*keys, "_date"]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        b = aggs._with_date(batch).withColumn("_month", F.date_format("_date", "yyyy-MM"))
+        r1, r2, r3 = aggs.bands()
+        flags = [F.max(r.cast("int")).alias(f"f{i}") for i, r in enumerate((r1, r2, r3), start=1)]
+        extra = [F.max(F.hour("dateTime") * 60 + F.minute("dateTime")).alias("_mod")] if with_minute else []
+        partials = {
+            "bidders": b.groupBy("_month", *group, "bidder").agg(*flags),
+            "auctions": b.groupBy("_month", *group, "auction").agg(*flags),
+            "counts": aggs._count_part(b, ["_month", *group], extra),
+        }
+        for name, df in partials.items():
+            df.write.mode("overwrite").partitionBy("_month").parquet(f"{store}/{name}/batch={batch_id}")
+        days = b.select("_month", "_date").distinct()
+        hist = {n: spark.read.parquet(f"{store}/{n}").join(days, ["_month", "_date"], "left_semi")
+                for n in partials}
+        out = None
+        for name in ("bidders", "auctions"):
+            col = name[:-1]
+            per = hist[name].groupBy(*group, col).agg(*[F.max(f"f{i}").alias(f"f{i}") for i in (1, 2, 3)])
+            part = per.groupBy(*group).agg(
+                F.count(F.lit(1)).alias(f"total_{name}"),
+                *[F.sum(f"f{i}").cast("long").alias(f"rank{i}_{name}") for i in (1, 2, 3)])
+            out = part if out is None else out.join(part, group)
+        counts = hist["counts"].groupBy(*group).agg(
+            *[F.sum(c).cast("long").alias(c) for c in ("total_bids", "rank1_bids", "rank2_bids", "rank3_bids")],
+            *([F.max("_mod").alias("_mod")] if with_minute else []))
+        res = counts.join(out, group)
+        if with_minute:
+            res = res.withColumn("minute", F.format_string(
+                "%02d:%02d", F.floor(F.col("_mod") / 60).cast("int"), (F.col("_mod") % 60).cast("int"))).drop("_mod")
+        sink(aggs._day_first(res, keys), batch_id)
+    return run
+
+
 def fraud_alerts(txn: DataFrame, small: float, large: float, timeout_seconds: int | None = None,
                  delay: str = "0 seconds") -> DataFrame:
     """Fraud v2 / v3 as a keyed stateful processor (previous row per account, cleared by an

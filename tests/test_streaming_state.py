@@ -90,3 +90,54 @@ def test_avg_of_max_batches_equals_batch(spark, scratch):
     jobs.run_batches(stream, f"{scratch}/ck", run)
     got = latest_lists(spark, f"{scratch}/out", []).drop("_batch")
     assert rows(got) == rows(joins.avg_of_max(auctions, bids))
+
+
+def test_auction_daily_update_stream_equals_batch(spark, scratch):
+    from kestrel.operators import aggs
+    bids = X.bids(spark, SF)
+    src = f"{scratch}/bids"
+    split_files(bids, src, 3, "auction")  # the same (auction, day) spans batches
+    stream = readers.stream_parquet(spark, src, bids.schema, (), 1)
+    q = jobs.auction_daily(stream)
+    (q.writeStream.outputMode("update").foreachBatch(collect_batches(spark, f"{scratch}/out"))
+     .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start().awaitTermination())
+    got = latest_lists(spark, f"{scratch}/out", ["auction", "day"])
+    want = aggs.auction_daily(bids)
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_snapshot_enrich_and_keyed_upsert_batches(spark, scratch):
+    ev = X.events(spark, SF)
+    src = f"{scratch}/ev"
+    split_files(ev, src, 3, "ts")
+    stream = readers.stream_parquet(spark, src, ev.schema, (), 1)
+    run = jobs.snapshot_enrich_batches(lambda: X.user_info(spark, SF), collect_batches(spark, f"{scratch}/out"))
+    jobs.run_batches(stream, f"{scratch}/ck", run)
+    got = rows(spark.read.parquet(f"{scratch}/out").drop("_batch"))
+    assert got == rows(rules.snapshot_enrich(ev, X.user_info(spark, SF)))
+
+    keyed = stream.select(F.col("user_id").cast("string").alias("rowkey"), F.col("event_id").alias("id"),
+                          F.col("event_type").alias("name"), F.col("event_id").alias("seq"))
+    q = jobs.run_batches(keyed, f"{scratch}/ck2", jobs.keyed_upsert_batches(f"{scratch}/kv", "rowkey", "seq", ["id", "name"]))
+    last = max(int(p.split("=")[1]) for p in __import__("os").listdir(f"{scratch}/kv") if p.startswith("v="))
+    snap = spark.read.parquet(f"{scratch}/kv/v={last}").select("rowkey", "id", "name")
+    from kestrel.sources import sinks
+    want = sinks.latest_per_key(ev.select(F.col("user_id").cast("string").alias("rowkey"), F.col("event_id").alias("id"),
+                                          F.col("event_type").alias("name"), F.col("event_id").alias("seq")),
+                                "rowkey", "seq", ["id", "name"])
+    assert rows(snap) == rows(want)
+
+
+def test_band_stats_batches_equal_batch(spark, scratch):
+    from kestrel.operators import aggs
+    bids = X.bids(spark, SF)
+    src = f"{scratch}/bids"
+    split_files(bids, src, 3, "auction")  # every day spans several batches
+    stream = readers.stream_parquet(spark, src, bids.schema, (), 1)
+    for keys, minute, batch_form in (([], False, aggs.daily_bands), (["channel"], True, aggs.channel_daily)):
+        tag = "_".join(keys) or "day"
+        run = jobs.band_stats_batches(f"{scratch}/store_{tag}", keys, collect_batches(spark, f"{scratch}/out_{tag}"), minute)
+        jobs.run_batches(stream, f"{scratch}/ck_{tag}", run)
+        got = latest_lists(spark, f"{scratch}/out_{tag}", [*keys, "day"])
+        want = batch_form(bids)
+        assert rows(got.select(*want.columns)) == rows(want), tag
