@@ -228,6 +228,15 @@ def keyed_upsert_batches(store: str, key: str, seq: str, cols: list[str]):
     return run
 
 
+def rule_batches(apply, load_rules, sink):
+    """``foreachBatch`` form of the rule jobs (``rules.latest_rule_filter``,
+    ``rules.rules_for_each``): the rule history is re-read for every micro-batch (it is
+    small and changes over time) and applied as of each row's event time."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sink(apply(batch, load_rules()), batch_id)
+    return run
+
+
 def snapshot_enrich_batches(load_dim, sink):
     """``foreachBatch`` form of snapshot enrichment: the dimension is re-read for every
     micro-batch (the reference polls its table every 5 s) and joined as of event time."""

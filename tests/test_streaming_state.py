@@ -141,3 +141,15 @@ def test_band_stats_batches_equal_batch(spark, scratch):
         got = latest_lists(spark, f"{scratch}/out_{tag}", [*keys, "day"])
         want = batch_form(bids)
         assert rows(got.select(*want.columns)) == rows(want), tag
+
+
+def test_rule_batches_equal_batch(spark, scratch):
+    msgs, txn = X.messages(spark, SF), X.transactions(spark, SF)
+    for name, df, fn in (("latest", msgs, rules.latest_rule_filter), ("accumulate", txn, rules.rules_for_each)):
+        src = f"{scratch}/{name}"
+        split_files(df, src, 3, "ts")
+        stream = readers.stream_parquet(spark, src, df.schema, (), 1)
+        run = jobs.rule_batches(fn, lambda: X.keywords(spark), collect_batches(spark, f"{scratch}/out_{name}"))
+        jobs.run_batches(stream, f"{scratch}/ck_{name}", run)
+        got = rows(spark.read.parquet(f"{scratch}/out_{name}").drop("_batch"))
+        assert got == rows(fn(df, X.keywords(spark))) and len(got) > 0, name
