@@ -144,6 +144,22 @@ def count_tumble(cars: DataFrame, key: str, size: int) -> DataFrame:
     return cars.groupBy(key).transformWithStateInPandas(proc, stateful.COUNT_OUTPUT, "Append", "None")
 
 
+def running_sum(scores: DataFrame, key: str, seq: str, value: str, keep: list[str], scale: int = 2) -> DataFrame:
+    """Keyed running sum as a stateful processor (Append: one row per input row)."""
+    out = T.StructType([*[T.StructField(c, T.LongType()) for c in keep], scores.schema[key],
+                        T.StructField(value, T.DoubleType()), T.StructField(f"row_{seq}", T.LongType())])
+    proc = stateful.RunningSumProcessor(key, seq, value, keep, scale)
+    return scores.groupBy(key).transformWithStateInPandas(proc, out, "Append", "None")
+
+
+def count_slide(cars: DataFrame, key: str, seq: str, value: str, size: int, slide: int) -> DataFrame:
+    """Sliding count window per key as a stateful processor."""
+    out = T.StructType([cars.schema[key], T.StructField(value, T.LongType()),
+                        T.StructField("end_position", T.LongType())])
+    proc = stateful.SlidingCountProcessor(size, slide, key, seq, value)
+    return cars.groupBy(key).transformWithStateInPandas(proc, out, "Append", "None")
+
+
 def with_ingest_time(df: DataFrame, col: str = "p_time") -> DataFrame:
     """Processing time as a column (``PROCTIME()``): constant within a micro-batch."""
     return df.withColumn(col, F.current_timestamp())

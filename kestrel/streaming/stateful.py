@@ -173,3 +173,65 @@ class PatternProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RunningSumProcessor(StatefulProcessor):
+    """Keyed running sum, one row out per row in: the fields of the key's first row and
+    the running total (exact: summed as integers of 10^-scale)."""
+
+    def __init__(self, key: str, seq: str, value: str, keep: list[str], scale: int = 2):
+        self.key, self.seq, self.value, self.keep, self.scale = key, seq, value, keep, scale
+
+    def init(self, handle) -> None:
+        self.first = handle.getValueState("first", ", ".join(f"{c} long" for c in self.keep))
+        self.total = handle.getValueState("total", "units long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.seq, kind="stable")
+        unit = 10 ** self.scale
+        units = np.round(batch[self.value].to_numpy(dtype=float) * unit).astype("int64")
+        start = self.total.get()[0] if self.total.exists() else 0
+        run = start + np.cumsum(units)
+        if not self.first.exists():
+            self.first.update(tuple(int(batch[c].iloc[0]) for c in self.keep))
+        first = self.first.get()
+        self.total.update((int(run[-1]),))
+        out = {c: np.full(len(batch), first[i], dtype="int64") for i, c in enumerate(self.keep)}
+        out.update({self.key: batch[self.key].to_numpy(), self.value: run / unit,
+                    f"row_{self.seq}": batch[self.seq].to_numpy(dtype="int64")})
+        yield pd.DataFrame(out)
+
+    def close(self) -> None:
+        pass
+
+
+class SlidingCountProcessor(StatefulProcessor):
+    """Count window of ``size`` rows sliding every ``slide`` rows, per key: every
+    ``slide``-th row emits the sum of the last ``size`` rows (fewer at the start).
+    State: the row count so far and the last ``size - 1`` values."""
+
+    def __init__(self, size: int, slide: int, key: str, seq: str = "seq", value: str = "count"):
+        self.size, self.slide, self.key, self.seq, self.value = size, slide, key, seq, value
+
+    def init(self, handle) -> None:
+        self.n = handle.getValueState("n", "n long")
+        self.tail = handle.getListState("tail", "v long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.seq, kind="stable")
+        n0 = self.n.get()[0] if self.n.exists() else 0
+        tail = np.array([t[0] for t in self.tail.get()], dtype="int64") if self.tail.exists() else np.zeros(0, "int64")
+        vals = np.concatenate([tail, batch[self.value].to_numpy(dtype="int64")])
+        csum = np.concatenate([[0], np.cumsum(vals)])
+        pos = n0 + np.arange(1, len(batch) + 1)            # 1-based position of each new row
+        idx = len(tail) + np.arange(len(batch))             # its index in ``vals``
+        ends = np.flatnonzero(pos % self.slide == 0)
+        lo = np.maximum(idx[ends] - self.size + 1, 0)
+        sums = csum[idx[ends] + 1] - csum[lo]
+        self.n.update((int(pos[-1]),))
+        self.tail.put([(int(v),) for v in vals[-(self.size - 1):]] if self.size > 1 else [])
+        yield pd.DataFrame({self.key: [key[0]] * len(ends), self.value: sums.astype("int64"),
+                            "end_position": pos[ends].astype("int64")})
+
+    def close(self) -> None:
+        pass

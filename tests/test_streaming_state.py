@@ -153,3 +153,23 @@ def test_rule_batches_equal_batch(spark, scratch):
         jobs.run_batches(stream, f"{scratch}/ck_{name}", run)
         got = rows(spark.read.parquet(f"{scratch}/out_{name}").drop("_batch"))
         assert got == rows(fn(df, X.keywords(spark))) and len(got) > 0, name
+
+
+def test_running_sum_and_sliding_count_streams_equal_batch(spark, scratch):
+    from kestrel.operators import aggs, counts
+    scores = (X.events(spark, SF).select(F.col("event_id").alias("id"), F.col("event_type").alias("name"),
+                                         F.col("value").alias("score")).where("score > 101"))
+    split_files(scores, f"{scratch}/s", 3, "id")
+    st = readers.stream_parquet(spark, f"{scratch}/s", scores.schema, (), 1)
+    jobs.run_available(jobs.running_sum(st, "name", "id", "score", ["id"]), f"{scratch}/ck1", f"{scratch}/o1")
+    got = rows(spark.read.parquet(f"{scratch}/o1").select("id", "name", "score", "row_id"))
+    want = rows(aggs.running_sum(scores, "name", ["id"], "score", ["id"]).select("id", "name", "score", "row_id"))
+    assert got == want and len(want) > 0
+
+    cars = X.cars(spark, SF)
+    split_files(cars, f"{scratch}/c", 3, "seq")
+    cs = readers.stream_parquet(spark, f"{scratch}/c", cars.schema, ("ts",), 1)
+    jobs.run_available(jobs.count_slide(cs, "sensorId", "seq", "count", 5, 3), f"{scratch}/ck2", f"{scratch}/o2")
+    got = rows(spark.read.parquet(f"{scratch}/o2").select("sensorId", "count", "end_position"))
+    want = rows(counts.count_slide(cars, "sensorId", "seq", "count", 5, 3))
+    assert got == want and len(want) > 0
