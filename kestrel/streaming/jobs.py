@@ -235,6 +235,26 @@ def avg_of_max_batches(load_auctions, store: str, sink):
     return run
 
 
+def winning_bids_batches(load_auctions, store: str, sink):
+    """``foreachBatch`` form of q9 (row_number is refused on streams): each batch's bids
+    are interval-joined to the auctions (re-read per batch), the batch's best bid per
+    auction is written under ``store/batch=<id>`` (idempotent), and the auctions the
+    batch touched are re-decided from all batches' bests (semi-join on their ids)."""
+    from kestrel.operators import joins, topk
+
+    order = [-F.col("price"), F.col("bid_dateTime"), F.col("bidder")]
+    cols = joins.AUCTION_COLUMNS + ["auction", "bidder", "price", "bid_dateTime", "bid_extra"]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        best = topk.top1(joins.interval_join(load_auctions(), batch), ["id"], order, cols, "aggregate")
+        best.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        touched = best.select("id").distinct()
+        hist = spark.read.parquet(store).drop("batch").join(touched, "id", "left_semi")
+        sink(topk.top1(hist, ["id"], order, cols, "aggregate"), batch_id)
+    return run
+
+
 def keyed_upsert_batches(store: str, key: str, seq: str, cols: list[str]):
     """``foreachBatch`` keyed upsert: each batch writes snapshot version ``batch_id``."""
     from kestrel.sources import sinks

@@ -173,3 +173,15 @@ def test_running_sum_and_sliding_count_streams_equal_batch(spark, scratch):
     got = rows(spark.read.parquet(f"{scratch}/o2").select("sensorId", "count", "end_position"))
     want = rows(counts.count_slide(cars, "sensorId", "seq", "count", 5, 3))
     assert got == want and len(want) > 0
+
+
+def test_winning_bids_batches_equal_batch(spark, scratch):
+    bids, auctions = X.bids(spark, SF), X.auctions(spark, SF)
+    split_files(bids, f"{scratch}/bids", 3, "dateTime")
+    stream = readers.stream_parquet(spark, f"{scratch}/bids", bids.schema, (), 1)
+    run = jobs.winning_bids_batches(lambda: X.auctions(spark, SF), f"{scratch}/store",
+                                    collect_batches(spark, f"{scratch}/out"))
+    jobs.run_batches(stream, f"{scratch}/ck", run)
+    got = latest_lists(spark, f"{scratch}/out", ["id"])
+    want = topk.winning_bids(auctions, bids)
+    assert rows(got.select(*want.columns)) == rows(want) and want.count() > 0
