@@ -215,8 +215,9 @@ def punctuated_late_batches(store: str, seq: str, time: str, id_col: str, marker
 
 def avg_of_max_batches(load_auctions, store: str, sink):
     """``foreachBatch`` form of q4 (an aggregate of an aggregate is refused on streams):
-    per batch, join the new bids to the open auctions, merge the per-auction maxima into
-    the snapshot kept under ``store`` (version = batch id), recompute category averages."""
+    per batch, join the new bids to the open auctions (re-read per batch), write the
+    batch's per-auction maxima under ``store/batch=<id>`` (idempotent on retry), and
+    recompute the averages of the categories the batch touched from all partials."""
     from kestrel.functions import scalar as S
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -224,13 +225,12 @@ def avg_of_max_batches(load_auctions, store: str, sink):
         a = load_auctions()
         j = a.join(batch.select("auction", "price", F.col("dateTime").alias("bid_dateTime")),
                    (a.id == F.col("auction")) & F.col("bid_dateTime").between(a.dateTime, a.expires))
-        fresh = j.groupBy("id", "category").agg(F.max("price").alias("final"))
-        if batch_id > 0:
-            old = spark.read.parquet(f"{store}/v={batch_id - 1}")
-            fresh = old.unionByName(fresh).groupBy("id", "category").agg(F.max("final").alias("final"))
-        fresh.write.mode("overwrite").parquet(f"{store}/v={batch_id}")
-        snap = spark.read.parquet(f"{store}/v={batch_id}")
-        sink(snap.groupBy("category").agg(S.int_avg("final").alias("final"))
+        part = j.groupBy("id", "category").agg(F.max("price").alias("final"))
+        part.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        touched = part.select("category").distinct()
+        maxima = (spark.read.parquet(store).join(touched, "category", "left_semi")
+                  .groupBy("id", "category").agg(F.max("final").alias("final")))
+        sink(maxima.groupBy("category").agg(S.int_avg("final").alias("final"))
              .select(F.col("category").alias("id"), "final"), batch_id)
     return run
 
