@@ -46,15 +46,23 @@ def calc(bid: DataFrame, low: int = 1_000_000, high: int = 50_000_000) -> DataFr
 
 
 def channel_id(bid: DataFrame) -> DataFrame:
-    """q21: id of the four known channels, else the ``channel_id`` URL parameter."""
+    """q21: id of the four known channels, else the ``channel_id`` URL parameter.
+
+    The regex runs once per row for the value: the whole match (group 0) is non-empty
+    exactly when the pattern matches (it always contains ``channel_id=``), and the value
+    (group 2) is what follows the first ``channel_id=`` in it. A matched empty value
+    stays ''.
+    """
     lc = F.lower("channel")
-    from_url = S.regexp_extract_or_null("url", CHANNEL_ID_PATTERN, 2)
+    whole = F.regexp_extract("url", CHANNEL_ID_PATTERN, 0)
+    key_end = F.instr(whole, "channel_id=") + len("channel_id=")
+    from_url = F.when(whole != "", whole.substr(key_end, F.length(whole)))
     cid = F.when(lc == KNOWN_CHANNELS[0], "0")
     for i, name in enumerate(KNOWN_CHANNELS[1:], start=1):
         cid = cid.when(lc == name, str(i))
     cid = cid.otherwise(from_url)
-    return (bid.where(from_url.isNotNull() | lc.isin(*KNOWN_CHANNELS))
-            .select("auction", "bidder", "price", "channel", cid.alias("channel_id")))
+    return (bid.select("auction", "bidder", "price", "channel", cid.alias("channel_id"))
+            .where(F.col("channel_id").isNotNull()))
 
 
 def url_dirs(bid: DataFrame) -> DataFrame:

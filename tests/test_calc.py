@@ -45,9 +45,10 @@ def test_channel_id(spark):
         (4, 1, 1, "other", "http://x/a?channel_id=9", 0, ""),     # '?' does not count
         (5, 1, 1, "BAIDU", "channel_id=5", 0, ""),                # known wins over the URL
         (6, 1, 1, "other", "channel_id=5&x", 0, ""),              # start of string
+        (7, 1, 1, "other", "x&channel_id=channel_id=4", 0, ""),   # value containing the key
     ]
     out = {r.auction: r.channel_id for r in calc.channel_id(bids(spark, rows)).collect()}
-    assert out == {1: "0", 2: "7", 3: "", 5: "3", 6: "5"}
+    assert out == {1: "0", 2: "7", 3: "", 5: "3", 6: "5", 7: "channel_id=4"}
 
 
 def test_url_dirs(spark):
