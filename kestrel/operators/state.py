@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators import prefix as P
+from kestrel.operators.rules import small_side
 
 
 def alert_all(txn: DataFrame) -> DataFrame:
@@ -43,13 +44,13 @@ def two_step_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, sha
     seconds up to and including itself. One equi-join on (rule, key, seg); each first
     item matches at most one second item.
     """
-    # Rules are a small side input (a handful of rows): one row per (rule, shape, role).
+    # One row per (rule, shape, role); broadcast after a row-count check.
     roles = (rules.select("rule", F.col("first").alias("shape"), F.lit(True).alias("is_first"),
                           (F.col("first") == F.col("second")).alias("is_second"))
              .unionByName(rules.where(F.col("first") != F.col("second"))
                           .select("rule", F.col("second").alias("shape"), F.lit(False).alias("is_first"),
                                   F.lit(True).alias("is_second"))))
-    x = items.join(F.broadcast(roles), items[shape] == roles.shape).drop(roles.shape)
+    x = items.join(small_side(roles), items[shape] == roles.shape).drop(roles.shape)
     x = P.prefix(x, ["rule", key], [seq], F.col("is_second").cast("long"), "sum", "_seg", False, buckets)
     x = x.withColumn("_seg_after", F.col("_seg") + F.col("is_second").cast("long"))
     firsts = x.where("is_first").select("rule", key, F.col(seq).alias("first_seq"),
