@@ -52,6 +52,21 @@ def window_join(orders: DataFrame, goods: DataFrame, size: str, delay: str = DEF
     return joins.window_join(watermarked(orders, "ts", delay), watermarked(goods, "ts", delay), size)
 
 
+def max_per_window(stream: DataFrame, time: str, price: str, size: str, size_seconds: int,
+                   delay: str = DEFAULT_DELAY) -> DataFrame:
+    """q7 on a stream: rows joined to the maximum of a tumbling window of the same stream
+    (append mode: the maximum is emitted when the window closes; the range condition on
+    the row time bounds the join state)."""
+    from kestrel.functions import scalar as S
+
+    w = watermarked(stream, time, delay)
+    maxes = (w.groupBy(F.window(time, size)).agg(F.max(price).alias("maxprice"))
+             .select(F.col("window.start").alias("m_start"), "maxprice", S.rowtime("window.end").alias("rowtime")))
+    lower = F.timestamp_add("SECOND", F.lit(-size_seconds), F.col("rowtime"))
+    j = w.join(maxes, (w[price] == maxes.maxprice) & F.col(time).between(lower, F.col("rowtime")))
+    return j.drop("m_start", "maxprice", "rowtime")
+
+
 def hot_item_counts(stream: DataFrame, key: str, time: str, size: str, slide: str,
                     delay: str = DEFAULT_DELAY, out_key: str = "auction") -> DataFrame:
     """q5, first half: windowed counts in append mode. A window is emitted once the

@@ -154,3 +154,17 @@ def test_equi_join_stream_equals_batch(spark, scratch):
     jobs.run_available(joins.join_equi(a, p), f"{scratch}/ck", f"{scratch}/out")
     got = rows(spark.read.parquet(f"{scratch}/out"))
     assert got == rows(joins.join_equi(auctions, persons)) and len(got) > 0
+
+
+def test_max_per_window_stream_equals_batch(spark, scratch):
+    ev = X.events(spark, SF)
+    src = f"{scratch}/ev"
+    split_files(ev, src, 3, "ts")
+    for i in range(3):
+        add_file(spark, src, [(10**9 + i, FAR + dt.timedelta(days=5 * i), 999, "x", -1.0, "{}")], ev.schema, f"s{i}")
+    stream = readers.stream_parquet(spark, src, ev.schema, ("ts",), 1)
+    out = jobs.max_per_window(stream, "ts", "value", "1 day", 86400, delay="0 seconds")
+    jobs.run_available(out, f"{scratch}/ckpt", f"{scratch}/out")
+    got = rows(spark.read.parquet(f"{scratch}/out").where("user_id <> 999").select("event_id"))
+    want = rows(windows.max_per_window(ev, "ts", "value", "1 day", 86400).select("event_id"))
+    assert got == want and len(want) > 0
