@@ -67,6 +67,17 @@ def max_per_window(stream: DataFrame, time: str, price: str, size: str, size_sec
     return j.drop("m_start", "maxprice", "rowtime")
 
 
+def new_users(persons: DataFrame, auctions: DataFrame, size: str, delay: str = DEFAULT_DELAY) -> DataFrame:
+    """q8 on two streams: per tumbling window, the distinct persons and distinct sellers
+    (windowed aggregates, emitted when the window closes), joined on id and window."""
+    p = (watermarked(persons, "dateTime", delay).groupBy("id", "name", F.window("dateTime", size))
+         .agg(F.count(F.lit(1)).alias("_n")))
+    a = (watermarked(auctions, "dateTime", delay).groupBy("seller", F.window("dateTime", size).alias("a_window"))
+         .agg(F.count(F.lit(1)).alias("_m")))
+    j = p.join(a, (p.id == a.seller) & (p.window == a.a_window))
+    return j.select("id", "name", F.col("window.start").alias("stime"))
+
+
 def hot_item_counts(stream: DataFrame, key: str, time: str, size: str, slide: str,
                     delay: str = DEFAULT_DELAY, out_key: str = "auction") -> DataFrame:
     """q5, first half: windowed counts in append mode. A window is emitted once the

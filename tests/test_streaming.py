@@ -168,3 +168,20 @@ def test_max_per_window_stream_equals_batch(spark, scratch):
     got = rows(spark.read.parquet(f"{scratch}/out").where("user_id <> 999").select("event_id"))
     want = rows(windows.max_per_window(ev, "ts", "value", "1 day", 86400).select("event_id"))
     assert got == want and len(want) > 0
+
+
+def test_new_users_stream_equals_batch(spark, scratch):
+    persons, auctions = X.persons(spark, SF), X.auctions(spark, SF)
+    for name, df in (("p", persons), ("a", auctions)):
+        split_files(df, f"{scratch}/{name}", 3, "dateTime")
+    far_p = [(10**9 + i, "zz", "e", "c", "x", "OR", FAR + dt.timedelta(days=90 * i), "") for i in range(3)]
+    far_a = [(10**9 + i, "i", "d", 1, 1, FAR + dt.timedelta(days=90 * i), FAR, 10**9, 10, "") for i in range(3)]
+    for i in range(3):
+        add_file(spark, f"{scratch}/p", [far_p[i]], persons.schema, f"s{i}")
+        add_file(spark, f"{scratch}/a", [far_a[i]], auctions.schema, f"s{i}")
+    p = readers.stream_parquet(spark, f"{scratch}/p", persons.schema, ("dateTime",), 1)
+    a = readers.stream_parquet(spark, f"{scratch}/a", auctions.schema, ("dateTime", "expires"), 1)
+    jobs.run_available(jobs.new_users(p, a, "30 days", delay="0 seconds"), f"{scratch}/ck", f"{scratch}/out")
+    got = rows(spark.read.parquet(f"{scratch}/out").where("id < 1000000000").select("id", "name", F.col("stime").cast("string")))
+    want = rows(windows.new_users(persons, auctions, "30 days").select("id", "name", F.col("stime").cast("string")))
+    assert got == want and len(want) > 0
