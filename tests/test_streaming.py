@@ -185,3 +185,19 @@ def test_new_users_stream_equals_batch(spark, scratch):
     got = rows(spark.read.parquet(f"{scratch}/out").where("id < 1000000000").select("id", "name", F.col("stime").cast("string")))
     want = rows(windows.new_users(persons, auctions, "30 days").select("id", "name", F.col("stime").cast("string")))
     assert got == want and len(want) > 0
+
+
+def test_processing_time_tumble_counts_every_row(spark, scratch):
+    bids = X.bids(spark, SF)
+    split_files(bids, f"{scratch}/b", 2, "dateTime")
+    stream = readers.stream_parquet(spark, f"{scratch}/b", bids.schema, ("dateTime",), 1)
+    timed = jobs.with_ingest_time(stream)
+    q = windows.tumble_count(timed, "bidder", "p_time", "10 seconds")
+
+    def sink(df, batch_id):
+        df.write.mode("append").parquet(f"{scratch}/out")
+    (q.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", f"{scratch}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    out = spark.read.parquet(f"{scratch}/out")
+    last = out.groupBy("bidder", "starttime").agg(F.max("bid_count").alias("n"))
+    assert last.agg(F.sum("n")).first()[0] == bids.count()
