@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from kestrel import schemas
 from kestrel.operators import calc

@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from kestrel.sources import readers, sinks
 from tests.conftest import rows

@@ -6,7 +6,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from kestrel import schemas
 from kestrel.operators import counts, state, windows
 from kestrel.sources import fixtures as X
 from kestrel.sources import readers
