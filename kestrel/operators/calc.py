@@ -48,21 +48,21 @@ def calc(bid: DataFrame, low: int = 1_000_000, high: int = 50_000_000) -> DataFr
 def channel_id(bid: DataFrame) -> DataFrame:
     """q21: id of the four known channels, else the ``channel_id`` URL parameter.
 
-    The regex runs once per row for the value: the whole match (group 0) is non-empty
-    exactly when the pattern matches (it always contains ``channel_id=``), and the value
-    (group 2) is what follows the first ``channel_id=`` in it. A matched empty value
-    stays ''.
+    The whole regex match (group 0) is computed once per row in its own projection: it
+    is non-empty exactly when the pattern matches (it always contains ``channel_id=``),
+    and the value (group 2) is what follows the first ``channel_id=`` in it, so a matched
+    empty value stays ''. The filter is a plain OR, not a test on the CASE result, which
+    the optimizer would expand into nested branches that each re-run the regex.
     """
-    lc = F.lower("channel")
-    whole = F.regexp_extract("url", CHANNEL_ID_PATTERN, 0)
-    key_end = F.instr(whole, "channel_id=") + len("channel_id=")
-    from_url = F.when(whole != "", whole.substr(key_end, F.length(whole)))
-    cid = F.when(lc == KNOWN_CHANNELS[0], "0")
+    x = (bid.select("auction", "bidder", "price", "channel", F.lower("channel").alias("_lc"),
+                    F.regexp_extract("url", CHANNEL_ID_PATTERN, 0).alias("_m"))
+         .where(F.col("_lc").isin(*KNOWN_CHANNELS) | (F.col("_m") != "")))
+    m = F.col("_m")
+    from_url = m.substr(F.instr(m, "channel_id=") + len("channel_id="), F.length(m))
+    cid = F.when(F.col("_lc") == KNOWN_CHANNELS[0], "0")
     for i, name in enumerate(KNOWN_CHANNELS[1:], start=1):
-        cid = cid.when(lc == name, str(i))
-    cid = cid.otherwise(from_url)
-    return (bid.select("auction", "bidder", "price", "channel", cid.alias("channel_id"))
-            .where(F.col("channel_id").isNotNull()))
+        cid = cid.when(F.col("_lc") == name, str(i))
+    return x.select("auction", "bidder", "price", "channel", cid.otherwise(from_url).alias("channel_id"))
 
 
 def url_dirs(bid: DataFrame) -> DataFrame:
