@@ -39,10 +39,10 @@ def two_step_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, sha
     pending ``first`` item of the key, then the pending list is cleared. When first =
     second, an item matches before it is added.
 
-    Gaps and islands: ``seg`` = number of ``second`` items strictly before a row; a first
-    item is pending for the second item whose ``seg`` equals the first item's count of
-    seconds up to and including itself. One equi-join on (rule, key, seg); each first
-    item matches at most one second item.
+    Equivalently, each first item matches the next second item strictly after it (it
+    stays pending exactly until then). That is a suffix minimum of the seconds' ``seq``:
+    an exclusive running max of ``-seq`` in descending ``seq`` order, computed with the
+    bucketed ordered scan (no self-join, hot keys split into range buckets).
     """
     # One row per (rule, shape, role); broadcast after a row-count check.
     roles = (rules.select("rule", F.col("first").alias("shape"), F.lit(True).alias("is_first"),
@@ -50,16 +50,12 @@ def two_step_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, sha
              .unionByName(rules.where(F.col("first") != F.col("second"))
                           .select("rule", F.col("second").alias("shape"), F.lit(False).alias("is_first"),
                                   F.lit(True).alias("is_second"))))
-    x = items.join(small_side(roles), items[shape] == roles.shape).drop(roles.shape)
-    x = P.prefix(x, ["rule", key], [seq], F.col("is_second").cast("long"), "sum", "_seg", False, buckets)
-    x = x.withColumn("_seg_after", F.col("_seg") + F.col("is_second").cast("long"))
-    firsts = x.where("is_first").select("rule", key, F.col(seq).alias("first_seq"),
-                                        F.col("_seg_after").alias("_s"))
-    seconds = x.where("is_second").select(F.col("rule").alias("_r"), F.col(key).alias("_k"),
-                                          F.col(seq).alias("second_seq"), F.col("_seg").alias("_s2"))
-    j = firsts.join(seconds, (firsts.rule == seconds._r) & (firsts[key] == seconds._k)
-                    & (firsts._s == seconds._s2) & (firsts.first_seq < seconds.second_seq))
-    return j.select("rule", key, "first_seq", "second_seq")
+    x = (items.join(small_side(roles), items[shape] == roles.shape)
+         .select("rule", key, seq, "is_first", "is_second", (-F.col(seq)).alias("_desc")))
+    later_second = F.when(F.col("is_second"), -F.col(seq))
+    x = P.prefix(x, ["rule", key], ["_desc"], later_second, "max", "_next", False, buckets)
+    return (x.where(F.col("is_first") & F.col("_next").isNotNull())
+            .select("rule", key, F.col(seq).alias("first_seq"), (-F.col("_next")).alias("second_seq")))
 
 
 def punctuated_late(df: DataFrame, seq: str, time: str, id_col: str, marker, delay_seconds: int,
