@@ -79,3 +79,14 @@ def threshold_filter(df: DataFrame, col: str, threshold: float) -> DataFrame:
 def number_crunch(df: DataFrame, col: str) -> DataFrame:
     """``cos(cbrt(v))`` per value."""
     return df.select(S.cos_cbrt(F.col(col).cast("double")).alias("value"))
+
+
+def split_words(df: DataFrame, text: str, out: str = "word", keep: list[str] | None = None) -> DataFrame:
+    """One row per word of ``text`` split on single spaces, like Java's ``split(" ")``:
+    empty words between spaces are kept, trailing empty words are dropped (so a line of
+    spaces has no words) and an empty line is one empty word."""
+    t = F.col(text)
+    words = (F.when(t == "", F.array(F.lit("")))
+             .when(F.rtrim(t) == "", F.array().cast("array<string>"))
+             .otherwise(F.split(F.rtrim(t), " ", -1)))
+    return df.select(*(keep or []), F.explode(words).alias(out))

@@ -57,7 +57,8 @@ ORDER_ITEM = """order_item AS (SELECT concat('item_', l_linenumber) AS itemId, c
 GOODS = """goods AS (SELECT concat('P_', p_partkey) AS goodsId, p_name AS goodsName,
   CAST(p_retailprice AS DECIMAL(18,2)) AS goodsPrice,
   TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(p_partkey % 2400 AS INTEGER)) AS ts FROM part)"""
-WORD = """word AS (SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word,
+WORD = """word AS (SELECT unnest(CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' THEN []::VARCHAR[]
+                                ELSE string_split(rtrim(text, ' '), ' ') END) AS word,
   TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST(conv_id * 60 + turn * 10 AS BIGINT)) AS ts
   FROM conversations)"""
 USER_INFO = """users AS (SELECT DISTINCT user_id AS userId FROM events WHERE user_id % 10 <> 9),

@@ -151,11 +151,13 @@ def goods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text lines split into words on single spaces (trailing empties dropped, inner kept)."""
-    conv = table(spark, sf_dir, "conversations")
-    return conv.select(
-        F.explode(F.split(F.rtrim("text"), " ", -1)).alias("word"),
-        F.timestamp_add("SECOND", F.col("conv_id") * 60 + F.col("turn") * 10, _ts(WORD_EPOCH)).alias("ts"))
+    """Conversation turns split into words (Java ``split(" ")`` rules, ``calc.split_words``),
+    timed by conversation and turn."""
+    from kestrel.operators.calc import split_words
+
+    conv = table(spark, sf_dir, "conversations").withColumn(
+        "ts", F.timestamp_add("SECOND", F.col("conv_id") * 60 + F.col("turn") * 10, _ts(WORD_EPOCH)))
+    return split_words(conv, "text", "word", ["ts"]).select("word", "ts")
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:

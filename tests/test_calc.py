@@ -74,3 +74,9 @@ def test_nested_event_views_equal_flat_entities(spark):
         a, b = view(ev), flat(spark, d)
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_split_words_like_java(spark):
+    df = spark.createDataFrame([(1, "a  b "), (2, "   "), (3, ""), (4, " x")], "id int, text string")
+    got = sorted((r.id, r.word) for r in calc.split_words(df, "text", keep=["id"]).collect())
+    assert got == [(1, ""), (1, "a"), (1, "b"), (3, ""), (4, ""), (4, "x")]
