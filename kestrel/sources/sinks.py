@@ -82,3 +82,10 @@ def print_rows(df: DataFrame, n: int = 20) -> None:
 def console(stream: DataFrame, mode: str = "append"):
     """Streaming print sink: a ``DataStreamWriter`` on the console format."""
     return stream.writeStream.format("console").outputMode(mode).option("truncate", "false")
+
+
+def text_stream(stream: DataFrame, value: str, time: str, fmt: str = "yyyy-MM-dd"):
+    """Streaming text sink, one folder per formatted date (exactly-once file sink; give
+    ``path`` and ``checkpointLocation`` to the returned writer)."""
+    return (stream.select(F.col(value).cast("string").alias("value"), F.date_format(time, fmt).alias("dt"))
+            .writeStream.format("text").partitionBy("dt").outputMode("append"))

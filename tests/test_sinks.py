@@ -60,3 +60,30 @@ def test_jdbc_append_embedded_derby(spark, scratch):
     sinks.jdbc_append(df, url, "scores", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     back = spark.read.jdbc(url, "scores", properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     assert back.count() == 2
+
+
+def test_streaming_jdbc_and_text_sinks(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from kestrel.operators import aggs
+    from kestrel.sources import fixtures as X
+    from kestrel.streaming import jobs
+    from tests.test_streaming import split_files
+
+    sf = "/root/testdata/sf0.001"
+    scores = (X.events(spark, sf).select(F.col("event_id").alias("id"), F.col("event_type").alias("name"),
+                                         F.col("value").alias("score"), "ts").where("score > 101"))
+    split_files(scores, f"{scratch}/s", 2, "id")
+    stream = readers.stream_parquet(spark, f"{scratch}/s", scores.schema, ("ts",), 1)
+    url = f"jdbc:derby:{scratch}/derby;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    run = sinks.for_each_batch(lambda df, batch_id: sinks.jdbc_append(df, url, "scores", props))
+    jobs.run_batches(jobs.running_sum(stream.drop("ts"), "name", "id", "score", ["id"]), f"{scratch}/ck1", run)
+    back = spark.read.jdbc(url, "scores", properties=props)
+    want = aggs.running_sum(scores.drop("ts"), "name", ["id"], "score", ["id"])
+    assert rows(back.select("id", "name", "score", "row_id")) == rows(want.select("id", "name", "score", "row_id"))
+
+    q = (sinks.text_stream(stream, "name", "ts").option("path", f"{scratch}/text")
+         .option("checkpointLocation", f"{scratch}/ck2").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.text(f"{scratch}/text").count() == scores.count()
