@@ -319,6 +319,14 @@ def run_available(df: DataFrame, checkpoint: str, sink_path: str, mode: str = "a
     return q
 
 
+def start(df: DataFrame, checkpoint: str, sink_path: str, interval: str = "30 seconds",
+          mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
+    """Run continuously: one micro-batch (and one checkpoint of offsets and state) every
+    ``interval`` (the reference checkpoints every 30 s, exactly once). Returns the query."""
+    return (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint)
+            .option("path", sink_path).trigger(processingTime=interval).start())
+
+
 def run_batches(df: DataFrame, checkpoint: str, fn) -> StreamingQuery:
     """Process everything available now through ``foreachBatch(fn)``."""
     q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)

@@ -87,3 +87,21 @@ def test_streaming_jdbc_and_text_sinks(spark, scratch):
          .option("checkpointLocation", f"{scratch}/ck2").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.text(f"{scratch}/text").count() == scores.count()
+
+
+def test_print_rows(spark, capsys):
+    sinks.print_rows(spark.createDataFrame([(1, "alert")], "id int, msg string"))
+    assert "alert" in capsys.readouterr().out
+
+
+def test_continuous_start_and_stop(spark, scratch):
+    from kestrel.streaming import jobs
+    src = f"{scratch}/in"
+    spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(src)
+    stream = spark.readStream.schema("id long, v string").parquet(src)
+    q = jobs.start(stream, f"{scratch}/ck", f"{scratch}/out", interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{scratch}/out").count() == 1
