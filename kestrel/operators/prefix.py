@@ -4,8 +4,11 @@ A bare ``Window.partitionBy(key).orderBy(seq)`` puts every row of a key in one t
 without a key, every row of the table. When one key holds a third of all rows, that
 task is the job. The helpers here split each key by *range of the order column*:
 
-1. add ``_bkt`` = equal-width range bucket of the order value (one tiny min/max job);
-2. aggregate per (key, bucket) — partial aggregation, a few rows per bucket;
+1. add ``_bkt`` = equal-width range bucket of the order value (one tiny min/max job),
+   for *hot* keys only: a key with more rows than ``total / buckets`` (so at most
+   ``buckets`` keys, broadcast with that bound) is split; every other key keeps all
+   its rows, at most that many, in bucket 0;
+2. aggregate per (key, bucket) — partial aggregation, about one row per key;
 3. an exclusive prefix over the buckets of each key (a table of keys x buckets);
 4. finish inside each (key, bucket) with an ordinary window, and add the prefix.
 
@@ -37,15 +40,39 @@ def order_value(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("long")
 
 
-def with_bucket(df: DataFrame, order_col: str, buckets: int | None = None) -> DataFrame:
-    """Add ``_bkt``: equal-width range bucket of ``order_col`` (monotone in the order)."""
+def with_bucket(df: DataFrame, order_col: str, buckets: int | None = None,
+                keys: list[str] | None = None) -> DataFrame:
+    """Add ``_bkt``: equal-width range bucket of ``order_col`` (monotone in the order).
+
+    With ``keys``, only hot keys (more than ``total / buckets`` rows) are bucketed; the
+    others get bucket 0. Without keys (one global order) every row is bucketed.
+    """
     buckets = buckets or default_buckets(df)
     v = order_value(df, order_col)
-    lo, hi = df.agg(F.min(v), F.max(v)).first()
+    lo, hi, total = df.agg(F.min(v), F.max(v), F.count(F.lit(1))).first()
     if lo is None:
         return df.withColumn(BKT, F.lit(0).cast("long"))
     width = max(1, math.ceil((hi - lo + 1) / buckets))
-    return df.withColumn(BKT, F.floor((v - F.lit(lo)) / F.lit(width)).cast("long"))
+    rng = F.floor((v - F.lit(lo)) / F.lit(width)).cast("long")
+    if not keys:
+        return df.withColumn(BKT, rng)
+    limit = math.ceil(total / buckets)
+    # At most ``buckets`` keys can exceed total / buckets rows: a proven broadcast bound.
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+           .select(*keys, F.lit(True).alias("_hot")))
+    hot = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_hot")
+    cond = [df[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
+    return (df.join(F.broadcast(hot), cond, "left")
+            .withColumn(BKT, F.when(F.col("_hot"), rng).otherwise(F.lit(0).cast("long")))
+            .drop("_hot", *[f"_hk{i}" for i in range(len(keys))]))
+
+
+def _join_back(rows: DataFrame, table: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Attach the per-(key, bucket) ``cols`` of ``table`` to ``rows``. Keys match
+    null-safely, so a NULL key stays one group, as in ``Window.partitionBy``."""
+    t = table.select(*[F.col(k).alias(f"_jk{i}") for i, k in enumerate(keys)], F.col(BKT).alias("_jb"), *cols)
+    cond = [rows[k].eqNullSafe(t[f"_jk{i}"]) for i, k in enumerate(keys)] + [rows[BKT] == t["_jb"]]
+    return rows.join(t, cond).drop(*[f"_jk{i}" for i in range(len(keys))], "_jb")
 
 
 def _bucket_window(keys, order_cols, start, end):
@@ -61,13 +88,13 @@ def prefix(df: DataFrame, keys: list[str], order_cols: list[str], value: Column,
     total order within each key; the first one defines the range buckets.
     """
     agg = {"sum": F.sum, "max": F.max}[how]
-    b = with_bucket(df.withColumn("_val", value), order_cols[0], buckets)
+    b = with_bucket(df.withColumn("_val", value), order_cols[0], buckets, keys)
     per_bucket = b.groupBy(*keys, BKT).agg(agg("_val").alias("_tot"))
     before = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(*keys, BKT, agg("_tot").over(before).alias("_before"))
     w = _bucket_window(keys, order_cols, Window.unboundedPreceding, 0 if inclusive else -1)
     inner = b.withColumn("_in", agg("_val").over(w))
-    j = inner.join(per_bucket, [*keys, BKT])
+    j = _join_back(inner, per_bucket, keys, ["_before"])
     if how == "sum":
         res = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(F.col("_in"), F.lit(0))
     else:
@@ -88,7 +115,7 @@ def previous(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[s
     Inside a bucket this is ``lag``; the first row of a bucket takes the last row of the
     key's nearest earlier non-empty bucket, found on the small per-bucket table.
     """
-    b = with_bucket(df, order_cols[0], buckets)
+    b = with_bucket(df, order_cols[0], buckets, keys)
     rec = F.struct(*[F.col(c) for c in cols])
     last = (b.groupBy(*keys, BKT)
             .agg(F.max_by(rec, F.struct(*[F.col(c) for c in order_cols])).alias("_last")))
@@ -96,7 +123,7 @@ def previous(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[s
     last = last.select(*keys, BKT, F.lag("_last").over(wk).alias("_prev_bkt"))
     w = Window.partitionBy(*keys, BKT).orderBy(*order_cols)
     inner = b.withColumn("_lag", F.lag(rec).over(w))
-    j = inner.join(last, [*keys, BKT])
+    j = _join_back(inner, last, keys, ["_prev_bkt"])
     prev = F.coalesce(F.col("_lag"), F.col("_prev_bkt"))
     for c in cols:
         j = j.withColumn(prefix_name + c, prev[c])

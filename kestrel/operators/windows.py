@@ -105,7 +105,7 @@ def session_count(df: DataFrame, key: str, time: str, gap: str, out_key: str = "
     from kestrel.operators import prefix as P
 
     gap_us = int(_seconds(gap) * 1_000_000)
-    b = P.with_bucket(df.select(key, time), time, buckets)
+    b = P.with_bucket(df.select(key, time), time, buckets, [key])
     part = (b.groupBy(key, P.BKT, F.session_window(time, gap))
             .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi")))
     span_us = F.unix_micros(F.col("_hi").cast("timestamp")) - F.unix_micros(F.col("_lo").cast("timestamp"))

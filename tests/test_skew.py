@@ -44,3 +44,14 @@ def test_hot_key_count_windows_and_lag_alerts(spark):
             .agg(F.sum("count").cast("long").alias("count"), F.count(F.lit(1)).alias("n"), F.max("seq").alias("last_seq"))
             .where("n = 5").drop("g", "n"))
     assert rows(got) == rows(want.select("sensorId", "count", "last_seq"))
+
+
+def test_only_hot_keys_are_bucketed_and_null_keys_kept(spark):
+    df = skewed(spark).union(spark.createDataFrame([(None, 3000 + i, 1) for i in range(5)], "k long, seq long, v long"))
+    b = prefix.with_bucket(df, "seq", 16, ["k"])
+    per_key = {r["k"]: r["n"] for r in b.groupBy("k").agg(F.countDistinct(prefix.BKT).alias("n")).collect()}
+    assert per_key[0] > 1 and all(n == 1 for k, n in per_key.items() if k != 0)
+    got = prefix.rank(df, ["k"], ["seq"], "rn", buckets=16)
+    w = Window.partitionBy("k").orderBy("seq")
+    want = df.withColumn("rn", F.row_number().over(w).cast("long"))
+    assert rows(got.select("k", "seq", "rn").fillna(-1, ["k"])) == rows(want.select("k", "seq", "rn").fillna(-1, ["k"]))
