@@ -55,3 +55,12 @@ def test_only_hot_keys_are_bucketed_and_null_keys_kept(spark):
     w = Window.partitionBy("k").orderBy("seq")
     want = df.withColumn("rn", F.row_number().over(w).cast("long"))
     assert rows(got.select("k", "seq", "rn").fillna(-1, ["k"])) == rows(want.select("k", "seq", "rn").fillna(-1, ["k"]))
+
+
+def test_outliers_do_not_collapse_buckets(spark):
+    df = skewed(spark).union(spark.createDataFrame([(7, 10**9, 1), (7, 10**9 + 1, 1)], "k long, seq long, v long"))
+    b = prefix.with_bucket(df, "seq", 16, ["k"])
+    assert b.where("k = 0").select(prefix.BKT).distinct().count() > 8
+    got = prefix.rank(df, ["k"], ["seq"], "rn", buckets=16)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("seq")).cast("long"))
+    assert rows(got.select("k", "seq", "rn")) == rows(want.select("k", "seq", "rn"))
