@@ -6,9 +6,6 @@ are still unset, so cluster-wide choices (shuffle partitions, checkpoint dir) wi
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on for exact results.
@@ -37,7 +34,7 @@ def build(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "kes
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for k, v in {**DEFAULTS, **REQUIRED}.items():
@@ -57,22 +54,4 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, v)
         except Exception:  # static conf on a running session: leave it
             pass
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written intermediate tables.
-
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is unset,
-    as in local tests, a fresh scratch folder is created.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("KESTREL_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # sessions without a SparkContext (Spark Connect): conf only
-        pass
-    return d
