@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -142,7 +143,7 @@ def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
 
 def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``limit`` bytes of text (a longer single text is a run of its own)."""
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
     lo, total = 0, 0
     for i, s in enumerate(size.tolist()):
         if total and total + s > limit:
