@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kestrel.llm import token_output
+from kestrel.llm import minhash_odd, token_output
 
-MODULES = [token_output]
+MODULES = [token_output, minhash_odd]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
