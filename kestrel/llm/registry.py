@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kestrel.llm import minhash_odd, quality_kn, token_output
+from kestrel.llm import decontaminate, minhash_odd, quality_kn, token_output
 
-MODULES = [token_output, minhash_odd, quality_kn]
+MODULES = [token_output, minhash_odd, quality_kn, decontaminate]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
