@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontaminate, minhash_odd, pfair_mix, quality_kn, token_output
+from kestrel.llm import decontaminate, minhash_odd, pfair_mix, quality_kn, secrets_zstd, token_output
 
-MODULES = [token_output, minhash_odd, quality_kn, decontaminate, pfair_mix]
+MODULES = [token_output, minhash_odd, quality_kn, decontaminate, pfair_mix, secrets_zstd]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
