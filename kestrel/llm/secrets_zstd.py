@@ -40,7 +40,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,31}")
 NEAR, CONTEXT = 64, 256
 DICT_WORDS = 2000
-NOVELTY = 0.6
+NOVELTY = 0.8
 LEVEL = 3
 
 
