@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import scratch_path, table
 
 END_ID = 0
-CACHE_PIECES = 1_000_000
-BATCH_BYTES = 8 << 20
+CACHE_PIECES = 500_000
+BATCH_BYTES = 2 << 20
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, part int, local_start long"
 
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
@@ -56,6 +56,7 @@ class ChunkEncoder:
         for token, i in vocab.items():
             self.width[i] = len(token)
         self.newline = self.whole("\n")
+        self.marks = {m: self.whole(m) for m in ".,"}
         self.cache: dict[str, bytes] = {}
         self.limit = cache
 
@@ -71,32 +72,27 @@ class ChunkEncoder:
     def whole(self, text: str) -> bytes:
         return self._ids(text).tobytes()
 
-    def _learn(self, missing: set[str]) -> None:
-        """Encodes new pieces in one call. Pieces with inner white space stay unknown."""
-        plain = [p for p in missing if len(x := p.split()) == 1 and (x[0] == p or "\n" + x[0] == p)]
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """The ids of new pieces, encoded in one call; pieces with inner white space are left out."""
+        plain = [p for p in missing if p.isalpha() or len(x := p.split()) == 1 and (x[0] == p or "\n" + x[0] == p)]
         # A letter and a full stop or comma are never in one token: only the word before is new.
         stems = {p: p[:-1] for p in plain if p[-1] in ".," and p[-2:-1].isalpha()}
-        new = [p for p in {*(stems.get(p, p) for p in plain), ".", ","} if p not in self.cache]
-        if len(self.cache) + len(new) + len(stems) > self.limit:
-            self.cache.clear()
-            new = list({*(stems.get(p, p) for p in plain)})
+        cache, learned = self.cache, {}
+        new = [p for p in {stems.get(p, p) for p in plain} if p not in cache]
         if new:
             spaced = [p if p[0] == "\n" else " " + p for p in new]
             ids = self._ids("".join(spaced))
             bytes_in = np.cumsum([len(p.encode()) for p in spaced])
             ends = np.searchsorted(np.cumsum(self.width[ids]), bytes_in, side="left") + 1
             data, at = ids.tobytes(), 0
-            for piece, end in zip(new, ends.tolist()):
-                self.cache[piece] = data[4 * at:4 * end]
+            for piece, end in zip(new, (4 * ends).tolist()):
+                learned[piece] = data[at:end]
                 at = end
         for piece, stem in stems.items():
-            self.cache[piece] = self.cache[stem] + self.mark(piece[-1])
-
-    def mark(self, char: str) -> bytes:
-        key = "\n" + char  # a newline and the mark: two tokens
-        if key not in self.cache:
-            self.cache[key] = self.newline + self.whole(char)
-        return self.cache[key][len(self.newline):]
+            learned[piece] = (learned.get(stem) or cache[stem]) + self.marks[piece[-1]]
+        if len(cache) + len(learned) <= self.limit:  # once full, new pieces serve their batch only
+            cache.update(learned)
+        return learned
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian int32 bytes, without an end id."""
@@ -104,12 +100,11 @@ class ChunkEncoder:
         found = [list(map(self.cache.get, p)) for p in pieces]
         gaps = [[i for i, x in enumerate(f) if x is None] for f in found]
         missing = {p[i] for p, gap in zip(pieces, gaps) for i in gap}
-        if missing:
-            self._learn(missing)
+        learned = self._learn(missing) if missing else {}
         out = []
         for text, p, f, gap in zip(texts, pieces, found, gaps):
             for i in gap:
-                f[i] = self.cache.get(p[i])
+                f[i] = learned.get(p[i])
             if None in f:
                 out.append(self.whole(text) if text else b"")
             else:
