@@ -9,9 +9,12 @@ group of exact copies of any size is one node). A node's MinHash samples give
   of the XOR of two bitmaps estimates the similarity; pairs estimated below ``ESTIMATE`` (0.2,
   or more than five standard deviations, under the limit) are not looked at further.
 
-What remains is confirmed on the full sets. No bucket is expanded into all its pairs: round 1
-compares each node with one bucket leader and forms components of the confirmed links; round 2
-compares only nodes that share a bucket but not yet a component, which loses no link.
+What remains is confirmed on the full sets. No bucket is expanded into all its pairs. Round 1: each
+node is paired with the leaders of its buckets, its ``BEST`` pairs by estimate are confirmed, and
+their components are formed. Round 2 looks at every pair that shares a bucket but not yet a
+component, which loses no link, and emits only those that a second odd sketch lets through: the
+whole set folded into ``FINE_BITS`` bits, whose estimate is within 0.01 for sets of up to
+``FINE_ITEMS`` shingles (larger sets rely on the first sketch), against a limit of ``FINE_ESTIMATE``.
 
 Defined results: a null or word-less text has an empty set and is a component of its own; a null
 ``doc_id`` takes part by its text and never names a component; rows that repeat are equal sets.
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import materialize, table
@@ -36,6 +39,8 @@ WORDS, LIMIT = 5, 75
 BANDS, ROWS = 48, 5
 BITS = 512
 ESTIMATE = 0.55
+FINE_BITS, FINE_ITEMS, FINE_ESTIMATE = 4096, 6000, 0.70
+BEST = 3
 
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,6 +69,14 @@ def odd_sketch(low: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def fine_sketch(unique: np.ndarray) -> np.ndarray | None:
+    """Parity bitmap of a whole set of hashes; none for a set that would fill it."""
+    if len(unique) > FINE_ITEMS:
+        return None
+    cell = (mix(unique + np.uint64(0xA24BAED4963EE407)) % np.uint64(FINE_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=FINE_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def digest(unique: np.ndarray) -> bytes:
     return hashlib.blake2b(unique.tobytes(), digest_size=16).digest()
 
@@ -93,7 +106,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(node, items) with the sorted shingle hashes of each row."""
+    """(node, items, fine): the sorted shingle hashes of each row and their odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,29 +114,41 @@ def full_sets(docs: DataFrame) -> DataFrame:
                 sets = [np.unique(h) for h in shingle_hashes(texts, WORDS)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([digest(u) for u in sets], pa.binary()),
-                     pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64()))], names=["node", "items"])
+                     pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64())),
+                     pa.array([fine_sketch(u) for u in sets], pa.list_(pa.int64()))], names=["node", "items", "fine"])
 
-    return docs.select("text").mapInArrow(run, "node binary, items array<long>")
+    return docs.select("text").mapInArrow(run, "node binary, items array<long>, fine array<long>")
 
 
-def estimated_similarity(a: Column, b: Column) -> Column:
-    """Similarity from two odd sketches: 1 + m / 4k * ln(1 - 2z / m), z the bits that differ."""
-    k = BANDS * ROWS
-    z = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, BITS // 64)), F.bit_count(a[0].bitwiseXOR(b[0])))
-    return F.when(2 * z < BITS, 1 + F.lit(BITS / (4.0 * k)) * F.log(1 - 2 * z / F.lit(float(BITS)))).otherwise(F.lit(-1.0))
+def bits_apart(a: Column, b: Column) -> Column:
+    """Population count of the XOR of two bitmaps."""
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
-    """Pairs (a, b) whose odd sketches pass and whose full sets have 100 * inter >= limit * union."""
-    odd = nodes.select("node", "odd")
-    close = (pairs.join(odd.select(F.col("node").alias("a"), F.col("odd").alias("odd_a")), "a")
-             .join(odd.select(F.col("node").alias("b"), F.col("odd").alias("odd_b")), "b")
-             .where(estimated_similarity(F.col("odd_a"), F.col("odd_b")) >= ESTIMATE).select("a", "b"))
-    both = (close.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
+def bit_limit(differing: Column, bits: int) -> Column:
+    """Bits in which two bitmaps differ on average if the folded collections differ in so many items."""
+    return F.lit(bits / 2.0) * (1 - F.exp(differing * F.lit(-2.0 / bits)))
+
+
+def sample_similar(a: Column, b: Column, similarity: float = ESTIMATE) -> Column:
+    """Odd sketches of MinHash samples: the samples differ in 2k (1 - similarity) values."""
+    return bits_apart(a, b) <= bit_limit(F.lit(2.0 * BANDS * ROWS * (1 - similarity)), BITS)
+
+
+def fine_similar(a: Column, b: Column, size_a: Column, size_b: Column, similarity: float = FINE_ESTIMATE) -> Column:
+    """Odd sketches of whole sets, which differ in (sizes) (1 - s) / (1 + s) items; true without sketches."""
+    differing = (size_a + size_b) * F.lit((1 - similarity) / (1 + similarity))
+    return F.coalesce(bits_apart(a, b) <= bit_limit(differing, FINE_BITS), F.lit(True))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have 100 * inter >= limit * union."""
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b"))
     common = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - F.col("common")
-    return (both.withColumn("common", common).where(100 * F.col("common") >= limit * union).select("a", "b"))
+    return both.withColumn("common", common).where(100 * F.col("common") >= limit * union).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -142,20 +167,32 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     chosen = text.join(wanted, text.doc_id.eqNullSafe(wanted.doc_id), "left_semi")
     sets = materialize(full_sets(chosen).dropDuplicates(["node"]), "sets")
 
-    # Round 1: each node against the smallest leader of its buckets.
-    first = (shared.where("lead <> node").groupBy(F.col("node").alias("b")).agg(F.min("lead").alias("a")))
-    links = materialize(confirmed(first, nodes, sets, limit), "links")
+    # Round 1: each node against the leaders of its buckets that look most like it.
+    odd = nodes.select("node", "odd")
+    led = shared.where("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    guessed = (led.join(odd.select(F.col("node").alias("a"), F.col("odd").alias("odd_a")), "a")
+               .join(odd.select(F.col("node").alias("b"), F.col("odd").alias("odd_b")), "b")
+               .where(sample_similar(F.col("odd_a"), F.col("odd_b")))
+               .select("a", "b", bits_apart(F.col("odd_a"), F.col("odd_b")).alias("apart")))
+    ranked = Window.partitionBy("b").orderBy("apart", "a")  # at most BANDS leaders a node
+    first = guessed.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= BEST).select("a", "b")
+    links = materialize(confirmed(first, sets, limit), "links")
     labels = components(links)
 
     # Round 2: pairs of a bucket that are not in one component yet.
     placed = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp"))
     open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .where("lo <> hi").select("key"))
-    unsettled = materialize(placed.join(open_keys, "key"), "unsettled")
-    x, y = unsettled.alias("x"), unsettled.alias("y")
-    second = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")))
-              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    more = materialize(confirmed(second, nodes, sets, limit), "links")
+    sketches = odd.join(sets.select("node", "fine", F.size("items").alias("n")), "node")
+    unsettled = materialize(placed.join(open_keys, "key").join(sketches, "node"), "unsettled")
+    x = unsettled.select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "comp", "odd", "fine", "n")])
+    y = unsettled.select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "comp", "odd", "fine", "n")])
+    close = ((x.key == y.key) & (F.col("comp_x") < F.col("comp_y"))
+             & (F.least("n_x", "n_y") * 100 >= limit * F.greatest("n_x", "n_y"))
+             & sample_similar(F.col("odd_x"), F.col("odd_y"))
+             & fine_similar(F.col("fine_x"), F.col("fine_y"), F.col("n_x"), F.col("n_y")))
+    second = x.join(y, close).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+    more = materialize(confirmed(second, sets, limit), "links")
     labels = components(links.unionByName(more))
 
     named = (labels.join(nodes.select("node", "first_doc"), "node").groupBy("label")
