@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kestrel.llm import decontaminate, minhash_odd, pfair_mix, ppm_score, quality_kn, secrets_zstd, token_output, toxicity_channel
+from kestrel.llm import decontaminate, minhash_odd, pfair_mix, pii_surrogate, ppm_score, quality_kn, secrets_zstd, token_output, toxicity_channel
 
-MODULES = [token_output, minhash_odd, quality_kn, decontaminate, pfair_mix, secrets_zstd, toxicity_channel, ppm_score]
+MODULES = [token_output, minhash_odd, quality_kn, decontaminate, pfair_mix, secrets_zstd, toxicity_channel, ppm_score, pii_surrogate]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
