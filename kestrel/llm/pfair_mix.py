@@ -87,8 +87,8 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, b
     within = Window.partitionBy("_src", "_bucket").orderBy("_hash", *ties)
     numbered = (keyed.withColumn("_rn", F.row_number().over(within)).join(offsets, ["_src", "_bucket"])
                 .withColumn("_seq", F.col("_before") + F.col("_rn") - 1))
-    quota = plan.groupBy("src").agg(F.max("q").alias("_q"), F.max("period").alias("_period"))
-    blocks = (numbered.join(F.broadcast(quota), F.col("_src") == F.col("src")).drop("src")
+    quota = plan.groupBy(F.col("src").alias("_quota_src")).agg(F.max("q").alias("_q"), F.max("period").alias("_period"))
+    blocks = (numbered.join(F.broadcast(quota), F.col("_src") == F.col("_quota_src")).drop("_quota_src")
               .withColumns({"_block": F.expr(f"_seq div {block}"), "_place": F.expr(f"_seq % {block}")})
               .withColumn("_nth", F.expr("_block % _q")))
     slots = plan.select(F.col("src").alias("_at_src"), F.col("nth").alias("_at_nth"), F.col("slot").alias("_at"))
