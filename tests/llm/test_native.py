@@ -1,0 +1,102 @@
+"""Decontamination and mixing against DuckDB and small brute-force versions."""
+
+import random
+import re
+
+import duckdb
+from pyspark.sql import functions as F
+
+from kestrel.llm import decontaminate as D
+from kestrel.llm import pfair_mix as X
+
+from .conftest import ITEMS
+
+
+def sql(text, **tables):
+    con = duckdb.connect()
+    for name, df in tables.items():
+        con.register(name, df.toPandas().astype({c: "Int64" for c, t in df.dtypes if t in ("bigint", "int")}))
+    return con.sql(text).df()
+
+
+def same(df, expected):
+    cols = sorted(df.columns)
+    got = df.toPandas()[cols].astype(str).replace({"nan": "None", "<NA>": "None"})
+    want = expected[cols].astype(str).replace({"nan": "None", "<NA>": "None"})
+    clean = lambda x: sorted(tuple(re.sub(r"\.0$", "", v) for v in r) for r in x.itertuples(index=False))
+    assert clean(got) == clean(want)
+
+
+def corpus(docs, spark):
+    rng = random.Random(21)
+    words = lambda n: " ".join(rng.choice(["alpha", "Beta", "gamma", "ß", "x1", "the"]) + rng.choice(["", "", ",", "-q"]) for _ in range(n))
+    items = [(i, words(rng.randint(11, 30))) for i in range(10)] + [(10, "solo"), (11, "two words"), (12, None), (13, "..."), (14, ""), (9, "SOLO")]
+    rows = [(i, words(rng.randint(0, 60))) for i in range(40)]
+    rows += [(100 + i, words(5) + " " + items[i % 10][1] + "\n" + words(3)) for i in range(30)]
+    rows += [(200, " ".join(items[1][1].split()[:12])), (201, None), (202, ""), (203, "solo"), (204, "Two-Words two words"), (100, "solo solo"), (200, rows[0][1])]
+    rows += [(205, "solo " * 3000)]
+    return docs(rows), spark.createDataFrame(items, ITEMS)
+
+
+def test_contamination_equals_sql_with_and_without_broadcast(spark, docs):
+    d, b = corpus(docs, spark)
+    d = d.withColumns({"key": F.lit(1), "w": F.lit(2), "window": F.lit(3)})
+    want = sql(D.SQL, documents=d.select("doc_id", "text"), benchmark=b)
+    same(D.contamination(d, b), want)
+    same(D.contamination(d, b, broadcast_bytes=0), want)
+
+
+def test_drop_contaminated_keeps_clean_rows_whole(spark, docs):
+    d, b = corpus(docs, spark)
+    verdict = {(r["doc_id"], r["n_words"]): r["contaminated"] for r in D.contamination(d, b).collect()}
+    left = D.drop_contaminated(d, b)
+    assert left.columns == d.columns
+    assert left.count() == sum(not r["contaminated"] for r in D.contamination(d, b).collect()) and len(verdict) > 1
+
+
+def test_empty_tables(spark, docs):
+    d, b = corpus(docs, spark)
+    none = spark.createDataFrame([], ITEMS)
+    assert D.contamination(docs([]), b).count() == 0
+    assert D.contamination(d, none).where("contaminated or n_items > 0").count() == 0
+    assert D.drop_contaminated(d, none).count() == d.count()
+    assert X.scheduled(docs([])).count() == 0
+
+
+def source_rows():
+    rng = random.Random(22)
+    rows = [(i, f"t{i}", "en", rng.choice(["a", "a", "a", "a", "b", "b", None])) for i in range(900)]
+    return rows + [(None, "x", "en", "c"), (5, "t5", "en", "a"), (5, "t5", "en", "a"), (901, None, "en", "c")]
+
+
+def test_schedule_equals_sql(docs):
+    d = docs(source_rows()).select("doc_id", "source")
+    got = X.scheduled(d)
+    got = got.select("doc_id", "source", *[F.col(f"_{c}").alias(c) for c in ("block", "place", "slot", "release", "deadline")])
+    same(got, sql(X.SQL, documents=d))
+
+
+def test_windows_hold_and_shares_deviate_by_less_than_a_block(docs):
+    rows = [(i, "t", "en", s) for i, s in enumerate(["a"] * 600 + ["b"] * 300 + ["c"] * 100 + [None] * 50)]
+    weights = {"a": 0.5, "b": 0.3, "c": 0.15, None: 0.05}
+    out = X.scheduled(docs(rows), weights=weights, block=5, resolution=100).collect()
+    slots = {}
+    for r in out:
+        assert r["_release"] <= r["_slot"] < r["_deadline"]
+        slots.setdefault(r["_slot"], set()).add((r["source"], r["_block"]))
+    assert all(len(s) == 1 for s in slots.values())
+    done = dict.fromkeys(weights, 0)
+    for t in range(40):  # all sources last that long
+        for source, _ in slots[t]:
+            done[source] += 1
+        assert all(abs(done[s] - w * (t + 1)) < 1 for s, w in weights.items())
+
+
+def test_mixed_keeps_rows_columns_and_order(docs):
+    d = docs(source_rows()).withColumns({"src": F.lit("mine"), "slot": F.lit(1)})
+    out = X.mixed(d)
+    assert out.columns == d.columns and out.count() == d.count()
+    order = [(r["_slot"], r["_place"]) for r in X.scheduled(d).orderBy("_slot", "_place").collect()]
+    ids = [r["doc_id"] for r in X.scheduled(d).orderBy("_slot", "_place").collect()]
+    assert order == sorted(order) and len(set(order)) == len(order)
+    assert [r["doc_id"] for r in out.collect()] == ids
