@@ -37,7 +37,9 @@ MIN_ASSIGN, MIN_ACCESS = 8, 16
 
 SENSITIVE = re.compile(r"passw|secret|token|api_?key|credential|private|bearer|auth|access_?key|akia|pwd|signature", re.I | re.A)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,31}")
+# Words, camelCase, snake_case and UPPER_CASE; random strings of mixed case are none of these.
+PART = r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]+)"
+IDENTIFIER = re.compile(rf"(?<![A-Za-z0-9_])(?=\w{{3,32}}(?!\w)){PART}(?:_{PART})*(?![A-Za-z0-9_])")
 NEAR, CONTEXT = 64, 256
 DICT_WORDS = 2000
 NOVELTY = 0.8
@@ -98,9 +100,8 @@ class Novelty:
 
     def share(self, text: str, start: int, end: int) -> float:
         """Marginal compressed bytes of text[start:end] per byte, given what stands around it."""
-        around = (text[max(0, start - CONTEXT):start] + "\n" + text[end:end + CONTEXT]).encode()
-        own = text[start:end].encode()
-        return (len(self.z.compress(around + own)) - len(self.z.compress(around))) / len(own)
+        before, own, after = (x.encode() for x in (text[max(0, start - CONTEXT):start], text[start:end], text[end:end + CONTEXT]))
+        return (len(self.z.compress(before + own + after)) - len(self.z.compress(before + after))) / len(own)
 
 
 def identifiers(docs: DataFrame, limit: int = DICT_WORDS) -> list[str]:
@@ -113,7 +114,8 @@ def identifiers(docs: DataFrame, limit: int = DICT_WORDS) -> list[str]:
                 for t in texts:
                     text = t.decode()
                     for lo, hi in windows(text):
-                        count.update(w for w in IDENTIFIER.findall(text, lo, hi) if not any(c.isdigit() for c in w))
+                        count.update(m.group() for m in IDENTIFIER.finditer(text[max(0, lo - 33):hi + 33])
+                                     if lo <= m.start() + max(0, lo - 33) < hi)
                 if len(count) > 200_000:
                     yield counted(count)
                     count = Counter()
