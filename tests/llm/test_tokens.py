@@ -1,0 +1,72 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from kestrel.llm import token_output as T
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+def encoder():
+    t = tokenizers.Tokenizer.from_file(T.tokenizer_path())
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_encode_like_whole_texts():
+    rng, plain = random.Random(41), encoder()
+    parts = [" ", "\n", "a", "b", "é", ".", "  ", "1", "'s", "\t", "\r\n", "\xa0", "<|endoftext|>", "漢", " the", "😀", "\x00", ",", "b.", "ab,", "\x1c"]
+    for cache in (T.CACHE_PIECES, 5):
+        e = T.ChunkEncoder(T.tokenizer_path(), cache)
+        for _ in range(400):
+            batch = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(8)]
+            assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(batch)] == [plain(t) for t in batch]
+
+
+def rows():
+    rng = random.Random(42)
+    out = [(i, " ".join(rng.choice(["one", "Two,", "three.\nFour", "  ", "é"]) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rng.shuffle(out)
+    return out + [(500, None), (501, ""), (502, "long " * 20000), (3, out[0][1]), (None, "no id")]
+
+
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_round_trip_and_starts(spark, docs, tmp_path, encoding):
+    plain, path = encoder(), str(tmp_path / "t")
+    data = rows()
+    T.write_tokens(docs(data).withColumns({"ids": F.lit(1), "part": F.lit(2)}), path, T.tokenizer_path(), encoding=encoding, page_rows=10)
+    ids = sorted((r["doc_id"] is not None, r["doc_id"] or 0, tuple(r["ids"])) for r in T.read_tokens(spark, path).collect())
+    assert ids == sorted((d is not None, d or 0, tuple(plain(t or "") + [0])) for d, t in data)
+    at = 0
+    for r in T.token_digest(spark, path).orderBy("start").collect():
+        assert r["start"] == at
+        at += r["n_tokens"]
+    named = [r["doc_id"] for r in T.token_digest(spark, path).orderBy("start").collect()]
+    assert named[0] is None and named[1:] == sorted(named[1:])
+    want = {d: zlib.crc32(np.array(plain(t or "") + [0], "<u4").tobytes()) for d, t in data if d not in (3, None)}
+    assert {r["doc_id"]: r["ids_crc32"] for r in T.token_digest(spark, path).collect() if r["doc_id"] in want} == want
+    assert [r["doc_id"] for r in T.read_tokens(spark, path, 10, 12).orderBy("doc_id").collect()] == [10, 11, 12]
+
+
+def test_file_layout(spark, docs, tmp_path):
+    path = str(tmp_path / "t")
+    T.write_tokens(docs(rows()).coalesce(1), path, T.tokenizer_path(), encoding="delta", page_rows=10)
+    meta = pq.ParquetFile(next((tmp_path / "t").glob("part-*"))).metadata.row_group(0)
+    encodings = {meta.column(i).path_in_schema: meta.column(i).encodings for i in range(meta.num_columns)}
+    assert "DELTA_BINARY_PACKED" in encodings["n_tokens"] and meta.column(0).has_column_index
+    plan = T.read_metadata(spark, path)._jdf.queryExecution().toString()
+    assert "ids" not in plan.split("ReadSchema")[-1]
+
+
+def test_own_order_and_empty_table(spark, docs, tmp_path):
+    data = [(i, f"text {i}") for i in range(50)]
+    T.write_tokens(docs(data), str(tmp_path / "a"), T.tokenizer_path(), order=[F.col("doc_id").desc()])
+    assert [r["doc_id"] for r in T.token_digest(spark, str(tmp_path / "a")).orderBy("start").collect()] == list(range(49, -1, -1))
+    T.write_tokens(docs([]), str(tmp_path / "b"), T.tokenizer_path())
+    assert T.token_digest(spark, str(tmp_path / "b")).count() == 0
+    with pytest.raises(ValueError):
+        T.write_tokens(docs(data), str(tmp_path / "c"), T.tokenizer_path(), encoding="rle")
