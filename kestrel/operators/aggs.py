@@ -2,16 +2,15 @@
 daily statistics (q17) and keyed running sums.
 
 Filtered ``count(DISTINCT ...)`` over two columns makes Spark expand every row once per
-distinct column (``Expand``) before aggregating. Here each distinct count is a
-two-level aggregate instead: first ``group by (keys, bidder)`` keeping one flag per
-band (partial aggregation collapses duplicates map-side), then count and sum the flags
-per key. The three parts are joined on the (few) group keys. Exact, no row expansion.
+distinct column (``Expand``) and join or re-aggregate per band. Here one scan tags each bid
+with its bidder and its auction, ``group by (keys, tag, value)`` keeps counts and one flag
+per band (partial aggregation collapses duplicates map-side), and a second aggregate per
+key counts values and sums flags. No join, so NULL groups stay; NULL values are not
+counted as distinct values; a band without a bid is 0.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,33 +26,43 @@ def bands(price: str = "price") -> list[Column]:
     return [S.in_band(price, None, lo), S.in_band(price, lo, hi), S.in_band(price, hi, None)]
 
 
-def _count_part(b: DataFrame, keys: list[str], extra: list[Column]) -> DataFrame:
-    r1, r2, r3 = bands()
-    return b.groupBy(*keys).agg(
-        *extra,
-        F.count(F.lit(1)).alias("total_bids"),
-        F.count_if(r1).alias("rank1_bids"),
-        F.count_if(r2).alias("rank2_bids"),
-        F.count_if(r3).alias("rank3_bids"))
+TAGS = ("bidder", "auction")
 
 
-def _distinct_part(b: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
-    r1, r2, r3 = bands()
-    per = b.groupBy(*keys, col).agg(
-        F.max(r1.cast("int")).alias("f1"), F.max(r2.cast("int")).alias("f2"), F.max(r3.cast("int")).alias("f3"))
-    return per.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(f"total_{name}"),
-        F.sum("f1").cast("long").alias(f"rank1_{name}"),
-        F.sum("f2").cast("long").alias(f"rank2_{name}"),
-        F.sum("f3").cast("long").alias(f"rank3_{name}"))
+def band_partials(bid: DataFrame, keys: list[str], latest: dict[str, Column] | None = None) -> DataFrame:
+    """One row per (keys, tag, value): rows and rows per band, band flags, maxima of ``latest``."""
+    tagged = F.array(*[F.struct(F.lit(t).alias("tag"), F.col(t).cast("long").alias("value")) for t in TAGS])
+    more = {name: c for name, c in (latest or {}).items()}
+    x = bid.select(*keys, "price", *[c.alias(n) for n, c in more.items()], F.explode(tagged).alias("_t"))
+    r = bands()
+    return x.groupBy(*keys, F.col("_t.tag").alias("tag"), F.col("_t.value").alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(r, 1)],
+        *[F.max(n).alias(n) for n in more])
+
+
+def merged_partials(partials: DataFrame, keys: list[str], latest: list[str] | None = None) -> DataFrame:
+    """Partials of several batches as one."""
+    return partials.groupBy(*keys, "tag", "value").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3")], *[F.max(c).alias(c) for c in latest or []])
+
+
+def band_totals(partials: DataFrame, keys: list[str], latest: list[str] | None = None) -> DataFrame:
+    def total(tag, cond, what=F.lit(1)):
+        return F.coalesce(F.sum(F.when((F.col("tag") == tag) & cond, what)), F.lit(0)).cast("long")
+
+    every, known = F.lit(True), F.col("value").isNotNull()
+    bids = [total("bidder", every, F.col("n")).alias("total_bids")]
+    bids += [total("bidder", every, F.col(f"n{i}")).alias(f"rank{i}_bids") for i in (1, 2, 3)]
+    distinct = []
+    for tag in TAGS:
+        distinct.append(total(tag, known).alias(f"total_{tag}s"))
+        distinct += [total(tag, known & (F.col(f"n{i}") > 0)).alias(f"rank{i}_{tag}s") for i in (1, 2, 3)]
+    return partials.groupBy(*keys).agg(*[F.max(c).alias(c) for c in latest or []], *bids, *distinct)
 
 
-def band_stats(bid: DataFrame, keys: list[str], extra: list[Column] | None = None) -> DataFrame:
-    b = bid.select(*keys, "price", "bidder", "auction", "dateTime")
-    parts = [_count_part(b, keys, extra or []),
-             _distinct_part(b, keys, "bidder", "bidders"),
-             _distinct_part(b, keys, "auction", "auctions")]
-    return reduce(lambda x, y: x.join(y, keys), parts)
+def band_stats(bid: DataFrame, keys: list[str], latest: dict[str, Column] | None = None) -> DataFrame:
+    names = list(latest or {})
+    return band_totals(band_partials(bid, keys, latest), keys, names)
 
 
 def _with_date(bid: DataFrame) -> DataFrame:
@@ -76,7 +85,7 @@ def channel_daily(bid: DataFrame) -> DataFrame:
     """q16: q15 per (channel, day), plus the latest HH:mm of the day (``max`` of the
     minute of day, formatted after aggregation: same order as the ``HH:mm`` strings)."""
     minute_of_day = F.hour("dateTime") * 60 + F.minute("dateTime")
-    out = band_stats(_with_date(bid), ["channel", "_date"], [F.max(minute_of_day).alias("_mod")])
+    out = band_stats(_with_date(bid), ["channel", "_date"], {"_mod": minute_of_day})
     hhmm = F.format_string("%02d:%02d", F.floor(F.col("_mod") / 60).cast("int"), (F.col("_mod") % 60).cast("int"))
     return _day_first(out.withColumn("minute", hhmm).drop("_mod"), ["channel"]).select(
         "channel", "day", "minute", *[c for c in out.columns if c not in ("channel", "_date", "_mod")])
@@ -108,16 +117,16 @@ def running_sum(df: DataFrame, key: str, order: list[str], value: str, keep: lis
     """
     d = df.withColumn("_v", F.col(value).cast(f"decimal(38,{scale})"))
     run = P.prefix(d, [key], order, F.col("_v"), "sum", "_run", True, buckets)
-    first = (df.groupBy(key)
+    first = (df.groupBy(F.col(key).alias("_of"))
              .agg(F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(*[F.col(c) for c in order]))
                   .alias("_first")))
-    out = run.join(first, key)
+    out = run.join(first, run[key].eqNullSafe(first["_of"]))  # a NULL key is a group, too
     return out.select(*[F.col("_first")[c].alias(c) for c in keep], key,
                       F.col("_run").cast("double").alias(value), *[F.col(c).alias(f"row_{c}") for c in order])
 
 
-def running_sum_values(df: DataFrame, value: str) -> DataFrame:
-    """Keyed running sum where the key is the value itself, after which the sum is
-    dropped: one output row per input row, equal to the input value. The plan is the
-    projection; a running-sum window whose result is unused is pruned by Catalyst."""
-    return df.select(F.col(value))
+def running_sum_values(df: DataFrame, value: str, order: list[str], buckets: int | None = None) -> DataFrame:
+    """Keyed running count and sum where the key is the value itself: one row per input row."""
+    d = df.withColumn("_one", F.lit(1).cast("long"))
+    run = P.prefix(d, [value], order, F.col("_one"), "sum", "_n", True, buckets)
+    return run.select(F.col(value), F.col("_n").alias("occurrence"))

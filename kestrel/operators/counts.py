@@ -35,8 +35,8 @@ def count_slide(df: DataFrame, key: str, seq: str, value: str, size: int = 5, sl
     ends = F.filter(F.sequence(F.col("rn"), F.col("rn") + size - 1), lambda e: e % slide == 0)
     x = r.select(key, value, F.explode(ends).alias("_end"))
     sums = x.groupBy(key, "_end").agg(F.sum(value).cast("long").alias(value))
-    last = r.groupBy(key).agg(F.max("rn").alias("_max"))
-    return (sums.join(last, key).where(F.col("_end") <= F.col("_max"))
+    last = r.groupBy(F.col(key).alias("_of")).agg(F.max("rn").alias("_max"))
+    return (sums.join(last, sums[key].eqNullSafe(last["_of"])).where(F.col("_end") <= F.col("_max"))
             .select(key, value, F.col("_end").alias("end_position")))
 
 

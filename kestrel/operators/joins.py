@@ -1,14 +1,15 @@
 """Joins of the auction queries and the record jobs. All inner, as in the reference.
 
 Every join has an equality key, so Spark plans a hash or sort-merge join on it (AQE
-turns it into a broadcast join only when the runtime size of a side is small, and
-splits skewed partitions of a hot key). Range conditions ride along as residuals.
+turns it into a broadcast join only when the runtime size of a side is small). A hot key's
+partition is split by AQE; where an aggregate reuses the join's partitioning (q4, q9) that
+needs ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which ``session.configure`` sets. Range conditions ride along as residuals.
 Filters are written before the join so they reach the parquet scans.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import scalar as S
@@ -82,24 +83,24 @@ def window_join(orders: DataFrame, goods: DataFrame, size: str, order_time: str
                     (F.col("goodsPrice") * F.col("count")).alias("totalMoney"))
 
 
-def versioned_dim(dim: DataFrame, key: str, valid_from: str = "valid_from") -> DataFrame:
-    """Snapshot rows → validity intervals ``[valid_from, valid_to)`` per key.
+def versioned_dim(dim: DataFrame, valid_from: str = "valid_from") -> DataFrame:
+    """Snapshot rows → validity intervals ``[valid_from, valid_to)``.
 
-    A key missing from a later snapshot keeps its last version here; snapshots that
-    replace the whole map are modelled by giving every key a row per snapshot.
+    A snapshot replaces the whole map: it ends when the *next snapshot* starts, so a key
+    that is absent from the newest snapshot stops matching. The window orders one row per
+    snapshot time; join back on that time.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(key).orderBy(valid_from)
-    return dim.withColumn("valid_to", F.lead(valid_from).over(w))
+    times = dim.select(F.col(valid_from).alias("_at")).distinct()
+    until = times.select("_at", F.lead("_at").over(Window.orderBy("_at")).alias("valid_to"))
+    return dim.join(until, dim[valid_from] == until["_at"]).drop("_at")
 
 
 def as_of_enrich(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_time: str,
                  how: str = "inner") -> DataFrame:
-    """Each fact row joined to the dimension version valid at its time (key equality +
-    ``valid_from <= t < valid_to``). Facts before the first version, or of unknown keys,
-    are dropped (``how="left"`` keeps them with NULLs)."""
-    d = versioned_dim(dim, dim_key)
+    """Each fact row joined to its key's row in the snapshot valid at its time (key equality +
+    ``valid_from <= t < valid_to``). Facts before the first snapshot, or of keys that the
+    snapshot lacks, are dropped (``how="left"`` keeps them with NULLs)."""
+    d = versioned_dim(dim)
     cond = ((facts[fact_key] == d[dim_key]) & (facts[fact_time] >= d.valid_from)
             & (d.valid_to.isNull() | (facts[fact_time] < d.valid_to)))
     return facts.join(d, cond, how)

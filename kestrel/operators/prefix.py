@@ -4,8 +4,9 @@ A bare ``Window.partitionBy(key).orderBy(seq)`` puts every row of a key in one t
 without a key, every row of the table. When one key holds a third of all rows, that
 task is the job. The helpers here split each key by *range of the order column*:
 
-1. add ``_bkt`` = equal-width range bucket of the order value between its approximate
-   0.1% and 99.9% quantiles (one small aggregate job; outliers clamp to the edges),
+1. add ``_bkt`` = equal-depth range bucket of the order value, bounded by its approximate
+   quantiles (one small aggregate job), so clusters and outliers get ranges of about the
+   same number of rows (rows with one order value stay together),
    for *hot* keys only: a key with more rows than ``total / buckets`` (so at most
    ``buckets`` keys, broadcast with that bound) is split; every other key keeps all
    its rows, at most that many, in bucket 0;
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,32 +45,31 @@ def order_value(df: DataFrame, col: str) -> Column:
 
 def with_bucket(df: DataFrame, order_col: str, buckets: int | None = None,
                 keys: list[str] | None = None) -> DataFrame:
-    """Add ``_bkt``: equal-width range bucket of ``order_col`` (monotone in the order).
+    """Add ``_bkt``: equal-depth range bucket of ``order_col`` (monotone in the order).
 
     With ``keys``, only hot keys (more than ``total / buckets`` rows) are bucketed; the
     others get bucket 0. Without keys (one global order) every row is bucketed.
     """
     buckets = buckets or default_buckets(df)
     v = order_value(df, order_col)
-    # Range from approximate 0.1% / 99.9% quantiles: a few outliers fall into the edge
-    # buckets (clamping keeps the buckets monotone in the order) instead of stretching all.
-    q, total = df.agg(F.percentile_approx(v, [0.001, 0.999], 10_000), F.count(F.lit(1))).first()
-    if q is None or q[0] is None:
+    inner = [i / buckets for i in range(1, buckets)]
+    q, total = df.agg(F.percentile_approx(v, inner or [0.5], max(10_000, 20 * buckets)), F.count(F.lit(1))).first()
+    bounds = sorted({float(x) for x in q or []})
+    if not bounds:
         return df.withColumn(BKT, F.lit(0).cast("long"))
-    lo, hi = int(q[0]), int(q[1])
-    width = max(1, math.ceil((hi - lo + 1) / buckets))
-    clamped = F.least(F.greatest(v, F.lit(lo)), F.lit(hi))
-    rng = F.floor((clamped - F.lit(lo)) / F.lit(width)).cast("long")
+    # A row's bucket is found by binary search in the JVM; NULL order values come first.
+    cut = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_order", outputCol="_range")
+    ranged = (cut.transform(df.withColumn("_order", F.coalesce(v.cast("double"), F.lit(-1.7e308))))
+              .withColumn(BKT, F.col("_range").cast("long")).drop("_order", "_range"))
     if not keys:
-        return df.withColumn(BKT, rng)
+        return ranged
     limit = math.ceil(total / buckets)
     # At most ``buckets`` keys can exceed total / buckets rows: a proven broadcast bound.
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-           .select(*keys, F.lit(True).alias("_hot")))
-    hot = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_hot")
-    cond = [df[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
-    return (df.join(F.broadcast(hot), cond, "left")
-            .withColumn(BKT, F.when(F.col("_hot"), rng).otherwise(F.lit(0).cast("long")))
+           .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot")))
+    cond = [ranged[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
+    return (ranged.join(F.broadcast(hot), cond, "left")
+            .withColumn(BKT, F.when(F.col("_hot"), F.col(BKT)).otherwise(F.lit(0).cast("long")))
             .drop("_hot", *[f"_hk{i}" for i in range(len(keys))]))
 
 

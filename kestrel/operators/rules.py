@@ -1,48 +1,49 @@
 """Rule-driven (broadcast-state) jobs, pinned to event-time as-of semantics: a rule or a
 dimension snapshot applies to rows at or after its own timestamp.
 
-Rule histories are turned into validity intervals ``[valid_from, valid_to)`` with one
-small window over the (tiny) rule table, then joined to the data. A side is broadcast
-only after its row count is checked (``small_side``); otherwise the join shuffles.
+Rules and rows are put in one order of time and each row takes the last rule at or before
+it, with the ordered scan of ``prefix`` (a running maximum of (time, arrival)). There is no
+join of rows with rules, no broadcast and no limit on the number of rules.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators import joins as J
+from kestrel.operators import prefix as P
 
 # Alert text of the keyword filter job ("message intercepted: <msg>,
 # because it matched rule: <keyword>").
 ALERT_PREFIX = "拦截消息:"
 ALERT_MIDDLE = ", 是因为匹配到规则:"
 
-MAX_BROADCAST_ROWS = 100_000
+START = "0001-01-01 00:00:00"  # a rule without a time is there from the start
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side has at most ``max_rows`` rows (checked)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def last_rule(rows: DataFrame, rules: DataFrame, value: str, time: str = "ts", arrival: str = "arrival",
+              out: str = "rule") -> DataFrame:
+    """Rows with the ``value`` of the last rule at or before their time (NULL before the first).
 
-
-def intervals(rules: DataFrame, time: str = "ts") -> DataFrame:
-    """Rule history ``(ts, ...)`` → ``valid_from`` / ``valid_to`` (NULL = open end).
-    A NULL ``ts`` is the initial rule, valid from the start."""
-    w = Window.orderBy(F.col(time).asc_nulls_first())
-    return (rules.withColumn("valid_from", F.col(time))
-            .withColumn("valid_to", F.lead(time).over(w)))
-
-
-def _during(t, r: DataFrame):
-    return ((r.valid_from.isNull() | (t >= r.valid_from)) & (r.valid_to.isNull() | (t < r.valid_to)))
+    Rules at one time are ordered by their ``arrival`` number, where they have one, then by value.
+    """
+    keep = [c for c in rows.columns]
+    when = F.coalesce(F.col(time), F.lit(START).cast("timestamp_ntz"))
+    came = F.col(arrival).cast("long") if arrival in rules.columns else F.lit(0).cast("long")
+    r = rules.select(when.alias("_time"), F.lit(0).alias("_is_row"),
+                     F.struct(when.alias("t"), came.alias("a"), F.col(value).alias("v")).alias("_rule"),
+                     F.lit(None).cast(rows.select(F.struct(*keep)).schema[0].dataType).alias("_row"))
+    x = rows.select(F.col(time).alias("_time"), F.lit(1).alias("_is_row"), F.lit(None).cast(r.schema["_rule"].dataType).alias("_rule"),
+                    F.struct(*keep).alias("_row"))
+    seen = P.prefix(r.unionByName(x), [], ["_time", "_is_row"], F.col("_rule"), "max", "_last", True)
+    return seen.where("_is_row = 1").select("_row.*", F.col("_last.v").alias(out))
 
 
 def latest_rule_filter(messages: DataFrame, keywords: DataFrame, text: str = "message",
                        time: str = "ts") -> DataFrame:
     """Each message checked against the keyword current at its time; matches become alerts."""
-    r = small_side(intervals(keywords).select("keyword", "valid_from", "valid_to"))
-    j = messages.join(r, _during(messages[time], r))
+    j = last_rule(messages, keywords, "keyword", time, out="keyword")
     return (j.where(F.col(text).contains(F.col("keyword")))
             .select("seq", text, "keyword",
                     F.concat(F.lit(ALERT_PREFIX), F.col(text), F.lit(ALERT_MIDDLE), F.col("keyword"))
@@ -51,22 +52,20 @@ def latest_rule_filter(messages: DataFrame, keywords: DataFrame, text: str = "me
 
 def accumulated_rules(rules: DataFrame, rule: str = "keyword", time: str = "ts") -> DataFrame:
     """Growing rule set: after each arrival, the sorted set of all rules so far as text
-    ``r:r;r:r;`` (a rule seen twice is one entry). Before the first rule: ''."""
+    ``r:r;r:r;`` (a rule seen twice is one entry). One row per time at which the set grew;
+    its texts are the job's answer, so they grow with the set by definition."""
     first = rules.where(F.col(time).isNotNull()).groupBy(rule).agg(F.min(time).alias(time))
     w = Window.orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
     sets = (first.groupBy(time).agg(F.collect_set(rule).alias("_new"))
             .withColumn("_all", F.array_sort(F.array_distinct(F.flatten(F.collect_list("_new").over(w))))))
-    text = F.array_join(F.transform("_all", lambda r: F.concat(r, F.lit(":"), r, F.lit(";"))), "")
-    versions = sets.select(time, text.alias("rules"))
-    empty = versions.sparkSession.createDataFrame([(None, "")], f"{time} timestamp_ntz, rules string")
-    return intervals(empty.unionByName(versions)).select("rules", "valid_from", "valid_to")
+    text: Column = F.array_join(F.transform("_all", lambda r: F.concat(r, F.lit(":"), r, F.lit(";"))), "")
+    return sets.select(time, text.alias("rules"))
 
 
 def rules_for_each(txn: DataFrame, rules: DataFrame, time: str = "ts") -> DataFrame:
-    """Every transaction with the text of all rules known at its time (left join: a
-    transaction before any rule gets the empty list)."""
-    r = small_side(accumulated_rules(rules))
-    j = txn.join(r, _during(txn[time], r), "left")
+    """Every transaction with the text of all rules known at its time (a transaction
+    before any rule gets the empty list)."""
+    j = last_rule(txn, accumulated_rules(rules, time=time), "rules", time, out="rules")
     return j.select("id", "account_id", F.coalesce("rules", F.lit("")).alias("rules"))
 
 

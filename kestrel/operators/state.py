@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators import prefix as P
-from kestrel.operators.rules import small_side
 
 
 def alert_all(txn: DataFrame) -> DataFrame:
@@ -44,13 +43,13 @@ def two_step_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, sha
     an exclusive running max of ``-seq`` in descending ``seq`` order, computed with the
     bucketed ordered scan (no self-join, hot keys split into range buckets).
     """
-    # One row per (rule, shape, role); broadcast after a row-count check.
+    # One row per (rule, shape, role); an equality join, which Spark broadcasts if its size allows.
     roles = (rules.select("rule", F.col("first").alias("shape"), F.lit(True).alias("is_first"),
                           (F.col("first") == F.col("second")).alias("is_second"))
              .unionByName(rules.where(F.col("first") != F.col("second"))
                           .select("rule", F.col("second").alias("shape"), F.lit(False).alias("is_first"),
                                   F.lit(True).alias("is_second"))))
-    x = (items.join(small_side(roles), items[shape] == roles.shape)
+    x = (items.join(roles, items[shape] == roles.shape)
          .select("rule", key, seq, "is_first", "is_second", (-F.col(seq)).alias("_desc")))
     later_second = F.when(F.col("is_second"), -F.col(seq))
     x = P.prefix(x, ["rule", key], ["_desc"], later_second, "max", "_next", False, buckets)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import joins as J
 
+WINNER_COLUMNS = J.AUCTION_COLUMNS + ["auction", "bidder", "price", "bid_dateTime", "bid_extra"]
 BID_COLUMNS = ["auction", "bidder", "price", "channel", "url", "dateTime", "extra"]
 
 
@@ -36,8 +37,12 @@ def winning_bids(auction: DataFrame, bid: DataFrame) -> DataFrame:
     """q9: per auction, the highest bid placed while it was open; earliest on a price tie
     (then lowest bidder, so the answer does not depend on arrival)."""
     j = J.interval_join(auction, bid)
-    cols = J.AUCTION_COLUMNS + ["auction", "bidder", "price", "bid_dateTime", "bid_extra"]
-    return top1(j, ["id"], [-F.col("price"), F.col("bid_dateTime"), F.col("bidder")], cols, "aggregate")
+    return top1(j, ["id"], winning_order(), WINNER_COLUMNS, "aggregate")
+
+
+def winning_order() -> list:
+    """A bid without a price never beats one with a price."""
+    return [F.col("price").isNull(), -F.col("price"), F.col("bid_dateTime"), F.col("bidder")]
 
 
 def last_bid(bid: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ Windows are epoch-aligned (``F.window`` with no offset), bounds come out as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import scalar as S
@@ -18,41 +18,26 @@ def _bounds(w: str = "window"):
     return [F.col(f"{w}.start").alias("starttime"), F.col(f"{w}.end").alias("endtime")]
 
 
-def hot_items(df: DataFrame, key: str, time: str, size: str, slide: str, out_key: str = "auction",
-              max_broadcast_windows: int = 1_000_000) -> DataFrame:
+def hot_items(df: DataFrame, key: str, time: str, size: str, slide: str, out_key: str = "auction") -> DataFrame:
     """q5: per hop window, the keys with the most rows (all ties kept) and their count.
 
     The per-window maximum is a partial aggregate (one row per window), joined back to
-    the counts on the window. It is broadcast when the number of windows, bounded from
-    the time range, is at most ``max_broadcast_windows``; otherwise the join shuffles.
-    A window function ``max() over (partition by window)`` would put every key of a
-    window into one task.
+    the counts on the window; AQE broadcasts it when its runtime size allows and splits a
+    skewed window otherwise. A window function ``max() over (partition by window)`` would
+    put every key of a window into one task.
     """
     counts = (df.groupBy(F.col(key).alias(out_key), F.window(time, size, slide))
               .agg(F.count(F.lit(1)).alias("num")))
-    small = _window_count_bound(df, time, size, slide) <= max_broadcast_windows
-    return top_per_window(counts, out_key, small)
+    return top_per_window(counts, out_key)
 
 
-def top_per_window(counts: DataFrame, out_key: str, broadcast_max: bool) -> DataFrame:
+def top_per_window(counts: DataFrame, out_key: str) -> DataFrame:
     """Rows of ``(out_key, window, num)`` whose ``num`` is the maximum of their window."""
     maxes = counts.groupBy(F.col("window").alias("m_window")).agg(F.max("num").alias("maxn"))
-    if broadcast_max:
-        maxes = F.broadcast(maxes)
     j = counts.join(maxes, (counts.window == maxes.m_window) & (counts.num >= maxes.maxn))
     return j.select(out_key, "num")
 
 
-def _window_count_bound(df: DataFrame, time: str, size: str, slide: str) -> int:
-    """Upper bound of the number of hop windows over the time range of ``df``."""
-    lo, hi = df.agg(F.min(time), F.max(time)).first()
-    if lo is None:
-        return 0
-    span = (hi - lo).total_seconds()
-    slide_s = _seconds(slide)
-    return int(span // slide_s) + int(_seconds(size) // slide_s) + 1
-
-
 def _seconds(interval: str) -> float:
     n, unit = interval.split()
     mult = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -63,22 +48,24 @@ def max_per_window(df: DataFrame, time: str, price: str, size: str, size_seconds
     """q7: rows whose ``price`` equals the maximum of a tumbling window and whose time lies
     in ``[rowtime - size, rowtime]``, rowtime = window end - 1 ms (both ends inclusive).
 
-    A row can match the maximum of its own window or, when it lies exactly 1 ms before
-    the next window, of that one: the join key is (candidate window start, price), so
-    no shuffle key is as coarse as a single price value.
+    A row can match its own window, or, in the last millisecond before it, the next one. Own
+    window: ``rank() = 1`` by price, which Spark limits per map task before the shuffle, so
+    only rows that may win are moved. Next window: the few rows of those last milliseconds,
+    joined to the windows' maxima.
     """
-    maxes = (df.groupBy(F.window(time, size))
-             .agg(F.max(price).alias("maxprice"))
-             .select(F.col("window.start").alias("m_start"), "maxprice",
-                     S.rowtime("window.end").alias("rowtime")))
-    cand = F.array_distinct(F.array(
-        F.window(time, size).start,
-        F.window(F.timestamp_add("MILLISECOND", F.lit(1), F.col(time)), size).start))
-    d = df.withColumn("_cand", F.explode(cand))
-    lower = F.timestamp_add("SECOND", F.lit(-size_seconds), F.col("rowtime"))
-    j = d.join(maxes, (d._cand == maxes.m_start) & (d[price] == maxes.maxprice)
-               & F.col(time).between(lower, F.col("rowtime")))
-    return j.drop("_cand", "m_start", "maxprice", "rowtime")
+    cols = df.columns
+    one_ms = F.expr("INTERVAL 1 MILLISECOND")
+    own = df.where(F.col(price).isNotNull()).withColumn("_w", F.window(time, size))
+    best = Window.partitionBy("_w").orderBy(F.col(price).desc())
+    won = (own.withColumn("_rank", F.rank().over(best)).where(F.col("_rank") <= 1)
+           .where(F.col(time) <= S.rowtime("_w.end")).select(*cols))
+    maxes = (df.groupBy(F.window(time, size)).agg(F.max(price).alias("_max"))
+             .select(F.col("window.start").alias("_start"), "_max"))
+    last_ms = own.where(F.col(time) >= S.rowtime("_w.end"))
+    lower = F.timestamp_add("SECOND", F.lit(-size_seconds), F.col("_start") + F.expr(f"INTERVAL {size_seconds} SECONDS") - one_ms)
+    early = (last_ms.join(maxes, (F.col("_w.end") == maxes["_start"]) & (F.col(price) == maxes["_max"]))
+             .where(F.col(time) >= lower).select(*cols))
+    return won.unionByName(early)
 
 
 def new_users(person: DataFrame, auction: DataFrame, size: str) -> DataFrame:
@@ -91,26 +78,23 @@ def new_users(person: DataFrame, auction: DataFrame, size: str) -> DataFrame:
     return j.select("id", "name", F.col("starttime").alias("stime"))
 
 
-def session_count(df: DataFrame, key: str, time: str, gap: str, out_key: str = "bidder",
-                  buckets: int | None = None) -> DataFrame:
+def session_count(df: DataFrame, key: str, time: str, gap: str, out_key: str = "bidder") -> DataFrame:
     """q11: rows per (key, session); a session ends after ``gap`` with no row of the key.
     A row exactly one gap after the previous one joins the session; end = last + gap.
 
-    Two levels, so a hot key is not sessionised in one task: sessions are first built
-    inside (key, time-range bucket) — partial aggregation, parallel — and the partial
-    sessions are then merged across bucket edges: a partial session is a row with the
-    dynamic gap ``(last - first) + gap``, i.e. the window ``[first, last + gap)``, which
-    merges with the next one exactly when their rows would have.
+    Two levels. Rows of one slot ``floor(time / gap)`` are never more than a gap apart, so a
+    slot is always part of one session: a plain partial aggregate per (key, slot) folds a hot
+    key's rows before the shuffle and leaves at most one row per slot of the time range. Those
+    are merged as rows with the dynamic gap ``(last - first) + gap``, i.e. the window
+    ``[first, last + gap)``, which meets the next one exactly when their rows would have.
     """
-    from kestrel.operators import prefix as P
-
     gap_us = int(_seconds(gap) * 1_000_000)
-    b = P.with_bucket(df.select(key, time), time, buckets, [key])
-    part = (b.groupBy(key, P.BKT, F.session_window(time, gap))
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    part = (df.groupBy(F.col(key).alias(out_key), F.floor(us / F.lit(gap_us)).alias("_slot"))
             .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi")))
     span_us = F.unix_micros(F.col("_hi").cast("timestamp")) - F.unix_micros(F.col("_lo").cast("timestamp"))
     dyn_gap = F.concat((span_us + F.lit(gap_us)).cast("string"), F.lit(" microseconds"))
-    return (part.groupBy(F.col(key).alias(out_key), F.session_window("_lo", dyn_gap))
+    return (part.groupBy(out_key, F.session_window("_lo", dyn_gap))
             .agg(F.sum("_n").alias("bid_count"))
             .select(out_key, "bid_count", F.col("session_window.start").alias("starttime"),
                     F.col("session_window.end").alias("endtime")))

@@ -119,7 +119,7 @@ QUERIES: dict[str, Query] = {
     # scalar jobs, sources, sinks
     "src_events": _event_counts,
     "running_sum_values": lambda s, d: aggs.running_sum_values(
-        calc.number_crunch(X.table(s, d, "lineitem"), "l_orderkey"), "value"),
+        X.table(s, d, "lineitem").select(S.cos_cbrt("l_orderkey").alias("value"), "l_linenumber"), "value", ["l_linenumber"]),
     "map_tostring": lambda s, d: joins.window_join(X.order_items(s, d), X.goods(s, d), "30 days").select(
         S.record_text("OrderDetails", ["goodsId", "goodsName", "count", "totalMoney"]).alias("text")),
     "map_cos_cbrt": lambda s, d: calc.number_crunch(X.table(s, d, "lineitem"), "l_orderkey"),

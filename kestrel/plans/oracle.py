@@ -67,7 +67,7 @@ user_info AS (
          TIMESTAMP '2024-01-05 00:00:00' AS valid_from FROM users
   UNION ALL
   SELECT userId, concat('user_', userId, '_v2'), CAST(21 + userId % 40 AS INTEGER),
-         TIMESTAMP '2024-01-15 00:00:00' FROM users)"""
+         TIMESTAMP '2024-01-15 00:00:00' FROM users WHERE userId % 10 <> 8)"""
 KEYWORDS = """keywords AS (SELECT * FROM (VALUES
   (NULL::TIMESTAMP, 'view'), (TIMESTAMP '2024-01-08 00:00:00', 'click'),
   (TIMESTAMP '2024-01-15 00:00:00', 'error'), (TIMESTAMP '2024-01-22 00:00:00', 'signup')) k(ts, keyword))"""
@@ -327,7 +327,7 @@ FROM txn t LEFT JOIN iv ON (iv.valid_from IS NULL OR t.ts >= iv.valid_from)
                        AND (iv.valid_to IS NULL OR t.ts < iv.valid_to)""".replace("\n, fst AS", ",\nfst AS")
 
 ORACLE["rules_snapshot"] = with_(USER_INFO) + """, d AS (
-  SELECT *, lead(valid_from) OVER (PARTITION BY userId ORDER BY valid_from) AS valid_to FROM user_info)
+  SELECT *, (SELECT min(n.valid_from) FROM user_info n WHERE n.valid_from > u.valid_from) AS valid_to FROM user_info u)
 SELECT d.userId, e.ts AS eventTime, e.event_type AS eventType, e.event_id AS productId, d.userName, d.userAge
 FROM events e JOIN d ON e.user_id = d.userId AND e.ts >= d.valid_from
                     AND (d.valid_to IS NULL OR e.ts < d.valid_to)""".replace("\n, d AS", ",\nd AS")
@@ -348,7 +348,8 @@ ORACLE["src_events"] = with_(PERSON, AUCTION, BID) + """SELECT 0 AS event_type,
 UNION ALL SELECT 1, count(*), max(dateTime) FROM auction
 UNION ALL SELECT 2, count(*), max(dateTime) FROM bid"""
 
-ORACLE["running_sum_values"] = "SELECT cos(cbrt(CAST(l_orderkey AS DOUBLE))) AS value FROM lineitem"
+ORACLE["running_sum_values"] = """SELECT value, row_number() OVER (PARTITION BY value) AS occurrence
+FROM (SELECT cos(cbrt(CAST(l_orderkey AS DOUBLE))) AS value FROM lineitem) v"""
 
 ORACLE["map_tostring"] = with_(ORDER_ITEM, GOODS) + f"""SELECT concat('OrderDetails(goodsId=', o.goodsId,
   ', goodsName=', g.goodsName, ', count=', CAST(o.count AS VARCHAR),

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where the join's partitioning feeds an aggregate (q4, q9).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcast only below a fixed size: AQE re-checks the real size at runtime.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

@@ -161,7 +161,7 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versioned user dimension: two snapshots per known user; users with id % 10 = 9 absent.
+    """Two snapshots of the known users (id % 10 <> 9); the second lacks the users with id % 10 = 8.
 
     Derived from the distinct users of ``events`` (one aggregation, so it grows with the data).
     """
@@ -171,7 +171,7 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _ts(USER_INFO_V1_FROM).alias("valid_from"))
     v2 = users.select("userId", F.concat(F.lit("user_"), F.col("userId"), F.lit("_v2")).alias("userName"),
                       (F.lit(21) + F.col("userId") % 40).cast("int").alias("userAge"),
-                      _ts(USER_INFO_V2_FROM).alias("valid_from"))
+                      _ts(USER_INFO_V2_FROM).alias("valid_from")).where("userId % 10 <> 8")
     return v1.unionByName(v2)
 
 

@@ -1,7 +1,7 @@
 """Sinks: discard, print, JDBC append, text append partitioned by date, nested JSON,
-keyed upsert snapshots and partitioned catalog tables. Batch writers take a DataFrame;
-``for_each_batch`` adapts any of them to a streaming query (exactly-once per batch id
-where the writer is idempotent: snapshot versions are named by batch id).
+keyed upsert snapshots and partitioned catalog tables. Batch writers take a DataFrame, so
+they serve as ``foreachBatch`` functions too (exactly-once per batch id where the writer
+is idempotent: snapshot versions are named by batch id).
 """
 
 from __future__ import annotations
@@ -39,18 +39,23 @@ def latest_per_key(df: DataFrame, key: str, seq: str, cols: list[str]) -> DataFr
 
 
 def upsert_snapshot(spark: SparkSession, updates: DataFrame, path: str, key: str, seq: str,
-                    cols: list[str], version: int) -> DataFrame:
+                    cols: list[str], version: int, first_version: int = 0) -> DataFrame:
     """Merge ``updates`` into the keyed snapshot at ``path`` and write it as version
     ``version`` (``path/v=<version>``): keys not updated keep their row, updated keys
     take their newest update. Returns the new snapshot. Re-running a version rewrites
-    the same files, so a retried micro-batch is harmless."""
+    the same files, so a retried micro-batch is harmless.
+
+    Version ``first_version`` starts the snapshot; every later one reads exactly the version
+    before it and fails if that cannot be read, so no earlier row is forgotten. A NULL key
+    is a key like any other."""
+    if version < first_version:
+        raise ValueError(f"version {version} is before the first version {first_version}")
     fresh = latest_per_key(updates, key, seq, [*cols, seq])
-    try:
-        old = spark.read.parquet(f"{path}/v={version - 1}") if version > 0 else None
-    except Exception:  # no earlier version
-        old = None
-    merged = fresh if old is None else old.join(fresh.select(key), key, "left_anti").unionByName(fresh)
-    merged.write.mode("overwrite").parquet(f"{path}/v={version}")
+    if version > first_version:
+        old = spark.read.parquet(f"{path}/v={version - 1}")
+        updated = fresh.select(F.col(key).alias("_updated"))
+        fresh = old.join(updated, old[key].eqNullSafe(F.col("_updated")), "left_anti").unionByName(fresh)
+    fresh.write.mode("overwrite").parquet(f"{path}/v={version}")
     return spark.read.parquet(f"{path}/v={version}")
 
 
@@ -67,13 +72,6 @@ def partitioned_table(spark: SparkSession, df: DataFrame, table: str, partition:
     spark.sql(f"INSERT INTO {table} PARTITION (`{partition}` = '{value}') SELECT * FROM {view}")
 
 
-def for_each_batch(writer):
-    """Adapt ``writer(batch_df, batch_id)`` for ``writeStream.foreachBatch``."""
-    def run(batch_df: DataFrame, batch_id: int) -> None:
-        writer(batch_df, batch_id)
-    return run
-
-
 def print_rows(df: DataFrame, n: int = 20) -> None:
     """Print rows (the reference's ``print()`` / alert sink) in batch."""
     df.show(n, truncate=False)

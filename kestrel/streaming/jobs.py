@@ -92,7 +92,7 @@ def hot_items_batches(sink, out_key: str = "auction"):
     (A stream self-join of the two aggregates is accepted by Spark but needs the
     watermark to travel through three stateful operators; this needs none.)"""
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(windows.top_per_window(batch, out_key, broadcast_max=True), batch_id)
+        sink(windows.top_per_window(batch, out_key), batch_id)
     return run
 
 
@@ -108,45 +108,26 @@ def band_stats_batches(store: str, keys: list[str], sink, with_minute: bool = Fa
     """q15 (``keys=[]``) / q16 (``keys=["channel"]``) on a stream via ``foreachBatch``;
     exact distinct counts are refused by streaming aggregation.
 
-    Log-structured and idempotent: batch ``id`` writes its partial tables under
-    ``store/<part>/batch=<id>/_month=...`` (band flags per (keys, day, bidder) and per
-    (keys, day, auction), counts per (keys, day)); a retried batch rewrites the same
-    folder. Then only the days the batch touched are recomputed from all batches'
-    partials (semi-join on the batch's (month, day); month folders prune the reads), and
-    their rows are emitted: the latest row of a (keys, day) is its answer.
+    Log-structured and idempotent: batch ``id`` writes its partials (one row per keys, day,
+    bidder or auction) under ``store/batch=<id>/_month=...``; a retried batch rewrites the
+    same folder. Then only the days the batch touched are recomputed from all batches'
+    partials (month folders prune the reads), and their rows are emitted: the latest row of a
+    (keys, day) is its answer. NULL keys, days and values count as in the batch form.
     """
     from kestrel.operators import aggs
 
     group = [*keys, "_date"]
+    latest = {"_mod": F.hour("dateTime") * 60 + F.minute("dateTime")} if with_minute else {}
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = aggs._with_date(batch).withColumn("_month", F.date_format("_date", "yyyy-MM"))
-        r1, r2, r3 = aggs.bands()
-        flags = [F.max(r.cast("int")).alias(f"f{i}") for i, r in enumerate((r1, r2, r3), start=1)]
-        extra = [F.max(F.hour("dateTime") * 60 + F.minute("dateTime")).alias("_mod")] if with_minute else []
-        partials = {
-            "bidders": b.groupBy("_month", *group, "bidder").agg(*flags),
-            "auctions": b.groupBy("_month", *group, "auction").agg(*flags),
-            "counts": aggs._count_part(b, ["_month", *group], extra),
-        }
-        for name, df in partials.items():
-            df.write.mode("overwrite").partitionBy("_month").parquet(f"{store}/{name}/batch={batch_id}")
-        days = b.select("_month", "_date").distinct()
-        hist = {n: spark.read.parquet(f"{store}/{n}").join(days, ["_month", "_date"], "left_semi")
-                for n in partials}
-        out = None
-        for name in ("bidders", "auctions"):
-            col = name[:-1]
-            per = hist[name].groupBy(*group, col).agg(*[F.max(f"f{i}").alias(f"f{i}") for i in (1, 2, 3)])
-            part = per.groupBy(*group).agg(
-                F.count(F.lit(1)).alias(f"total_{name}"),
-                *[F.sum(f"f{i}").cast("long").alias(f"rank{i}_{name}") for i in (1, 2, 3)])
-            out = part if out is None else out.join(part, group)
-        counts = hist["counts"].groupBy(*group).agg(
-            *[F.sum(c).cast("long").alias(c) for c in ("total_bids", "rank1_bids", "rank2_bids", "rank3_bids")],
-            *([F.max("_mod").alias("_mod")] if with_minute else []))
-        res = counts.join(out, group)
+        b = aggs._with_date(batch).withColumn("_month", F.coalesce(F.date_format("_date", "yyyy-MM"), F.lit("none")))
+        own = f"{store}/batch={batch_id}"
+        aggs.band_partials(b, ["_month", *group], latest).write.mode("overwrite").partitionBy("_month").parquet(own)
+        days = spark.read.parquet(own).select(F.col("_month").alias("_m"), F.col("_date").alias("_d")).distinct()
+        past = spark.read.parquet(store)
+        hist = past.join(days, (past["_month"] == days["_m"]) & past["_date"].eqNullSafe(days["_d"]), "left_semi")
+        res = aggs.band_totals(aggs.merged_partials(hist, group, list(latest)), group, list(latest))
         if with_minute:
             res = res.withColumn("minute", F.format_string(
                 "%02d:%02d", F.floor(F.col("_mod") / 60).cast("int"), (F.col("_mod") % 60).cast("int"))).drop("_mod")
@@ -239,45 +220,69 @@ def punctuated_late_batches(store: str, seq: str, time: str, id_col: str, marker
     return run
 
 
-def avg_of_max_batches(load_auctions, store: str, sink):
+def _pending(spark, batch: DataFrame, store: str, batch_id: int, cols: list[str]) -> DataFrame:
+    """The batch's bids and those of earlier batches that still wait for their auction.
+
+    The waiting bids of batch n are the table ``store/pending/batch=<n>``; each batch reads
+    exactly the one before it, so a retried batch starts from the same rows.
+    """
+    new = batch.select(*cols)
+    return new if batch_id == 0 else spark.read.parquet(f"{store}/pending/batch={batch_id - 1}").unionByName(new)
+
+
+def _keep_waiting(bids: DataFrame, auctions: DataFrame, store: str, batch_id: int, wait: str) -> None:
+    """Bids without an auction so far wait up to ``wait`` behind the newest bid time (state bound)."""
+    newest = bids.agg(F.max("dateTime").alias("t")).first()["t"]
+    waiting = bids.join(auctions.select(F.col("id").alias("_known")).distinct(), F.col("auction") == F.col("_known"), "left_anti")
+    if newest is not None:
+        waiting = waiting.where(F.col("dateTime") >= F.lit(newest) - F.expr(f"INTERVAL {wait}"))
+    waiting.write.mode("overwrite").parquet(f"{store}/pending/batch={batch_id}")
+
+
+def avg_of_max_batches(load_auctions, store: str, sink, wait: str = "1 DAY"):
     """``foreachBatch`` form of q4 (an aggregate of an aggregate is refused on streams):
-    per batch, join the new bids to the open auctions (re-read per batch), write the
-    batch's per-auction maxima under ``store/batch=<id>`` (idempotent on retry), and
-    recompute the averages of the categories the batch touched from all partials."""
+    per batch, join the new and the waiting bids to the auctions known by now, write the
+    batch's per-auction maxima under ``store/maxima/batch=<id>`` (idempotent on retry), and
+    recompute the averages of the categories the batch touched from all partials. A bid may
+    come before its auction: it waits, at most ``wait`` behind the newest bid."""
     from kestrel.functions import scalar as S
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        a = load_auctions()
-        j = a.join(batch.select("auction", "price", F.col("dateTime").alias("bid_dateTime")),
+        spark, a = batch.sparkSession, load_auctions()
+        bids = _pending(spark, batch, store, batch_id, ["auction", "price", "dateTime"]).persist()
+        j = a.join(bids.withColumnRenamed("dateTime", "bid_dateTime"),
                    (a.id == F.col("auction")) & F.col("bid_dateTime").between(a.dateTime, a.expires))
         part = j.groupBy("id", "category").agg(F.max("price").alias("final"))
-        part.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-        touched = part.select("category").distinct()
-        maxima = (spark.read.parquet(store).join(touched, "category", "left_semi")
+        part.write.mode("overwrite").parquet(f"{store}/maxima/batch={batch_id}")
+        _keep_waiting(bids, a, store, batch_id, wait)
+        bids.unpersist()
+        touched = spark.read.parquet(f"{store}/maxima/batch={batch_id}").select(F.col("category").alias("_c")).distinct()
+        past = spark.read.parquet(f"{store}/maxima")
+        maxima = (past.join(touched, past["category"].eqNullSafe(touched["_c"]), "left_semi")
                   .groupBy("id", "category").agg(F.max("final").alias("final")))
         sink(maxima.groupBy("category").agg(S.int_avg("final").alias("final"))
              .select(F.col("category").alias("id"), "final"), batch_id)
     return run
 
 
-def winning_bids_batches(load_auctions, store: str, sink):
-    """``foreachBatch`` form of q9 (row_number is refused on streams): each batch's bids
-    are interval-joined to the auctions (re-read per batch), the batch's best bid per
-    auction is written under ``store/batch=<id>`` (idempotent), and the auctions the
-    batch touched are re-decided from all batches' bests (semi-join on their ids)."""
+def winning_bids_batches(load_auctions, store: str, sink, wait: str = "1 DAY"):
+    """``foreachBatch`` form of q9 (row_number is refused on streams): the batch's and the
+    waiting bids are interval-joined to the auctions known by now, the best bid per auction is
+    written under ``store/best/batch=<id>`` (idempotent), and the auctions the batch touched are
+    re-decided from all batches' bests (semi-join on their ids). A bid that comes before its
+    auction waits, at most ``wait`` behind the newest bid."""
     from kestrel.operators import joins, topk
 
-    order = [-F.col("price"), F.col("bid_dateTime"), F.col("bidder")]
-    cols = joins.AUCTION_COLUMNS + ["auction", "bidder", "price", "bid_dateTime", "bid_extra"]
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        best = topk.top1(joins.interval_join(load_auctions(), batch), ["id"], order, cols, "aggregate")
-        best.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-        touched = best.select("id").distinct()
-        hist = spark.read.parquet(store).drop("batch").join(touched, "id", "left_semi")
-        sink(topk.top1(hist, ["id"], order, cols, "aggregate"), batch_id)
+        spark, a = batch.sparkSession, load_auctions()
+        bids = _pending(spark, batch, store, batch_id, topk.BID_COLUMNS).persist()
+        best = topk.top1(joins.interval_join(a, bids), ["id"], topk.winning_order(), topk.WINNER_COLUMNS, "aggregate")
+        best.write.mode("overwrite").parquet(f"{store}/best/batch={batch_id}")
+        _keep_waiting(bids, a, store, batch_id, wait)
+        bids.unpersist()
+        touched = spark.read.parquet(f"{store}/best/batch={batch_id}").select("id").distinct()
+        hist = spark.read.parquet(f"{store}/best").drop("batch").join(touched, "id", "left_semi")
+        sink(topk.top1(hist, ["id"], topk.winning_order(), topk.WINNER_COLUMNS, "aggregate"), batch_id)
     return run
 
 

@@ -77,7 +77,8 @@ def test_streaming_jdbc_and_text_sinks(spark, scratch):
     stream = readers.stream_parquet(spark, f"{scratch}/s", scores.schema, ("ts",), 1)
     url = f"jdbc:derby:{scratch}/derby;create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    run = sinks.for_each_batch(lambda df, batch_id: sinks.jdbc_append(df, url, "scores", props))
+    def run(df, batch_id):
+        sinks.jdbc_append(df, url, "scores", props)
     jobs.run_batches(jobs.running_sum(stream.drop("ts"), "name", "id", "score", ["id"]), f"{scratch}/ck1", run)
     back = spark.read.jdbc(url, "scores", properties=props)
     want = aggs.running_sum(scores.drop("ts"), "name", ["id"], "score", ["id"])
@@ -105,3 +106,15 @@ def test_continuous_start_and_stop(spark, scratch):
     finally:
         q.stop()
     assert spark.read.parquet(f"{scratch}/out").count() == 1
+
+
+def test_upsert_never_forgets_a_missing_version(spark, scratch):
+    import pytest
+    up = lambda data: spark.createDataFrame(data, "k string, seq long, v string")
+    sinks.upsert_snapshot(spark, up([("a", 1, "x"), ("b", 1, "y"), (None, 1, "n")]), scratch, "k", "seq", ["v"], 0)
+    with pytest.raises(Exception):
+        sinks.upsert_snapshot(spark, up([("c", 2, "z")]), scratch, "k", "seq", ["v"], 2)
+    out = sinks.upsert_snapshot(spark, up([("b", 2, "w"), (None, 2, "m")]), scratch, "k", "seq", ["v"], 1)
+    assert sorted((r.k or "-", r.v) for r in out.collect()) == [("-", "m"), ("a", "x"), ("b", "w")]
+    with pytest.raises(ValueError):
+        sinks.upsert_snapshot(spark, up([("c", 2, "z")]), scratch, "k", "seq", ["v"], 3, first_version=4)

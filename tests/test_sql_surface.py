@@ -1,46 +1,46 @@
-"""Queries written as SQL text with the registered functions equal the DataFrame forms."""
+"""The registered SQL functions on literal rows, and the views in a query of our own."""
+
+import pytest
 
 from kestrel.functions import sql as Q
-from kestrel.operators import calc
 from kestrel.sources import fixtures as X
 from tests.conftest import rows
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_sql_text_queries(spark):
+@pytest.fixture()
+def functions(spark):
     Q.register_functions(spark)
+    return lambda text: spark.sql(f"SELECT {text} AS x").first().x
+
+
+def test_count_char(functions):
+    assert functions("count_char('banana', 'a')") == 3
+    assert functions("count_char('', 'a')") == 0
+    assert functions("count_char(NULL, 'a')") is None
+
+
+def test_split_index(functions):
+    assert functions("split_index('x/y//z', '/', 1)") == "y"
+    assert functions("split_index('x/y//z', '/', 2)") == ""
+    assert functions("split_index('x/y', '/', 9)") is None
+    assert functions("split_index('1.2', '.', 1)") == "2"  # the delimiter is no pattern
+
+
+def test_regexp_extract_or_null(functions):
+    assert functions("regexp_extract_or_null('k=7;j=8', 'j=([0-9])', 1)") == "8"
+    assert functions("regexp_extract_or_null('k=;', 'k=([0-9]*)', 1)") == ""
+    assert functions("regexp_extract_or_null('none', 'k=([0-9]*)', 1)") is None
+
+
+def test_views_hold_the_entities(spark):
     Q.register_views(spark, SF)
+    got = spark.sql("SELECT channel, max(price) AS top FROM bid GROUP BY channel HAVING count(*) > 3")
     bid = X.bids(spark, SF)
-    q14 = spark.sql("""
-        SELECT auction, bidder, CAST(0.908 * price AS DECIMAL(23,3)) AS price,
-               CASE WHEN hour(dateTime) >= 8 AND hour(dateTime) <= 18 THEN 'dayTime'
-                    WHEN hour(dateTime) <= 6 OR hour(dateTime) >= 20 THEN 'nightTime'
-                    ELSE 'otherTime' END AS bidTimeType,
-               dateTime, extra, count_char(extra, 'c') AS c_counts
-        FROM bid WHERE 0.908 * price > 1000000 AND 0.908 * price < 50000000""")
-    assert rows(q14) == rows(calc.calc(bid))
-    q22 = spark.sql("""
-        SELECT auction, bidder, price, channel, split_index(url, '/', 3) AS dir1,
-               split_index(url, '/', 4) AS dir2, split_index(url, '/', 5) AS dir3 FROM bid""")
-    assert rows(q22) == rows(calc.url_dirs(bid))
-    q21 = spark.sql("""
-        SELECT auction, bidder, price, channel,
-               CASE WHEN lower(channel) = 'apple' THEN '0' WHEN lower(channel) = 'google' THEN '1'
-                    WHEN lower(channel) = 'facebook' THEN '2' WHEN lower(channel) = 'baidu' THEN '3'
-                    ELSE regexp_extract_or_null(url, '(&|^)channel_id=([^&]*)', 2) END AS channel_id
-        FROM bid
-        WHERE regexp_extract_or_null(url, '(&|^)channel_id=([^&]*)', 2) IS NOT NULL
-           OR lower(channel) IN ('apple', 'google', 'facebook', 'baidu')""")
-    assert rows(q21) == rows(calc.channel_id(bid))
-    assert spark.sql("SELECT split_index('a.b', '.', 1) AS x").first().x == "b"  # literal delimiter
-
-
-def test_sql_text_join(spark):
-    from kestrel.operators import joins
-    Q.register_views(spark, SF)
-    q3 = spark.sql("""
-        SELECT P.name, P.city, P.state, A.id
-        FROM auction AS A INNER JOIN person AS P ON A.seller = P.id
-        WHERE A.category = 10 AND (P.state = 'OR' OR P.state = 'ID' OR P.state = 'CA')""")
-    assert rows(q3) == rows(joins.join_equi(X.auctions(spark, SF), X.persons(spark, SF)))
+    want = {}
+    for r in bid.select("channel", "price").collect():
+        want.setdefault(r.channel, []).append(r.price)
+    assert rows(got) == sorted((c, max(p)) for c, p in want.items() if len(p) > 3)
+    assert spark.sql("SELECT count(*) AS n FROM auction").first().n == X.auctions(spark, SF).count()
+    assert spark.sql("SELECT count(*) AS n FROM person").first().n == X.persons(spark, SF).count()

@@ -185,3 +185,39 @@ def test_winning_bids_batches_equal_batch(spark, scratch):
     got = latest_lists(spark, f"{scratch}/out", ["id"])
     want = topk.winning_bids(auctions, bids)
     assert rows(got.select(*want.columns)) == rows(want) and want.count() > 0
+
+
+def test_bids_that_come_before_their_auction_wait_for_it(spark, scratch):
+    import datetime as dt
+
+    from kestrel.operators import joins as J
+    from kestrel.operators import topk
+
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    auction = spark.createDataFrame([(1, 10, at(0), at(60)), (2, 10, at(0), at(60)), (3, 11, at(0), at(30))],
+                                    "id long, category long, dateTime timestamp_ntz, expires timestamp_ntz")
+    for c in J.AUCTION_COLUMNS:
+        if c not in auction.columns:
+            auction = auction.withColumn(c, F.lit(None).cast("string"))
+    bids = spark.createDataFrame(
+        [(1, 100 + b, p, at(m), n) for n, b, p, m in ((0, 1, 900, 5), (0, 2, 100, 6), (1, 3, 400, 7), (2, 4, 50, 8), (2, 5, 999, 70))]
+        + [(2, 7, 10, at(9), 0), (3, 8, 70, at(20), 1), (3, 9, None, at(21), 2), (9, 9, 5, at(1), 0)],
+        "auction long, bidder long, price long, dateTime timestamp_ntz, batch int").withColumns(
+        {c: F.lit("x") for c in ("channel", "url", "extra")})
+    seen = {0: [], 1: [2], 2: [1, 2, 3]}  # the auctions known when each batch comes
+    known = []
+    best, avg = {}, {}
+    q9 = jobs.winning_bids_batches(lambda: auction.where(F.col("id").isin(known)), f"{scratch}/q9",
+                                   lambda df, _: best.update({r["id"]: (r["bidder"], r["price"]) for r in df.collect()}))
+    q4 = jobs.avg_of_max_batches(lambda: auction.where(F.col("id").isin(known)), f"{scratch}/q4",
+                                 lambda df, _: avg.update({r["id"]: r["final"] for r in df.collect()}))
+    for n in range(3):
+        known[:] = seen[n]
+        for _ in range(2):  # a retried batch changes nothing
+            q9(bids.where(F.col("batch") == n), n)
+            q4(bids.where(F.col("batch") == n), n)
+    assert best == {r["id"]: (r["bidder"], r["price"]) for r in topk.winning_bids(auction, bids).collect()}
+    assert avg == {r["id"]: r["final"] for r in J.avg_of_max(auction, bids).collect()} and best[1] == (101, 900)
+    left = spark.read.parquet(f"{scratch}/q9/pending/batch=2")
+    assert [r["auction"] for r in left.collect()] == [9]
