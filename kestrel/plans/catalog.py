@@ -7,11 +7,13 @@ the reference's literal seconds-scale intervals are exercised by the unit tests.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel import session
 from kestrel.functions import scalar as S
 from kestrel.operators import aggs, calc, counts, joins, rules, state, topk, windows
 from kestrel.sources import auction as V
@@ -51,6 +53,41 @@ def _event_counts(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# Sinks are written over whole tables and read back, in a new folder under spark.checkpoint.dir.
+def _text_by_date(spark, d):
+    path = session.shared_folder(spark, "text")
+    sinks.text_append(X.events(spark, d), path, "props", "ts")
+    return spark.read.schema("value string, dt string").text(path)
+
+
+def _text_lines(spark, d):
+    path = session.shared_folder(spark, "lines")
+    X.cars(spark, d).select(F.concat_ws(",", "sensorId", "count").alias("value")).write.text(path)
+    return readers.parse_csv_lines(readers.text_lines(spark, path))
+
+
+def _json_rows(spark, d):
+    path = session.shared_folder(spark, "json")
+    sinks.json_nested(_keyed_rows(spark, d), path, "rowkey", ["id", "name"])
+    back = spark.read.schema("rowkey string, info struct<id: bigint, name: string>").json(path)
+    return back.select("rowkey", "info.id", "info.name")
+
+
+def _partitioned(spark, d):
+    path, table = session.shared_folder(spark, "table"), f"kestrel_{uuid.uuid4().hex}"
+    for name in ("view", "click"):  # two static partitions
+        sinks.partitioned_table(spark, _scores(spark, d).where(F.col("name") == name).select("id", "score"), table, "kind", name, path)
+    return spark.read.schema("id bigint, score double, kind string").parquet(path)
+
+
+def _upsert_versions(spark, d):
+    """Two versions: rows of even sequence numbers, then the others merged into them. An update always wins."""
+    path, k = session.shared_folder(spark, "upsert"), _keyed_rows(spark, d)
+    half = F.col("seq") % 2 == 0
+    sinks.upsert_snapshot(spark, k.where(half), path, "rowkey", "seq", ["id", "name"], 0)
+    return sinks.upsert_snapshot(spark, k.where(~half), path, "rowkey", "seq", ["id", "name"], 1).select("rowkey", "id", "name")
+
+
 def _scores(spark, d):
     return X.events(spark, d).select(F.col("event_id").alias("id"), F.col("event_type").alias("name"),
                                      F.col("value").alias("score"))
@@ -118,6 +155,14 @@ QUERIES: dict[str, Query] = {
         X.events(s, d), rules.pattern_rules(s, PATTERN_RULES), "user_id", "event_id", "event_type"),
     # scalar jobs, sources, sinks
     "src_events": _event_counts,
+    "view_bid": lambda s, d: V.bid_view(X.events_table(s, d)),
+    "view_auction": lambda s, d: V.auction_view(X.events_table(s, d)),
+    "view_person": lambda s, d: V.person_view(X.events_table(s, d)),
+    "src_text_lines": _text_lines,
+    "sink_text_append": _text_by_date,
+    "sink_json_nested": _json_rows,
+    "sink_partitioned_table": _partitioned,
+    "sink_upsert_merge": _upsert_versions,
     "running_sum_values": lambda s, d: aggs.running_sum_values(
         X.table(s, d, "lineitem").select(S.cos_cbrt("l_orderkey").alias("value"), "l_linenumber"), "value", ["l_linenumber"]),
     "map_tostring": lambda s, d: joins.window_join(X.order_items(s, d), X.goods(s, d), "30 days").select(

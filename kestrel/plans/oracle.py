@@ -356,3 +356,19 @@ ORACLE["map_tostring"] = with_(ORDER_ITEM, GOODS) + f"""SELECT concat('OrderDeta
   ', totalMoney=', CAST(g.goodsPrice * o.count AS VARCHAR), ')') AS text
 FROM order_item o JOIN goods g
   ON o.goodsId = g.goodsId AND {tumble_start('o.ts', '30 days')} = {tumble_start('g.ts', '30 days')}"""
+
+for _name, _cte in (("person", PERSON), ("auction", AUCTION), ("bid", BID)):
+    ORACLE[f"view_{_name}"] = with_(_cte) + f"SELECT * FROM {_name}"
+
+ORACLE["src_text_lines"] = ORACLE["src_text_csv"]
+
+ORACLE["sink_text_append"] = "SELECT props AS value, strftime(ts, '%Y-%m-%d') AS dt FROM events"
+
+ORACLE["sink_json_nested"] = "SELECT CAST(user_id AS VARCHAR) AS rowkey, event_id AS id, event_type AS name FROM events"
+
+ORACLE["sink_partitioned_table"] = """SELECT event_id AS id, value AS score, event_type AS kind
+FROM events WHERE event_type IN ('view', 'click')"""
+
+ORACLE["sink_upsert_merge"] = """SELECT CAST(user_id AS VARCHAR) AS rowkey,
+  arg_max(event_id, (event_id % 2, event_id)) AS id, arg_max(event_type, (event_id % 2, event_id)) AS name
+FROM events GROUP BY user_id"""

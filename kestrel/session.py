@@ -6,6 +6,9 @@ are still unset, so cluster-wide choices (shuffle partitions, checkpoint dir) wi
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every job relies on for exact results.
@@ -57,3 +60,19 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf on a running session: leave it
             pass
     return spark
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path under ``spark.checkpoint.dir``, the folder that driver and executors share.
+
+    Only a local session without that setting (tests) gets a folder of its own; a cluster must
+    name one, because files in one machine's folder are lost to the others.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="kestrel-shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
