@@ -142,6 +142,11 @@ def fine_similar(a: Column, b: Column, size_a: Column, size_b: Column, similarit
     return F.coalesce(bits_apart(a, b) <= bit_limit(differing, FINE_BITS), F.lit(True))
 
 
+def first_shared(a: Column, b: Column) -> Column:
+    """The key of the first band that two nodes share."""
+    return F.get(F.filter(F.zip_with(a, b, lambda x, y: F.when(x == y, x)), lambda k: k.isNotNull()), F.lit(0))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * inter >= limit * union."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
@@ -183,15 +188,16 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     placed = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp"))
     open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .where("lo <> hi").select("key"))
-    sketches = odd.join(sets.select("node", "fine", F.size("items").alias("n")), "node")
+    sketches = nodes.select("node", "odd", "bands").join(sets.select("node", "fine", F.size("items").alias("n")), "node")
     unsettled = materialize(placed.join(open_keys, "key").join(sketches, "node"), "unsettled")
-    x = unsettled.select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "comp", "odd", "fine", "n")])
-    y = unsettled.select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "comp", "odd", "fine", "n")])
+    x = unsettled.select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "comp", "odd", "bands", "fine", "n")])
+    y = unsettled.select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "comp", "odd", "bands", "fine", "n")])
     close = ((x.key == y.key) & (F.col("comp_x") < F.col("comp_y"))
              & (F.least("n_x", "n_y") * 100 >= limit * F.greatest("n_x", "n_y"))
              & sample_similar(F.col("odd_x"), F.col("odd_y"))
-             & fine_similar(F.col("fine_x"), F.col("fine_y"), F.col("n_x"), F.col("n_y")))
-    second = x.join(y, close).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+             & fine_similar(F.col("fine_x"), F.col("fine_y"), F.col("n_x"), F.col("n_y"))
+             & (x.key == first_shared(F.col("bands_x"), F.col("bands_y"))))  # one row a pair, not one a band
+    second = x.join(y, close).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
     more = materialize(confirmed(second, sets, limit), "links")
     labels = components(links.unionByName(more))
 
