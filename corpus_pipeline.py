@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm import decontaminate as _decontaminate
 from kestrel.llm import minhash_odd, pfair_mix, quality_kn, token_output
-from kestrel.llm.common import materialize, scratch_path, table
+from kestrel.llm.common import materialize, table
+from kestrel.session import shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the row order of ``docs``' files, which is the mixing order."""
     part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
     placed = docs.select("doc_id", "text", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
-    path = scratch_path(spark, "tokens")
+    path = shared_folder(spark, "tokens")
     token_output.write_tokens(placed, path, token_output.tokenizer_path(), order=[F.col("_part"), F.col("_row")])
     return token_output.token_digest(spark, path)
 

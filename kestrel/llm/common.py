@@ -2,41 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.session import shared_folder
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a local session without that setting (tests) gets a folder of its own; a cluster
-    must name one, because files in a machine's own folder are lost to the others.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="kestrel-shared-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path = shared_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,0 +1,92 @@
+"""The pipeline against brute-force versions, each stage on its own input."""
+
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from kestrel.llm import decontaminate, pfair_mix, token_output
+
+from .conftest import ITEMS
+from .test_minhash import brute as near_brute
+from .test_quality import base
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def words():
+    rng = random.Random(61)
+    return ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+
+
+def corpus(words):
+    rng = random.Random(62)
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(rng.randint(8, 25))) for i in range(8)] + [(8, None), (9, "")]
+    rows = [(i, text(rng.randint(15, 90)), rng.choice(["en", "de", None]), rng.choice(["a", "a", "a", "b", None])) for i in range(120)]
+    copy = rows[3][1].split()
+    rows += [(200 + i, " ".join(copy[:-1] + [words[i]]), "en", "a") for i in range(12)] + [(220, rows[4][1], "en", "b")] * 2
+    rows += [(300 + i, text(12) + " " + items[i % 8][1] + " " + text(9), "en", "b") for i in range(10)]
+    rows += [(400, None, "en", "a"), (401, "", None, "b"), (402, "short", "en", "a"), (403, text(6) * 12, "en", "a"),
+             (404, " ".join("#$%" + str(i) for i in range(50)), "en", "a"), (None, text(40), "en", "c")]
+    return rows, items
+
+
+def test_stages(spark, docs, words, tmp_path):
+    rows, items = corpus(words)
+    d = docs(rows).withColumns({"key": F.lit("k"), "n_words": F.lit(0)})
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, ITEMS).write.parquet(str(tmp_path / "benchmark.parquet"))
+    sf = str(tmp_path)
+    inputs, at = {}, spark.read.parquet(f"{sf}/documents.parquet")
+    assert [n for n, _ in C.STAGES] == ["quality", "near_duplicates", "decontaminate", "mix", "tokens"]
+    for name, stage in C.STAGES:
+        inputs[name] = at
+        out = stage(spark, at, sf)
+        if name != "tokens":
+            assert out.columns == d.columns
+        out.write.parquet(str(tmp_path / f"out-{name}"))
+        at = spark.read.parquet(str(tmp_path / f"out-{name}"))
+    ids = lambda df: sorted((r[0] is not None, r[0] or 0) for r in df.select("doc_id").collect())
+    pairs = lambda df: [(r["doc_id"], r["text"]) for r in df.collect()]
+
+    left = pairs(inputs["near_duplicates"])
+    assert not any(base(t)[5] for _, t in left)
+    clean = {i for i, *_ in rows if i is not None and i < 120}
+    assert clean <= {i for i, _ in left} and 404 not in {i for i, _ in left}
+
+    kept = {(i is not None, i or 0) for i, _, _, k in near_brute(left) if k or i is None}
+    assert ids(inputs["decontaminate"]) == sorted(kept)
+
+    con = duckdb.connect()
+    con.register("documents", inputs["decontaminate"].select("doc_id", "text").toPandas())
+    con.register("benchmark", spark.createDataFrame(items, ITEMS).toPandas())
+    hit = con.sql(decontaminate.SQL).df()
+    good = hit[~hit["contaminated"]]["doc_id"]
+    assert inputs["mix"].count() == len(good) < len(hit)
+
+    assert ids(inputs["tokens"]) == ids(inputs["mix"])
+    order = [(r["doc_id"], r["text"]) for r in pfair_mix.scheduled(inputs["mix"]).orderBy("_slot", "_place").collect()]
+    tok = tokenizers.Tokenizer.from_file(token_output.tokenizer_path())
+    start, want = 0, []
+    for i, t in order:
+        x = tok.encode(t, add_special_tokens=False).ids + [0]
+        want.append((i, start, len(x), zlib.crc32(np.array(x, "<u4").tobytes())))
+        start += len(x)
+    got = [tuple(r) for r in at.orderBy("start").select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
+    assert got == want
+
+    whole = C.run(spark, sf)
+    assert sorted(map(str, whole.select("start", "n_tokens", "ids_crc32").collect())) == sorted(
+        map(str, at.select("start", "n_tokens", "ids_crc32").collect()))
+
+
+def test_empty_tables(spark, docs, tmp_path):
+    docs([]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], ITEMS).write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert C.run(spark, str(tmp_path)).count() == 0
