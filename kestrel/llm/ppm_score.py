@@ -30,7 +30,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import materialize, table
@@ -230,30 +231,38 @@ def gram_probabilities(asked: DataFrame, pairs: Pairs, buckets: int) -> DataFram
     """(bucket, keys, values): log10 probability of every gram asked for, by key bucket."""
 
     def add(group: pa.Table) -> pa.Table:
-        keys, counts, _ = unpack(group, ("keys", "counts"))
-        keys, counts = tally(keys, counts)
+        grams_only = group.filter(pc.equal(group.column("kind"), GRAM))
+        keys, counts = tally(*unpack(grams_only, ("keys", "counts"))[:2])
         sub = key_bucket((keys >> BITS) & mask(2), buckets)  # subtries: by the last two context symbols
         return list_rows([(b, k, c) for _, _, b, k, c in packed("", GRAM, keys, counts, sub)],
                          [("sub", pa.int32()), ("keys", _LONGS), ("counts", _LONGS)])
 
     def subtrie(group: pa.Table) -> pa.Table:
         keys, counts, _ = unpack(group, ("keys", "counts"))
-        seen = counts > 0
         order = np.lexsort((keys, key_bucket(keys, buckets)))
         keys = keys[order]
-        value = code_lengths(keys, *(lambda s: (s, counts[order][counts[order] > 0]))(keys[counts[order] > 0]), pairs) if len(keys) else seen
+        counts = counts[order]
+        value = code_lengths(keys, keys[counts > 0], counts[counts > 0], pairs) if len(keys) else np.zeros(0)
         bucket = key_bucket(keys, buckets)
         edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-2))
         return list_rows([(int(bucket[lo]), np.diff(keys[lo:hi], prepend=np.int64(0)), value[lo:hi]) for lo, hi in zip(edges, edges[1:])],
                          [("bucket", pa.int32()), ("keys", _LONGS), ("values", _DOUBLES)])
 
-    distinct = asked.where(F.col("kind") == GRAM).select("bucket", "keys", "counts").groupBy("bucket").applyInArrow(
-        add, "sub int, keys array<long>, counts array<long>")
+    # The same rows and columns as in answers(), so that one exchange serves both.
+    distinct = by_bucket(asked).applyInArrow(add, "sub int, keys array<long>, counts array<long>")
     return distinct.groupBy("sub").applyInArrow(subtrie, "bucket int, keys array<long>, values array<double>")
 
 
+def by_bucket(asked: DataFrame) -> GroupedData:
+    return asked.where(F.col("kind") != PAIR).groupBy("bucket")
+
+
 def answers(asked: DataFrame, probabilities: DataFrame) -> DataFrame:
-    """(block, kind, keys, values, first): a value for each key asked for; first marks words counted here for the vocabulary."""
+    """(block, kind, keys, values, counts, vocabulary) for all keys asked for.
+
+    Grams get log10 probabilities (single precision on the way), words their counts. ``vocabulary``
+    is the number of known words of a bucket, on one of its rows.
+    """
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
@@ -266,34 +275,34 @@ def answers(asked: DataFrame, probabilities: DataFrame) -> DataFrame:
             if kind == GRAM:
                 known, value, _ = unpack(right, ("keys", "values"))
                 by = np.argsort(known)
-                values = value[by][np.searchsorted(known[by], keys)]
+                reply = value[by][np.searchsorted(known[by], keys)].astype(np.float32)
                 vocabulary = 0
             else:
                 seen, total = tally(keys, counts)
                 by = np.argsort(seen)
-                values = total[by][np.searchsorted(seen[by], keys)].astype(float)
+                reply = total[by][np.searchsorted(seen[by], keys)]
                 vocabulary = int((total > 0).sum())
             ends = np.cumsum(sizes)
             for block, lo, hi in zip(part.column("block").to_pylist(), ends - sizes, ends):
-                rows.append((block, kind, np.diff(keys[lo:hi], prepend=np.int64(0)), values[lo:hi], vocabulary))
+                sent = reply[lo:hi]
+                rows.append((block, kind, np.diff(keys[lo:hi], prepend=np.int64(0)), *((sent, None) if kind == GRAM else (None, sent)), vocabulary))
                 vocabulary = 0
-        return list_rows(rows, [("block", pa.string()), ("kind", pa.int32()), ("keys", _LONGS), ("values", _DOUBLES), ("vocabulary", pa.int64())])
+        return list_rows(rows, [("block", pa.string()), ("kind", pa.int32()), ("keys", _LONGS), ("values", pa.list_(pa.float32())), ("counts", _LONGS), ("vocabulary", pa.int64())])
 
-    wanted = asked.where(F.col("kind") != PAIR)
-    return (wanted.groupBy("bucket").cogroup(probabilities.groupBy("bucket"))
-            .applyInArrow(answer, "block string, kind int, keys array<long>, values array<double>, vocabulary long"))
+    return by_bucket(asked).cogroup(probabilities.groupBy("bucket")).applyInArrow(
+        answer, "block string, kind int, keys array<long>, values array<float>, counts array<long>, vocabulary long")
 
 
-def block_scores(docs: DataFrame, replies: DataFrame, ends: int) -> DataFrame:
+def block_scores(docs: DataFrame, replies: DataFrame) -> DataFrame:
     """Sums per document from the answers to its block."""
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         sides = {}
         kinds = right.column("kind").to_numpy()
         for kind in (GRAM, WORD):
-            keys, values, _ = unpack(right.filter(pa.array(kinds == kind)), ("keys", "values"))
+            keys, values, _ = unpack(right.filter(pa.array(kinds == kind)), ("keys", "values" if kind == GRAM else "counts"))
             by = np.argsort(keys, kind="stable")
-            sides[kind] = keys[by], values[by]
+            sides[kind] = keys[by], values[by].astype(float)
         vocabulary = int(right.column("vocabulary").to_numpy().sum())
         out: dict[str, list] = {n: [] for n in ("score", "words", "known", "log_sum")}
         texts_col = left.column("text").combine_chunks()
@@ -334,7 +343,7 @@ def ppm_scores(docs: DataFrame) -> DataFrame:
                .groupBy(F.col("keys").alias("pair")).agg(F.sum("counts").alias("n")).collect())
     pairs = Pairs(np.array([r["pair"] for r in counted], np.int64), np.array([r["n"] for r in counted], np.int64))
     replies = answers(asked, gram_probabilities(asked, pairs, buckets))
-    rows = materialize(block_scores(blocks, replies, 0), "ppm-scores")
+    rows = materialize(block_scores(blocks, replies), "ppm-scores")
     sums = rows.agg(F.sum(F.when(F.col("train"), F.col("n_words"))).alias("w"), F.sum(F.col("train").cast("long")).alias("d"),
                     F.sum("vocabulary").alias("v")).first()
     ends = sums["d"] or 0
