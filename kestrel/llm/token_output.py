@@ -9,7 +9,7 @@ metadata reads never touch the ``ids`` column.
 
 Defined results: a null text is the empty text, a document without ids is the end id alone, a
 null ``doc_id`` sorts first, repeated rows are written once each (ties in ``doc_id`` are ordered
-by text), an empty table gives no rows. Other columns are ignored.
+by a hash of the text, then the text), an empty table gives no rows. Other columns are ignored.
 
 Speed: the pre-tokenizer never lets a token cross the place before a single space or newline
 that precedes a word, so the text between two such places always encodes alike. Each worker
@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import scratch_path, table
+from kestrel.llm.common import table
+from kestrel.session import shared_folder
 
 END_ID = 0
 CACHE_PIECES = 500_000
@@ -152,8 +153,8 @@ def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, encoding: str = "dictionary",
                  row_group_bytes: int = 32 << 20, page_rows: int = 2000, order: list | None = None) -> None:
     """Encodes documents and writes them to ``path`` in ascending ``doc_id`` order (or by ``order``)."""
-    by = order or [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    ranged = docs.repartitionByRange(*by).sortWithinPartitions(*by)
+    by = order or [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]  # no texts in the sampled range bounds
+    ranged = docs.repartitionByRange(*by).sortWithinPartitions(*by, F.col("text").asc_nulls_first())
     writer = (encode_frame(ranged, tokenizer, end_id).write
               .option("compression", "zstd")
               .option("parquet.block.size", str(row_group_bytes))
@@ -215,7 +216,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "tokens")
+    path = shared_folder(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return token_digest(spark, path)
 
