@@ -32,6 +32,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
+def size_in_bytes(df: DataFrame, text: str, copies: int = 1) -> int:
+    """Rough size of a broadcast: bytes of a text column, held ``copies`` times, and 100 bytes a row."""
+    return df.agg(F.sum(copies * F.octet_length(text) + 100).alias("b")).first()["b"] or 0
+
+
 def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
     """(item_id, window, words) for every window of every item."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
@@ -41,13 +46,21 @@ def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
     return cut.select("item_id", F.array_join("words", " ").alias("window"), "words").distinct()
 
 
-def rarest_words(windows: DataFrame, doc_words: DataFrame) -> DataFrame:
-    """(window, words, word, offset): the window's word that documents use least, and its first place."""
+def rarest_words(windows: DataFrame, doc_words: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """(window, words, word, offset): the window's word that documents use least, and its first place.
+
+    The benchmark's words are broadcast within ``broadcast_bytes``; beyond that document words are
+    added up before they meet them, so a frequent word is one row.
+    """
     distinct = windows.select("window", "words").dropDuplicates(["window"])
     placed = distinct.select("window", "words", F.posexplode("words").alias("offset", "word"))
-    wanted = placed.select("word").distinct()
-    used = (doc_words.select(F.explode("w").alias("word")).join(wanted, "word", "left_semi")
-            .groupBy("word").agg(F.count(F.lit(1)).alias("uses")))
+    wanted = materialize(placed.select("word").distinct(), "benchmark-words")
+    spread = doc_words.select(F.explode("w").alias("word"))
+    count = F.count(F.lit(1)).alias("uses")
+    if size_in_bytes(wanted, "word") <= broadcast_bytes:
+        used = spread.join(F.broadcast(wanted), "word", "left_semi").groupBy("word").agg(count)
+    else:
+        used = spread.groupBy("word").agg(count).join(wanted, "word", "left_semi")
     rank = F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), F.col("word"), F.col("offset"))
     best = (placed.select("window", "word", "offset").join(used, "word", "left")
             .groupBy("window").agg(F.min(rank).alias("best")))
@@ -76,9 +89,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     base = docs.select("doc_id", F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
                                                    F.coalesce("text", F.lit("")))).alias("key"), words(F.col("text")).alias("w"))
     windows = materialize(item_windows(benchmark, size), "windows")
-    prefixes = materialize(rarest_words(windows, base), "prefixes")
-    weight = prefixes.agg(F.sum(2 * F.length("window") + 200).alias("b")).first()["b"] or 0
-    found = materialize(occurrences(base.select("key", "w"), prefixes, weight <= broadcast_bytes).distinct(), "hits")
+    prefixes = materialize(rarest_words(windows, base, broadcast_bytes), "prefixes")
+    in_scan = size_in_bytes(prefixes, "window", 3) <= broadcast_bytes
+    found = materialize(occurrences(base.select("key", "w"), prefixes, in_scan).distinct(), "hits")
 
     # Words covered per document: each occurrence adds what lies beyond all earlier ends.
     spans = found.select("key", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
@@ -99,10 +112,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark window, with all their columns; rows without an id stay if clean."""
     key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
     base = docs.select("text", key.alias("key"), words(F.col("text")).alias("w"))
-    windows = item_windows(benchmark, WINDOW)
-    prefixes = materialize(rarest_words(windows, base), "prefixes")
-    weight = prefixes.agg(F.sum(2 * F.length("window") + 200).alias("b")).first()["b"] or 0
-    bad = materialize(occurrences(base.select("key", "w"), prefixes, weight <= BROADCAST_BYTES).select(F.col("key").alias("_contaminated_key")).distinct(), "hits")
+    windows = materialize(item_windows(benchmark, WINDOW), "windows")
+    prefixes = materialize(rarest_words(windows, base, BROADCAST_BYTES), "prefixes")
+    in_scan = size_in_bytes(prefixes, "window", 3) <= BROADCAST_BYTES
+    bad = materialize(occurrences(base.select("key", "w"), prefixes, in_scan).select(F.col("key").alias("_contaminated_key")).distinct(), "hits")
     return docs.join(bad, key == bad["_contaminated_key"], "left_anti")
 
 
