@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -313,7 +314,8 @@ def sorted_runs(docs: DataFrame, replies: DataFrame, bins: int) -> DataFrame:
         for b, strings in found.items():
             order = sorted(strings)
             seeds, counts = zip(*(strings[s] for s in order))
-            rows.append((b, left.column("block")[0].as_py(), *front_code(order), list(seeds), list(counts)))
+            shared, rest, blob = front_code(order)
+            rows.append((b, left.column("block")[0].as_py(), shared, rest, zstd.compress(blob), list(seeds), list(counts)))
         return pa.Table.from_batches([record(rows, SEND)])
 
     return docs.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(cut, SEND_DDL)
@@ -325,7 +327,7 @@ def repeated_windows(runs: DataFrame) -> DataFrame:
     def join(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         same: list[list] = []  # [string, times, seed, runs that sent it], in suffix order
-        for run, at, shared, s in merge([Run(r["shared"], r["rest"], r["blob"]) for r in rows]):
+        for run, at, shared, s in merge([Run(r["shared"], r["rest"], zstd.decompress(r["blob"])) for r in rows]):
             if same and shared == len(s) == len(same[-1][0]):
                 same[-1][1] = 2
                 same[-1][3].append(run)
