@@ -33,7 +33,7 @@ from kestrel.llm.shingles import text_runs
 
 FOLDS = 5
 SAMPLE, FEATURES, MIN_DOCS = 20_000, 2_000, 4
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 MAX_WORD = 40  # longer strings are identifiers, not words: they stay as they are
 
 # What a character may imitate (fixed values).
@@ -133,6 +133,7 @@ def disguised(word: str) -> bool:
 @dataclass
 class Restorer:
     cost: np.ndarray
+    limit: int = CACHE_WORDS
     known: dict[str, str] = field(default_factory=dict)
 
     def word(self, raw: str) -> str:
@@ -141,7 +142,7 @@ class Restorer:
         if out is None:
             plain = _EDGE.sub("", raw)
             out = restore(plain, self.cost) if plain and disguised(plain) else plain
-            if len(self.known) < CACHE_WORDS:
+            if len(self.known) < self.limit:
                 self.known[raw] = out
         return out
 
@@ -230,7 +231,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        restorer, index = Restorer(m.cost), {n: i for i, n in enumerate(m.names)}
+        restorer, index = Restorer(m.cost, 0), {n: i for i, n in enumerate(m.names)}  # known holds what it finds
         known: dict[str, tuple] = {}
 
         def telling(raw: str) -> tuple:
