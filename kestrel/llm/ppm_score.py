@@ -39,7 +39,7 @@ from kestrel.llm.shingles import mix, text_runs, word_hashes
 
 DEPTH = 5
 FOLDS = 10
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 BUCKET_DOCS = 4000  # documents for one more bucket of keys
 BITS, END, SYMBOLS = 9, 256, 257
 GRAM, WORD, PAIR = 0, 1, 2
