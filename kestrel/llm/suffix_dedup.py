@@ -22,7 +22,7 @@ Defined results: a null text is the empty text; texts shorter than LENGTH lose n
 ``doc_id`` is kept; repeated rows are copies of each other; other columns are ignored; an empty
 table gives no rows. Seeds are compared by 63-bit hashes (one taken for another only costs work) and
 so are whole texts (ten billion different texts hold about five pairs with one hash); stretches and
-windows are compared byte by byte.
+windows are compared byte by byte, windows of a seed with a stretch over LONG by 128-bit digests.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ from kestrel.llm.common import materialize, table
 from kestrel.llm.shingles import mix, text_runs
 
 LENGTH, SEED = 200, 150
+LONG = 17 * LENGTH - 1  # bytes of a stretch of 16 * LENGTH windows
 BLOCK_ROWS = 4096
 BUCKET_DOCS = 4000
 _BASE = 0x9E3779B97F4A7C15
@@ -339,12 +340,13 @@ def repeated_windows(runs: DataFrame) -> DataFrame:
         out: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
         for group_ in by_seed.values():
             count: dict[bytes, int] = {}
+            packed = max(len(s) for s, _, _, _ in group_) > LONG  # one key form for all stretches of a seed
             if any(times == 1 for _, times, _, _ in group_):
                 for s, times, _, _ in group_:
-                    for w in windows(s):
+                    for w in windows(s, packed):
                         count[w] = count.get(w, 0) + times
             for s, times, _, members in group_:
-                spans = [(0, len(s) - LENGTH + 1)] if times > 1 else spans_of([count[w] > 1 for w in windows(s)])
+                spans = [(0, len(s) - LENGTH + 1)] if times > 1 else spans_of([count[w] > 1 for w in windows(s, packed)])
                 key = text_key(s)
                 for f, e in spans:
                     for run in members:
@@ -355,10 +357,10 @@ def repeated_windows(runs: DataFrame) -> DataFrame:
     return runs.groupBy("bin").applyInArrow(join, REPLY_DDL)
 
 
-def windows(stretch: bytes) -> Iterator[bytes]:
-    """The windows of a stretch; of a long one (periodic text) their 128-bit digests, to hold less."""
+def windows(stretch: bytes, packed: bool) -> Iterator[bytes]:
+    """The windows of a stretch, or (for a seed with long stretches, periodic text) their 128-bit digests, to hold less."""
     n = len(stretch) - LENGTH + 1
-    if n <= 16 * LENGTH:
+    if not packed:
         return (stretch[i:i + LENGTH] for i in range(n))
     return (hashlib.blake2b(stretch[i:i + LENGTH], digest_size=16).digest() for i in range(n))
 

@@ -52,6 +52,17 @@ def test_single_texts_repeat_only_inside(docs):
     compare(S.deduplicate(docs(rows)), rows)
 
 
+def test_long_and_short_stretches_of_one_seed(docs):
+    rng = random.Random(9)
+    rows = [(1, "x" * 5000), (2, words(rng, 20) + "x" * 200 + words(rng, 20))]
+    compare(S.deduplicate(docs(rows)), rows)
+    for i in range(4):
+        tail = words(rng, 10)
+        rows += [(10 + i, words(rng, 9) + "-" * 4000 + tail + words(rng, 9)), (20 + i, words(rng, 9) + "-" * 160 + tail + words(rng, 9)),
+                 (30 + i, f"{i}" + " line %d\n" % i * 700), (40 + i, words(rng, 9) + " line %d\n" % i * 28)]
+    compare(S.deduplicate(docs(rows)), rows)
+
+
 def test_blocks_and_bins(docs, monkeypatch):
     rng = random.Random(7)
     monkeypatch.setattr(S, "BLOCK_ROWS", 2)
