@@ -4,7 +4,8 @@ Fixed patterns give the base spans. The method looks further: a string near a se
 candidate, and its marginal compressed size is measured, the bytes that zstandard needs for
 context + candidate beyond those for the context alone, with a dictionary of the identifiers that
 stand near sensitive words in this corpus. A candidate whose marginal bytes are at least
-``NOVELTY`` of its length cannot be told from its surroundings or from known identifiers and is
+``NOVELTY`` of its length, or ``RANDOM`` of those of random strings of its alphabet and length (a
+random string of a small alphabet costs less than its length), cannot be told from its surroundings or from known identifiers and is
 reported as ``novel``.
 
 The dictionary holds the ``DICT_WORDS`` most frequent identifiers (ties by name), counted by Spark
@@ -43,6 +44,9 @@ IDENTIFIER = re.compile(rf"(?<![A-Za-z0-9_])(?=\w{{3,32}}(?!\w)){PART}(?:_{PART}
 NEAR, CONTEXT = 64, 256
 DICT_WORDS = 2000
 NOVELTY = 0.8
+RANDOM = 0.9  # of what random strings of the candidate's alphabet and length cost in its place
+HEXES = (b"0123456789abcdef", b"0123456789ABCDEF")
+CLASSES = (b"0123456789", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"+", b"/", b"_", b"=", b"-")
 LEVEL = 3
 
 
@@ -98,11 +102,26 @@ class Novelty:
         else:
             self.z = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
-    def share(self, text: str, start: int, end: int) -> float:
-        """Marginal compressed bytes of text[start:end] per byte, given what stands around it."""
-        before, own, after = (x.encode() for x in (text[max(0, start - CONTEXT):start], text[start:end], text[end:end + CONTEXT]))
+    def share(self, text: str, start: int, end: int, own: bytes | None = None) -> float:
+        """Marginal compressed bytes of text[start:end], or of ``own`` in its place, per byte, given what stands around it."""
+        own = own or text[start:end].encode()
+        before, after = (x.encode() for x in (text[max(0, start - CONTEXT):start], text[end:end + CONTEXT]))
         return (len(self.z.compress(before + own + after)) - len(self.z.compress(before + after))) / len(own)
 
+    def novel(self, text: str, start: int, end: int, novelty: float) -> bool:
+        """The share is at least ``novelty``, or nearly that of random strings of the same alphabet and length."""
+        got = self.share(text, start, end)
+        return got >= novelty or got >= RANDOM * min(self.share(text, start, end, x) for x in random_like(text[start:end].encode()))
+
+
+def random_like(own: bytes) -> list[bytes]:
+    """Two strings of the length of ``own`` over its alphabet, drawn from hashes of it."""
+    seen = set(own)
+    small = next((x for x in HEXES if seen <= set(x)), None)
+    alphabet = small or b"".join(x if len(x) > 1 else bytes(seen & set(x)) for x in CLASSES if seen & set(x))
+    table = bytes(alphabet[i % len(alphabet)] for i in range(256))
+    return [hashlib.shake_256(bytes([k]) + own).digest(len(own)).translate(table) for k in range(2)]
+
 
 def identifiers(docs: DataFrame, limit: int = DICT_WORDS) -> list[str]:
     """The most frequent identifiers near sensitive words, counted over all documents."""
@@ -145,7 +164,7 @@ def scan(docs: DataFrame, words: list[str] | None = None, novelty: float = NOVEL
                     text = t.decode()
                     base = base_spans(text)
                     more = [(s, 3, e) for s, e in candidates(text)
-                            if not any(s < be and bs < e for bs, _, be in base) and measure.share(text, s, e) >= novelty]
+                            if not any(s < be and bs < e for bs, _, be in base) and measure.novel(text, s, e, novelty)]
                     n = Counter(k for _, k, _ in base)
                     rows.append((n[0], n[1], n[2], hashlib.sha256(listed(base).encode()).hexdigest(),
                                  listed(sorted(base + more)), len(more)))

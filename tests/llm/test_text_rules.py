@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -155,3 +156,13 @@ def test_incompressible_strings_near_sensitive_words_are_novel(docs):
     start = rows[0][1].index(random_string)
     assert out[1]["spans"] == f"novel:{start}:{start + len(random_string)}" and out[2]["spans"] == "" and out[3]["n_novel"] == 0
     assert out[4]["n_novel"] == 0  # repeated in its own surroundings: nothing new
+
+
+def test_long_random_strings_of_small_alphabets_are_novel(docs):
+    rng, upper, lower = random.Random(53), "0123456789ABCDEF", "0123456789abcdefghijklmnopqrstuvwxyz"
+    rows = [(100 * k + i, "token " + "".join(rng.choice(a) for _ in range(n)) + end) for k, (a, n, end) in enumerate(
+        ((upper, 64, ""), (upper, 256, ""), (lower, 256, ""), (lower, 256, " is what the old service still asks for"))) for i in range(25)]
+    out = Counter(r["doc_id"] // 100 for r in Z.scan(docs(rows)).collect() if r["n_novel"])
+    assert all(out[k] >= 23 for k in range(4)), out
+    plain = [(1, "token value_1_value_2_value_3_value_4_value_5_value_6_value_7_value_8_value_9")]
+    assert Z.scan(docs(plain)).first()["n_novel"] == 0
