@@ -1,0 +1,107 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kestrel.llm import ranked_search as R
+
+from .conftest import ITEMS
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def split(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items):
+    """Rows of the contract, documents scored one by one."""
+    bags = [(d, split(t)) for d, t in docs]
+    bags = [(d, w, Counter(w)) for d, w in bags if w]
+    n_docs, n_terms = len(bags), sum(len(w) for _, w, _ in bags)
+    out = []
+    for item_id, text in items:
+        query, ranked = split(text), []
+        df = {t: sum(t in c for _, _, c in bags) for t in set(query)}
+        for d, words, c in bags:
+            m, score = 75 + 25 * len(words) * n_docs // n_terms, 0
+            for t in query:
+                if c[t]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((10**9 * c[t]) // (1000 * c[t] + 12 * m))
+            if score > 0:
+                ranked.append((-score, d is None, d or 0, d))
+        out += [(item_id, k + 1, d, -s) for k, (s, _, _, d) in enumerate(sorted(ranked)[:20])]
+    return sorted(out, key=str)
+
+
+def answers(df):
+    return sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()), key=str)
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(40)] + ["Über", "ÉTÉ", "漢字", "42", "a"]
+    text = lambda k: rng.choice([" ", ", ", "_", "\n"]).join(rng.choice(vocab) for _ in range(k))
+    docs = [(i, text(rng.randint(0, 25))) for i in range(n)]
+    docs += [(1000 + i, docs[i % 7][1]) for i in range(60)]  # copies: more than 20 of a class
+    docs += [(2000, None), (2001, ""), (2002, "--"), (None, "w1 w2 w3"), (None, "w1 w2 w3"), (5, "w1 w2 w3"), (2003, "w1 " * 20_000), (2004, "zz yy")]
+    rng.shuffle(docs)
+    items = [(i, text(rng.randint(1, 9))) for i in range(12)]
+    items += [(100, None), (101, ""), (102, "nowhere at all"), (None, "w1 w2"), (3, items[3][1]), (3, items[3][1]), (103, "W1 w1 w1 UBER über")]
+    return docs, items
+
+
+@pytest.mark.parametrize("item_bytes, broadcast_bytes, pairs", [(R.ITEM_BYTES, R.BROADCAST_BYTES, 1 << 20), (300, 0, 40)])
+def test_equals_scoring_every_document(spark, docs, monkeypatch, item_bytes, broadcast_bytes, pairs):
+    """Also with items in several blocks, classes joined by a shuffle, and small blocks of scores."""
+    monkeypatch.setattr(R, "BLOCK_PAIRS", pairs)
+    monkeypatch.setattr(R, "BLOCK_ENTRIES", pairs)
+    data, items = corpus(4, 90)
+    table = docs(data).withColumns({"bag": F.lit("x"), "m": F.lit(1), "item": F.lit(2), "rank": F.lit("z")})
+    bench = spark.createDataFrame(items, ITEMS).withColumns({"doc_id": F.lit(1), "score": F.lit(3)})
+    assert answers(R.search(table, bench, item_bytes, broadcast_bytes)) == brute(data, items)
+
+
+def test_classes_compare_bytes_not_hashes(spark, docs, monkeypatch):
+    monkeypatch.setattr(R, "bag_hash", lambda b: b"same")
+    data, items = corpus(6, 60)
+    assert answers(R.search(docs(data).coalesce(1), spark.createDataFrame(items, ITEMS))) == brute(data, items)
+
+
+def test_a_third_of_all_rows_is_one_class(spark, docs):
+    data = [(i, "alpha beta gamma") for i in range(400)] + [(1000 + i, f"alpha d{i}") for i in range(800)]
+    items = [(1, "alpha beta"), (2, "d5 d6 gamma")]
+    found = R.bags(docs(data), R.Items.of(items).vocabulary).withColumn("m", F.lit(80))
+    assert R.classes_of(found).count() <= 4
+    assert answers(R.search(docs(data), spark.createDataFrame(items, ITEMS))) == brute(data, items)
+
+
+def test_empty_tables_and_items_without_documents(spark, docs):
+    items = spark.createDataFrame([(1, "alpha")], ITEMS)
+    for data in ([], [(1, None)], [(1, "beta")]):
+        assert R.search(docs(data), items).collect() == []
+    assert R.search(docs([(1, "alpha")]), items.where("false")).collect() == []
+
+
+def test_words_of_a_batch():
+    texts = ["", "  ", "Aé-b_c", "x", "\x7f{z}", "é é"]
+    words, first = R.terms([t.encode() for t in texts])
+    got = [words.to_pylist()[a:b] for a, b in zip(first, first[1:])]
+    assert got == [split(t) for t in texts]
+
+
+def test_best_keeps_equal_scores_by_least_id():
+    rng = np.random.default_rng(1)
+    best, seen = R.Best(3), []
+    for _ in range(30):
+        item, score, least = rng.integers(0, 3, 40), rng.integers(1, 6, 40), rng.integers(0, 500, 40)
+        seen += list(zip(item.tolist(), (-score).tolist(), least.tolist()))
+        mask = score >= best.floor[item]
+        best.add(item[mask], score[mask], least[mask], [None] * int(mask.sum()))
+    got = sorted(zip(best.item.tolist(), (-best.score).tolist(), best.least.tolist()))
+    assert got == sorted(x for i in range(3) for x in sorted(s for s in seen if s[0] == i)[:20])
