@@ -115,13 +115,10 @@ def running_sum(df: DataFrame, key: str, order: list[str], value: str, keep: lis
     fields (``keep``) are those of the key's *first* row. The sum runs in DECIMAL(38,
     ``scale``) so that it does not depend on the order of partial additions.
     """
-    d = df.withColumn("_v", F.col(value).cast(f"decimal(38,{scale})"))
-    run = P.prefix(d, [key], order, F.col("_v"), "sum", "_run", True, buckets)
-    first = (df.groupBy(F.col(key).alias("_of"))
-             .agg(F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(*[F.col(c) for c in order]))
-                  .alias("_first")))
-    out = run.join(first, run[key].eqNullSafe(first["_of"]))  # a NULL key is a group, too
-    return out.select(*[F.col("_first")[c].alias(c) for c in keep], key,
+    total = F.col(value).cast(f"decimal(38,{scale})")
+    outs = {"_run": (total, "sum"), "_first": (F.struct(*[F.col(c) for c in keep]), "first")}
+    run = P.scan(df, [key], order, outs, True, buckets)
+    return run.select(*[F.col("_first")[c].alias(c) for c in keep], key,
                       F.col("_run").cast("double").alias(value), *[F.col(c).alias(f"row_{c}") for c in order])
 
 

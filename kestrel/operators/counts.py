@@ -33,11 +33,9 @@ def count_slide(df: DataFrame, key: str, seq: str, value: str, size: int = 5, sl
     ``[j, j + size - 1]`` with ``e % slide == 0`` and ``e`` not past the key's last row."""
     r = P.rank(df, [key], [seq], "rn", buckets)
     ends = F.filter(F.sequence(F.col("rn"), F.col("rn") + size - 1), lambda e: e % slide == 0)
-    x = r.select(key, value, F.explode(ends).alias("_end"))
-    sums = x.groupBy(key, "_end").agg(F.sum(value).cast("long").alias(value))
-    last = r.groupBy(F.col(key).alias("_of")).agg(F.max("rn").alias("_max"))
-    return (sums.join(last, sums[key].eqNullSafe(last["_of"])).where(F.col("_end") <= F.col("_max"))
-            .select(key, value, F.col("_end").alias("end_position")))
+    x = r.select(key, value, "rn", F.explode(ends).alias("_end"))
+    sums = x.groupBy(key, "_end").agg(F.sum(value).cast("long").alias(value), F.max(F.col("rn") == F.col("_end")).alias("_ended"))
+    return sums.where("_ended").select(key, value, F.col("_end").alias("end_position"))
 
 
 def count_global(df: DataFrame, key: str, seq: str, value: str, size: int = 5,

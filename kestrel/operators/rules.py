@@ -2,7 +2,7 @@
 dimension snapshot applies to rows at or after its own timestamp.
 
 Rules and rows are put in one order of time and each row takes the last rule at or before
-it, with the ordered scan of ``prefix`` (a running maximum of (time, arrival)). There is no
+it, with the ordered scan of ``prefix`` (the last rule carried). There is no
 join of rows with rules, no broadcast and no limit on the number of rules.
 """
 
@@ -28,16 +28,16 @@ def last_rule(rows: DataFrame, rules: DataFrame, value: str, time: str = "ts", a
 
     Rules at one time are ordered by their ``arrival`` number, where they have one, then by value.
     """
-    keep = [c for c in rows.columns]
     when = F.coalesce(F.col(time), F.lit(START).cast("timestamp_ntz"))
     came = F.col(arrival).cast("long") if arrival in rules.columns else F.lit(0).cast("long")
-    r = rules.select(when.alias("_time"), F.lit(0).alias("_is_row"),
-                     F.struct(when.alias("t"), came.alias("a"), F.col(value).alias("v")).alias("_rule"),
-                     F.lit(None).cast(rows.select(F.struct(*keep)).schema[0].dataType).alias("_row"))
-    x = rows.select(F.col(time).alias("_time"), F.lit(1).alias("_is_row"), F.lit(None).cast(r.schema["_rule"].dataType).alias("_rule"),
-                    F.struct(*keep).alias("_row"))
-    seen = P.prefix(r.unionByName(x), [], ["_time", "_is_row"], F.col("_rule"), "max", "_last", True)
-    return seen.where("_is_row = 1").select("_row.*", F.col("_last.v").alias(out))
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    r = rules.select(when.alias("_time"), F.lit(0).alias("_is_row"), came.alias("_came"), F.col(value).alias("_value"),
+                     F.lit(None).cast(rows.select(row).schema[0].dataType).alias("_row"))
+    x = rows.select(F.col(time).alias("_time"), F.lit(1).alias("_is_row"), F.lit(0).cast("long").alias("_came"),
+                    F.lit(None).cast(r.schema["_value"].dataType).alias("_value"), row.alias("_row"))
+    order = ["_time", "_is_row", "_came", "_value"]
+    seen = P.prefix(r.unionByName(x), [], order, F.when(F.col("_is_row") == 0, F.struct("_value")), "last", "_last")
+    return seen.where("_is_row = 1").select("_row.*", F.col("_last._value").alias(out))
 
 
 def latest_rule_filter(messages: DataFrame, keywords: DataFrame, text: str = "message",
