@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import scalar as S
+from kestrel.operators import prefix as P
 
 AUCTION_COLUMNS = ["id", "itemName", "description", "initialBid", "reserve", "dateTime", "expires",
                    "seller", "category", "extra"]
@@ -83,24 +84,46 @@ def window_join(orders: DataFrame, goods: DataFrame, size: str, order_time: str
                     (F.col("goodsPrice") * F.col("count")).alias("totalMoney"))
 
 
-def versioned_dim(dim: DataFrame, valid_from: str = "valid_from") -> DataFrame:
-    """Snapshot rows → validity intervals ``[valid_from, valid_to)``.
+def dim_changes(dim: DataFrame, dim_key: str, valid_from: str = "valid_from") -> DataFrame:
+    """Whole snapshots → changes of single keys: (key, at, alive, row).
 
-    A snapshot replaces the whole map: it ends when the *next snapshot* starts, so a key
-    that is absent from the newest snapshot stops matching. The window orders one row per
-    snapshot time; join back on that time.
+    A snapshot replaces the one before, so a key that the next snapshot lacks gets a tombstone at that
+    snapshot's time. Several rows of a key in one snapshot count as the greatest one, as in a map
+    by key. Rows without key or time never apply.
     """
-    times = dim.select(F.col(valid_from).alias("_at")).distinct()
-    until = times.select("_at", F.lead("_at").over(Window.orderBy("_at")).alias("valid_to"))
-    return dim.join(until, dim[valid_from] == until["_at"]).drop("_at")
+    rest = [c for c in dim.columns if c != dim_key]
+    one = (dim.where(F.col(dim_key).isNotNull() & F.col(valid_from).isNotNull())
+           .groupBy(F.col(dim_key).alias("key"), F.col(valid_from).alias("at"))
+           .agg(F.max(F.struct(*[F.col(c) for c in rest])).alias("row")))
+    # One row a snapshot: its successor.
+    times = dim.where(F.col(valid_from).isNotNull()).select(F.col(valid_from).alias("at")).distinct()
+    times = times.select("at", F.lead("at").over(Window.orderBy("at")).alias("next"))
+    own = F.lead("at").over(Window.partitionBy("key").orderBy("at"))
+    versions = one.join(times, "at").withColumn("own", own)
+    gone = versions.where(F.col("next").isNotNull() & ~F.col("own").eqNullSafe(F.col("next")))
+    return (versions.select("key", "at", F.lit(True).alias("alive"), "row")
+            .unionByName(gone.select("key", F.col("next").alias("at"), F.lit(False).alias("alive"), "row")))
 
 
 def as_of_enrich(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_time: str,
-                 how: str = "inner") -> DataFrame:
-    """Each fact row joined to its key's row in the snapshot valid at its time (key equality +
-    ``valid_from <= t < valid_to``). Facts before the first snapshot, or of keys that the
-    snapshot lacks, are dropped (``how="left"`` keeps them with NULLs)."""
-    d = versioned_dim(dim)
-    cond = ((facts[fact_key] == d[dim_key]) & (facts[fact_time] >= d.valid_from)
-            & (d.valid_to.isNull() | (facts[fact_time] < d.valid_to)))
-    return facts.join(d, cond, how)
+                 how: str = "inner", buckets: int | None = None) -> DataFrame:
+    """Each fact row with its key's row in the snapshot valid at its time. Facts before the first
+    snapshot, or of keys that the snapshot lacks, are dropped (``how="left"`` keeps them with NULLs).
+
+    Facts and changes of a key are merged in one order of time and the last change is carried to
+    the facts behind it (``prefix.scan``): a fact never meets the other versions of its key, and a hot
+    key is scanned in ranges of time. The columns are those of ``facts`` and of ``dim``.
+    """
+    changes = dim_changes(dim, dim_key)
+    fact, change = F.struct(*[F.col(c) for c in facts.columns]), F.struct("alive", "row", "key")
+    nothing = lambda df, c: F.lit(None).cast(df.select(c.alias("s")).schema["s"].dataType)
+    merged = (changes.select("key", "at", F.lit(0).alias("kind"), change.alias("change"), nothing(facts, fact).alias("fact"))
+              .union(facts.select(F.col(fact_key), F.col(fact_time), F.lit(1), nothing(changes, change), fact)))
+    seen = P.scan(merged, ["key"], ["at", "kind"], {"now": (F.col("change"), "last")}, True, buckets).where("kind = 1")
+    known = F.coalesce(F.col("now.alive"), F.lit(False))
+    if how == "inner":
+        seen = seen.where(known)
+    elif how != "left":
+        raise ValueError(f"how must be inner or left, not {how}")
+    found = [F.when(known, F.col("now.key") if c == dim_key else F.col("now.row")[c]).alias(c) for c in dim.columns]
+    return seen.select("fact.*", *found)
