@@ -11,10 +11,14 @@ Defined results: a null text is the empty text, a document without ids is the en
 null ``doc_id`` sorts first, repeated rows are written once each (ties in ``doc_id`` are ordered
 by a hash of the text, then the text), an empty table gives no rows. Other columns are ignored.
 
+Special tokens are the library's: a literal ``<|endoftext|>`` in a text becomes its id, as by
+``encode(text, add_special_tokens=False)``; ``plain_specials`` encodes it as other text.
+
 Speed: the pre-tokenizer never lets a token cross the place before a single space or newline
-that precedes a word, so the text between two such places always encodes alike. Each worker
-remembers the ids of such pieces (at most ``CACHE_PIECES``) and hands only new ones to the
-tokenizer, joined into one string; their ends are found again from the byte length of each id.
+that precedes a word, so the text between two such places always encodes alike. Texts are split
+there by Arrow, and only the distinct pieces of a run are looked up. Each worker remembers the ids of
+pieces (at most ``CACHE_PIECES``) and hands only new ones to the tokenizer, joined into one string;
+their ends are found again from the byte length of each id.
 """
 
 from __future__ import annotations
@@ -44,14 +48,15 @@ class ChunkEncoder:
     """One tokenizer file with a bounded memory of piece -> ids (int32 bytes).
 
     A piece is a word after one space, or a newline and the word after it. A text with other
-    white space, or with two white-space characters side by side, is encoded as a whole.
+    white space, with two white-space characters side by side or with a special token is encoded whole.
     """
 
-    def __init__(self, path: str, cache: int = CACHE_PIECES):
+    def __init__(self, path: str, cache: int = CACHE_PIECES, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = plain_specials
+        self.specials = [] if plain_specials else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)  # a byte-level token has one character per byte
         for token, i in vocab.items():
@@ -75,15 +80,21 @@ class ChunkEncoder:
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
         """The ids of new pieces, encoded in one call; pieces with inner white space are left out."""
-        plain = [p for p in missing if p.isalpha() or len(x := p.split()) == 1 and (x[0] == p or "\n" + x[0] == p)]
-        # A letter and a full stop or comma are never in one token: only the word before is new.
-        stems = {p: p[:-1] for p in plain if p[-1] in ".," and p[-2:-1].isalpha()}
+        words, stems = set(), {}
+        for p in missing:
+            if p.isalpha():
+                words.add(p)
+            elif len(x := p.split()) == 1 and (x[0] == p or "\n" + x[0] == p):
+                # A letter and a full stop or comma are never in one token: only the word before is new.
+                if p[-1] in ".," and p[-2:-1].isalpha():
+                    stems[p] = p = p[:-1]
+                words.add(p)
         cache, learned = self.cache, {}
-        new = [p for p in {stems.get(p, p) for p in plain} if p not in cache]
+        new = [p for p in words if p not in cache]
         if new:
             spaced = [p if p[0] == "\n" else " " + p for p in new]
             ids = self._ids("".join(spaced))
-            bytes_in = np.cumsum([len(p.encode()) for p in spaced])
+            bytes_in = np.cumsum(np.asarray(pc.binary_length(pa.array(spaced, pa.string())), np.int64))
             ends = np.searchsorted(np.cumsum(self.width[ids]), bytes_in, side="left") + 1
             data, at = ids.tobytes(), 0
             for piece, end in zip(new, (4 * ends).tolist()):
@@ -95,21 +106,36 @@ class ChunkEncoder:
             cache.update(learned)
         return learned
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian int32 bytes, without an end id."""
-        pieces = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
-        found = [list(map(self.cache.get, p)) for p in pieces]
-        gaps = [[i for i, x in enumerate(f) if x is None] for f in found]
-        missing = {p[i] for p, gap in zip(pieces, gaps) for i in gap}
-        learned = self._learn(missing) if missing else {}
-        out = []
-        for text, p, f, gap in zip(texts, pieces, found, gaps):
-            for i in gap:
-                f[i] = learned.get(p[i])
-            if None in f:
-                out.append(self.whole(text) if text else b"")
-            else:
-                out.append(b"".join(f)[len(self.newline):])
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian int32 bytes, without an end id; null is the empty text."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        special = np.zeros(len(texts), bool)
+        for token in self.specials:
+            special |= np.asarray(pc.match_substring(texts, token))
+        cut = pc.if_else(pa.array(special), "", texts) if special.any() else texts
+        lists = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(cut, "\n", " \n"), ""), " ")
+        first = np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        pieces, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(coded.indices)
+        known = list(map(self.cache.get, pieces))
+        missing = {pieces[i] for i, x in enumerate(known) if x is None}
+        if missing:
+            learned = self._learn(missing)
+            known = [learned.get(p) if x is None else x for p, x in zip(pieces, known)]
+        size = np.array([-1 if x is None else len(x) // 4 for x in known], np.int64)
+        begin = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
+        ids = np.frombuffer(b"".join(x for x in known if x), "<i4")
+        # The ids of all pieces one after the other, then the end of each text among them.
+        n = np.maximum(size, 0)[at]
+        ends = np.cumsum(n)
+        flat = ids[np.repeat(begin[at] - (ends - n), n) + np.arange(int(n.sum()))]
+        text_at = np.concatenate([[0], ends])[first]
+        whole = special | np.logical_or.reduceat(size[at] < 0, first[:-1]) if len(texts) else special
+        data, skip = flat.tobytes(), len(self.newline)
+        out = [data[4 * a + skip:4 * b] for a, b in zip(text_at.tolist(), text_at[1:].tolist())]
+        for i in np.flatnonzero(whole).tolist():
+            text = texts[i].as_py()
+            out[i] = self.whole(text) if text else b""
         return out
 
 
@@ -122,7 +148,7 @@ def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for lo, hi in slices(texts, BATCH_BYTES):
-                docs_ids = [x + end for x in enc.encode([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])]
+                docs_ids = [x + end for x in enc.encode(texts.slice(lo, hi - lo))]
                 n = np.array([len(x) // 4 for x in docs_ids], np.int64)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(

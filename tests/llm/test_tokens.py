@@ -12,8 +12,7 @@ tokenizers = pytest.importorskip("tokenizers")
 
 
 def encoder():
-    t = tokenizers.Tokenizer.from_file(T.tokenizer_path())
-    t.encode_special_tokens = True
+    t = tokenizers.Tokenizer.from_file(T.tokenizer_path())  # as it comes: the contract's plain call
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -27,11 +26,20 @@ def test_pieces_encode_like_whole_texts():
             assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(batch)] == [plain(t) for t in batch]
 
 
+def test_special_tokens_are_the_librarys():
+    plain, e = encoder(), T.ChunkEncoder(T.tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n\ny z", "no <|endoftext |>", None, "", "\n", " ", "a\n b. c,"]
+    assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(texts)] == [plain(t or "") for t in texts]
+    assert np.frombuffer(e.encode(texts)[0], "<i4").tolist() == [64, 220, 50256, 275]
+    other = T.ChunkEncoder(T.tokenizer_path(), plain_specials=True)
+    assert 50256 not in np.frombuffer(other.encode(texts)[0], "<i4").tolist()
+
+
 def rows():
     rng = random.Random(42)
     out = [(i, " ".join(rng.choice(["one", "Two,", "three.\nFour", "  ", "é"]) for _ in range(rng.randint(0, 60)))) for i in range(120)]
     rng.shuffle(out)
-    return out + [(500, None), (501, ""), (502, "long " * 20000), (3, out[0][1]), (None, "no id")]
+    return out + [(500, None), (501, ""), (502, "long " * 20000), (503, "x <|endoftext|> y"), (3, out[0][1]), (None, "no id")]
 
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
