@@ -209,9 +209,10 @@ def read_tokens(spark: SparkSession, path: str, low: int | None = None, high: in
     return df.select("doc_id", "ids")
 
 
-def with_start(rows: DataFrame) -> DataFrame:
-    """start = ids of all earlier files plus local_start. One total per file goes through the ordered window."""
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
+def with_start(rows: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """start = ids of all earlier files plus local_start. One total per file goes through the ordered window;
+    totals are read from ``metadata`` (part, n_tokens), by default the rows themselves."""
+    totals = (rows if metadata is None else metadata).groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = totals.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
     return (rows.join(before, "part").withColumn("start", F.col("_before") + F.col("local_start"))
             .drop("_before", "part", "local_start"))
@@ -230,9 +231,10 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
                 [b.column(0), b.column(2), b.column(3), b.column(4), pa.array(sums, pa.int64())],
                 names=["doc_id", "n_tokens", "part", "local_start", "ids_crc32"])
 
-    rows = spark.read.schema(SCHEMA).parquet(path).mapInArrow(
+    written = spark.read.schema(SCHEMA).parquet(path)
+    rows = written.mapInArrow(
         crc, "doc_id long, n_tokens long, part int, local_start long, ids_crc32 long")
-    return with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_start(rows, written.select("part", "n_tokens")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
