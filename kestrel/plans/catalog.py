@@ -19,6 +19,7 @@ from kestrel.operators import aggs, calc, counts, joins, rules, state, topk, win
 from kestrel.sources import auction as V
 from kestrel.sources import fixtures as X
 from kestrel.sources import readers, sinks
+from kestrel.sources.keyed_log import KeyedLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,14 @@ def _upsert_versions(spark, d):
     return sinks.upsert_snapshot(spark, k.where(~half), path, "rowkey", "seq", ["id", "name"], 1).select("rowkey", "id", "name")
 
 
+def _log_versions(spark, d):
+    """Seven versions by sequence number (newest last) as runs, merged by twos, read at the last version."""
+    log, k = KeyedLog(spark, session.shared_folder(spark, "log"), "rowkey", "seq", ["id", "name"], fanout=2), _keyed_rows(spark, d)
+    for v in range(7):
+        log.write(k.where(F.col("seq") % 7 == v), v)
+    return log.read().select("rowkey", "id", "name")
+
+
 def _scores(spark, d):
     return X.events(spark, d).select(F.col("event_id").alias("id"), F.col("event_type").alias("name"),
                                      F.col("value").alias("score"))
@@ -163,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "sink_json_nested": _json_rows,
     "sink_partitioned_table": _partitioned,
     "sink_upsert_merge": _upsert_versions,
+    "sink_upsert_log": _log_versions,
     "running_sum_values": lambda s, d: aggs.running_sum_values(
         X.table(s, d, "lineitem").select(S.cos_cbrt("l_orderkey").alias("value"), "l_linenumber"), "value", ["l_linenumber"]),
     "map_tostring": lambda s, d: joins.window_join(X.order_items(s, d), X.goods(s, d), "30 days").select(

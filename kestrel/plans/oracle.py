@@ -372,3 +372,4 @@ FROM events WHERE event_type IN ('view', 'click')"""
 ORACLE["sink_upsert_merge"] = """SELECT CAST(user_id AS VARCHAR) AS rowkey,
   arg_max(event_id, (event_id % 2, event_id)) AS id, arg_max(event_type, (event_id % 2, event_id)) AS name
 FROM events GROUP BY user_id"""
+ORACLE["sink_upsert_log"] = ORACLE["sink_upsert_merge"].replace("event_id % 2", "event_id % 7")

@@ -129,8 +129,7 @@ def band_stats_batches(store: str, keys: list[str], sink, with_minute: bool = Fa
         hist = past.join(days, (past["_month"] == days["_m"]) & past["_date"].eqNullSafe(days["_d"]), "left_semi")
         res = aggs.band_totals(aggs.merged_partials(hist, group, list(latest)), group, list(latest))
         if with_minute:
-            res = res.withColumn("minute", F.format_string(
-                "%02d:%02d", F.floor(F.col("_mod") / 60).cast("int"), (F.col("_mod") % 60).cast("int"))).drop("_mod")
+            res = res.withColumn("minute", aggs.clock(F.col("_mod"))).drop("_mod")
         sink(aggs._day_first(res, keys), batch_id)
     return run
 
@@ -196,6 +195,29 @@ def two_step_pattern(items: DataFrame, rules: list[tuple[str, str]], key: str, s
             .transformWithStateInPandas(proc, out, "Append", "None"))
 
 
+def live_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, shape: str, time: str = "ts",
+                 delay: str = DEFAULT_DELAY, slots: int = 64) -> DataFrame:
+    """Two-step pattern under rules that change while the job runs (``state.pattern_as_of`` on streams).
+
+    ``rules`` is a stream (rule, first, second, ts): a row replaces the rule of that name from its time
+    on, and a NULL ``first`` removes it. Items and rules are one tagged input, cut into ``slots`` by the
+    items' key; each slot gets every rule. Rows wait in state until the watermark has passed them, so
+    they are handled in event time whatever the batch cuts, and rules may come late by ``delay``.
+    """
+    text = lambda c: F.col(c).cast("string")  # noqa: E731  exact in pandas next to the rules' NULLs
+    x = watermarked(items.where(F.col(time).isNotNull() & F.col(seq).isNotNull()).select(
+        F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot"), F.col(time).alias("ts"), text(key).alias("key"),
+        text(seq).alias("seq"), F.col(shape).alias("shape"), *[F.lit(None).cast("string").alias(c) for c in ("rule", "first", "second")]),
+        "ts", delay)
+    r = watermarked(rules.where(F.col("ts").isNotNull()).select(
+        F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), F.col("ts"),
+        *[F.lit(None).cast("string").alias(c) for c in ("key", "seq", "shape")], "rule", "first", "second"), "ts", delay)
+    out = T.StructType([T.StructField("rule", T.StringType()), T.StructField("key", T.StringType()),
+                        T.StructField("first_seq", T.LongType()), T.StructField("second_seq", T.LongType())])
+    found = x.unionByName(r).groupBy("slot").transformWithStateInPandas(stateful.LivePatternProcessor(out.names), out, "Append", "EventTime")
+    return found.select("rule", F.col("key").cast(items.schema[key].dataType).alias(key), "first_seq", "second_seq")
+
+
 def punctuated_late_batches(store: str, seq: str, time: str, id_col: str, marker, delay_seconds: int, sink):
     """``foreachBatch`` form of the punctuated watermark: late rows of each batch, with
     the watermark carried between batches in a one-row table under ``store`` (written
@@ -220,6 +242,44 @@ def punctuated_late_batches(store: str, seq: str, time: str, id_col: str, marker
     return run
 
 
+OPEN_WINDOW = "rows long, total long, windows long"
+
+
+def count_global_batches(store: str, key: str, seq: str, value: str, size: int, sink):
+    """``foreachBatch`` form of ``counts.count_global``: every ``size`` rows over all keys.
+
+    What a micro-batch leaves open (rows, sum, key of the first row, windows closed so far) is carried
+    as one row under ``store/b=<id>``; the next batch numbers its rows on from there with the range-cut
+    scan, so no task holds the whole order. A retried batch starts from the same row and rewrites its
+    own. ``seq`` orders rows within and across batches.
+    """
+    from kestrel.operators import prefix as P
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, kind = batch.sparkSession, batch.schema[key].dataType.simpleString()
+        schema = f"{OPEN_WINDOW}, first {kind}"
+        old = (0, 0, 0, None) if batch_id == 0 else tuple(spark.read.schema(schema).parquet(f"{store}/b={batch_id - 1}").first())
+        rows, total, windows_so_far, first = old
+        r = P.rank(batch.select(key, seq, value), [], [seq], "rn")
+        g = r.withColumn("_grp", F.floor((F.col("rn") - 1 + rows) / size))
+        sums = g.groupBy("_grp").agg(F.min_by(key, seq).alias(key), F.sum(value).cast("long").alias(value), F.count(F.lit(1)).alias("_n"))
+        carried = F.col("_grp") == 0  # the window left open by the batch before
+        sums = sums.select(
+            "_grp", F.when(carried & F.lit(rows > 0), F.lit(first).cast(kind)).otherwise(F.col(key)).alias(key),
+            (F.coalesce(value, F.lit(0)) + F.when(carried, F.lit(total)).otherwise(F.lit(0))).alias(value),
+            (F.col("_n") + F.when(carried, F.lit(rows)).otherwise(F.lit(0))).alias("_n")).persist()
+        sink(sums.where(F.col("_n") == size).select(key, value, (F.col("_grp") + 1 + windows_so_far).alias("window_no")), batch_id)
+        done = sums.where(F.col("_n") == size).count()
+        rest = sums.where(F.col("_n") < size).select("_n", value, key).first()  # at most one window is open
+        if rest is not None:
+            left = (rest["_n"], rest[value], windows_so_far + done, rest[key])
+        else:
+            left = (0, 0, windows_so_far + done, None) if done else old
+        sums.unpersist()
+        spark.createDataFrame([left], schema).coalesce(1).write.mode("overwrite").parquet(f"{store}/b={batch_id}")
+    return run
+
+
 def _pending(spark, batch: DataFrame, store: str, batch_id: int, cols: list[str]) -> DataFrame:
     """The batch's bids and those of earlier batches that still wait for their auction.
 
@@ -295,6 +355,16 @@ def keyed_upsert_batches(store: str, key: str, seq: str, cols: list[str]):
     return run
 
 
+def keyed_log_batches(store: str, key: str, seq: str, cols: list[str], fanout: int = 4):
+    """``foreachBatch`` keyed upsert into a log of runs: a batch writes its own rows and now and then a
+    merge, not the whole table (``sources.keyed_log``). Version ``batch_id`` is written once, also on retry."""
+    from kestrel.sources.keyed_log import KeyedLog
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        KeyedLog(batch.sparkSession, store, key, seq, cols, fanout).write(batch, batch_id)
+    return run
+
+
 def rule_batches(apply, load_rules, sink):
     """``foreachBatch`` form of the rule jobs (``rules.latest_rule_filter``,
     ``rules.rules_for_each``): the rule history is re-read for every micro-batch (it is
