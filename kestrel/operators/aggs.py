@@ -76,6 +76,11 @@ def _day_first(df: DataFrame, keys_before: list[str]) -> DataFrame:
     return df.select(*keys_before, F.date_format("_date", "yyyy-MM-dd").alias("day"), *cols)
 
 
+def clock(minute: Column) -> Column:
+    """A minute of the day as ``HH:mm``, NULL for none."""
+    return F.when(minute.isNotNull(), F.format_string("%02d:%02d", F.floor(minute / 60).cast("int"), (minute % 60).cast("int")))
+
+
 def daily_bands(bid: DataFrame) -> DataFrame:
     """q15: per day, bids / distinct bidders / distinct auctions, overall and per band."""
     return _day_first(band_stats(_with_date(bid), ["_date"]), [])
@@ -86,8 +91,7 @@ def channel_daily(bid: DataFrame) -> DataFrame:
     minute of day, formatted after aggregation: same order as the ``HH:mm`` strings)."""
     minute_of_day = F.hour("dateTime") * 60 + F.minute("dateTime")
     out = band_stats(_with_date(bid), ["channel", "_date"], {"_mod": minute_of_day})
-    hhmm = F.format_string("%02d:%02d", F.floor(F.col("_mod") / 60).cast("int"), (F.col("_mod") % 60).cast("int"))
-    return _day_first(out.withColumn("minute", hhmm).drop("_mod"), ["channel"]).select(
+    return _day_first(out.withColumn("minute", clock(F.col("_mod"))).drop("_mod"), ["channel"]).select(
         "channel", "day", "minute", *[c for c in out.columns if c not in ("channel", "_date", "_mod")])
 
 

@@ -8,7 +8,7 @@ carry the same state across micro-batches; these are the answers they converge t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators import prefix as P
@@ -57,6 +57,33 @@ def two_step_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, sha
             .select("rule", key, F.col(seq).alias("first_seq"), (-F.col("_next")).alias("second_seq")))
 
 
+def rule_versions(changes: DataFrame) -> DataFrame:
+    """Rule changes (rule, first, second, ts) → versions (rule, first, second, valid_from, valid_to): a change
+    replaces the rule of its name from its time on, a NULL ``first`` removes it. Of several changes of a
+    rule at one time the greatest (first, second) counts, a removal only where it is alone."""
+    one = changes.groupBy("rule", "ts").agg(F.max(F.struct("first", "second")).alias("c"))
+    until = F.lead("ts").over(Window.partitionBy("rule").orderBy("ts"))
+    return (one.select("rule", "c.first", "c.second", F.col("ts").alias("valid_from"), until.alias("valid_to"))
+            .where(F.col("first").isNotNull()))
+
+
+def pattern_as_of(items: DataFrame, changes: DataFrame, key: str, seq: str, shape: str, time: str = "ts",
+                  buckets: int | None = None) -> DataFrame:
+    """``two_step_pattern`` under rules that change over event time: a rule version sees the items from its
+    time up to its successor's, and what it has pending goes with it. Items are in the order (time, seq)."""
+    v = rule_versions(changes)
+    both = F.col("first") == F.col("second")
+    roles = (v.select("rule", "valid_from", "valid_to", F.col("first").alias("_shape"), F.lit(True).alias("is_first"), both.alias("is_second"))
+             .unionByName(v.where(~both).select("rule", "valid_from", "valid_to", F.col("second").alias("_shape"),
+                                                F.lit(False).alias("is_first"), F.lit(True).alias("is_second"))))
+    at = F.col(time)
+    x = (items.join(roles, (items[shape] == F.col("_shape")) & (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to"))))
+         .select("rule", "valid_from", key, seq, "is_first", "is_second", (-F.unix_micros(at.cast("timestamp"))).alias("_desc"), (-F.col(seq)).alias("_desc_seq")))
+    later = F.when(F.col("is_second"), F.col(seq))
+    x = P.prefix(x, ["rule", "valid_from", key], ["_desc", "_desc_seq"], later, "last", "_next", False, buckets)
+    return x.where(F.col("is_first") & F.col("_next").isNotNull()).select("rule", key, F.col(seq).alias("first_seq"), F.col("_next").alias("second_seq"))
+
+
 def punctuated_late(df: DataFrame, seq: str, time: str, id_col: str, marker, delay_seconds: int,
                     buckets: int | None = None) -> DataFrame:
     """Rows behind a punctuated watermark: only rows with ``id_col == marker`` advance it,

@@ -235,3 +235,87 @@ class SlidingCountProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LivePatternProcessor(StatefulProcessor):
+    """Two-step pattern under changing rules for the keys of one slot, in event time.
+
+    State: rows the watermark has not passed yet, the rules with the time of their current version, and
+    the first items pending per (key, rule). A new version of a rule, or its removal, clears what
+    the old one had pending.
+    """
+
+    COLUMNS = ["key", "seq", "shape", "rule", "first", "second"]  # text; a row with seq is an item
+
+    def __init__(self, out: list[str]):
+        self.out = out
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "ts_us long, kind int, key string, seq long, shape string, "
+                                                      "rule string, first string, second string")
+        self.rules = handle.getMapState("rules", "rule string", "ts_us long, first string, second string")
+        self.pending = handle.getListState("pending", "key string, rule string, seq long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = []
+        for part in rows:
+            us = part["ts"].astype("datetime64[us]").astype("int64").tolist()
+            cols = [part[c].astype(object).where(part[c].notna(), None).tolist() for c in self.COLUMNS]
+            new += [(t, int(q is not None), k, None if q is None else int(q), *r) for t, (k, q, *r) in zip(us, zip(*cols))]
+        if new:
+            self.waiting.appendList(new)
+        yield self._advance(timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield self._advance(timerValues)
+
+    def _advance(self, timerValues) -> pd.DataFrame:
+        """Handles what the watermark has passed, in order of time (rules first), then of sequence."""
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        ready = sorted((r for r in rows if r[0] < passed), key=lambda r: (r[0], r[1], r[3] or 0, str(r[5]), str(r[6] or ""), str(r[7] or "")))
+        out = self._handle(ready) if ready else []
+        if ready:
+            left = [r for r in rows if r[0] >= passed]
+            self.waiting.put(left) if left else self.waiting.clear()
+            rows = left
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        if rows:
+            self.handle.registerTimer(min(r[0] for r in rows) // 1000 + 1)
+        return pd.DataFrame({c: pd.Series([r[i] for r in out], dtype=object if i < 2 else "int64") for i, c in enumerate(self.out)})
+
+    def _handle(self, ready: list[tuple]) -> list[tuple]:
+        rules = {k[0]: tuple(v) for k, v in self.rules.iterator()} if self.rules.exists() else {}
+        pending: dict[tuple, list[int]] = {}
+        for k, rule, q in (tuple(p) for p in self.pending.get()) if self.pending.exists() else ():
+            pending.setdefault((k, rule), []).append(q)
+        out = []
+        for ts, is_item, k, q, shape, rule, first, second in ready:
+            if not is_item:
+                now = rules.get(rule)
+                if now is not None and now[0] == ts and first is None:
+                    continue  # a removal beside a change of the same time does not count
+                rules[rule] = (ts, first, second)
+                pending = {p: s for p, s in pending.items() if p[1] != rule}
+                continue
+            for name, (_, a, b) in rules.items():
+                if a is None:
+                    continue
+                if shape == b:
+                    out += [(name, k, p, q) for p in pending.pop((k, name), [])]
+                if shape == a:
+                    pending.setdefault((k, name), []).append(q)
+        for name in [n for n, v in rules.items() if v[1] is None]:
+            del rules[name]
+            if self.rules.containsKey((name,)):
+                self.rules.removeKey((name,))
+        for name, v in rules.items():
+            self.rules.updateValue((name,), v)
+        flat = [(k, rule, q) for (k, rule), qs in pending.items() for q in qs]
+        self.pending.put(flat) if flat else self.pending.clear()
+        return out
+
+    def close(self) -> None:
+        pass
