@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kestrel import session
 from kestrel.functions import scalar as S
-from kestrel.operators import aggs, calc, counts, joins, rules, state, topk, windows
+from kestrel.operators import accumulate, aggs, calc, counts, joins, rules, state, topk, windows
 from kestrel.sources import auction as V
 from kestrel.sources import fixtures as X
 from kestrel.sources import readers, sinks
@@ -89,6 +89,13 @@ def _upsert_versions(spark, d):
     return sinks.upsert_snapshot(spark, k.where(~half), path, "rowkey", "seq", ["id", "name"], 1).select("rowkey", "id", "name")
 
 
+def _moments(spark, d):
+    """A user's accumulator per sensor and day: count, sum, sum of squares, least and greatest ``val1``."""
+    rows = X.sensors(spark, d).select("id", F.window("ts", "1 day").start.alias("starttime"), "val1")
+    return accumulate.accumulate(rows, ["id", "starttime"], ["val1"], accumulate.Moments("val1"),
+                                 "n long, total long, squares long, least long, most long")
+
+
 def _log_versions(spark, d):
     """Seven versions by sequence number (newest last) as runs, merged by twos, read at the last version."""
     log, k = KeyedLog(spark, session.shared_folder(spark, "log"), "rowkey", "seq", ["id", "name"], fanout=2), _keyed_rows(spark, d)
@@ -142,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "win_reduce_argmin": lambda s, d: windows.window_argmin(
         X.sensors(s, d), "id", "ts", "1 day", "temperature", "seq", ["seq", "id", "val1", "temperature", "ts"]),
     "win_agg_count": lambda s, d: windows.window_count(X.sensors(s, d), "id", "ts", "1 day"),
+    "win_agg_moments": _moments,
     # count windows
     "count_tumble": lambda s, d: counts.count_tumble(X.cars(s, d), "sensorId", "seq", "count", 5),
     "count_slide": lambda s, d: counts.count_slide(X.cars(s, d), "sensorId", "seq", "count", 5, 3),

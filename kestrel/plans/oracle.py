@@ -249,6 +249,10 @@ ORACLE["win_agg_count"] = with_(SENSOR) + f"""SELECT id, {tumble_start('ts', '1
   {tumble_start('ts', '1 day')} + INTERVAL 1 DAY AS endtime, count(*) AS cnt
 FROM sensor GROUP BY id, {tumble_start('ts', '1 day')}"""
 
+ORACLE["win_agg_moments"] = with_(SENSOR) + f"""SELECT id, {tumble_start('ts', '1 day')} AS starttime, count(val1) AS n,
+  CAST(sum(val1) AS BIGINT) AS total, CAST(sum(val1 * val1) AS BIGINT) AS squares, min(val1) AS least, max(val1) AS most
+FROM sensor GROUP BY id, {tumble_start('ts', '1 day')}"""
+
 # ---- count windows -----------------------------------------------------------------------
 
 ORACLE["count_tumble"] = with_(CAR) + """, r AS (SELECT *, row_number() OVER (PARTITION BY sensorId ORDER BY seq) AS rn

@@ -62,17 +62,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_root: str | None = None
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir``, the folder that driver and executors share.
 
-    Only a local session without that setting (tests) gets a folder of its own; a cluster must
-    name one, because files in one machine's folder are lost to the others.
+    Only a local session without that setting (tests) gets a folder of its own, one a process; a
+    cluster must name one, because files in one machine's folder are lost to the others.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="kestrel-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root = _local_root or tempfile.mkdtemp(prefix="kestrel-shared-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

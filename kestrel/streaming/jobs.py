@@ -290,21 +290,22 @@ def _pending(spark, batch: DataFrame, store: str, batch_id: int, cols: list[str]
     return new if batch_id == 0 else spark.read.parquet(f"{store}/pending/batch={batch_id - 1}").unionByName(new)
 
 
-def _keep_waiting(bids: DataFrame, auctions: DataFrame, store: str, batch_id: int, wait: str) -> None:
-    """Bids without an auction so far wait up to ``wait`` behind the newest bid time (state bound)."""
-    newest = bids.agg(F.max("dateTime").alias("t")).first()["t"]
+def _keep_waiting(bids: DataFrame, auctions: DataFrame, store: str, batch_id: int, wait: str | None) -> None:
+    """Bids without an auction so far wait: for good, or up to ``wait`` behind the newest bid time (bounds
+    the store; a bid whose auction comes later than that is lost)."""
+    newest = bids.agg(F.max("dateTime").alias("t")).first()["t"] if wait else None
     waiting = bids.join(auctions.select(F.col("id").alias("_known")).distinct(), F.col("auction") == F.col("_known"), "left_anti")
     if newest is not None:
         waiting = waiting.where(F.col("dateTime") >= F.lit(newest) - F.expr(f"INTERVAL {wait}"))
     waiting.write.mode("overwrite").parquet(f"{store}/pending/batch={batch_id}")
 
 
-def avg_of_max_batches(load_auctions, store: str, sink, wait: str = "1 DAY"):
+def avg_of_max_batches(load_auctions, store: str, sink, wait: str | None = None):
     """``foreachBatch`` form of q4 (an aggregate of an aggregate is refused on streams):
     per batch, join the new and the waiting bids to the auctions known by now, write the
     batch's per-auction maxima under ``store/maxima/batch=<id>`` (idempotent on retry), and
     recompute the averages of the categories the batch touched from all partials. A bid may
-    come before its auction: it waits, at most ``wait`` behind the newest bid."""
+    come before its auction: it waits, with ``wait`` at most so far behind the newest bid."""
     from kestrel.functions import scalar as S
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -325,12 +326,12 @@ def avg_of_max_batches(load_auctions, store: str, sink, wait: str = "1 DAY"):
     return run
 
 
-def winning_bids_batches(load_auctions, store: str, sink, wait: str = "1 DAY"):
+def winning_bids_batches(load_auctions, store: str, sink, wait: str | None = None):
     """``foreachBatch`` form of q9 (row_number is refused on streams): the batch's and the
     waiting bids are interval-joined to the auctions known by now, the best bid per auction is
     written under ``store/best/batch=<id>`` (idempotent), and the auctions the batch touched are
     re-decided from all batches' bests (semi-join on their ids). A bid that comes before its
-    auction waits, at most ``wait`` behind the newest bid."""
+    auction waits, with ``wait`` at most so far behind the newest bid."""
     from kestrel.operators import joins, topk
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -384,6 +385,19 @@ def snapshot_enrich_batches(load_dim, sink):
     return run
 
 
+def snapshot_store_batches(store: str):
+    """``foreachBatch`` sink of ``sources.snapshots``: keeps each polled snapshot under ``store/version=<v>``.
+    A retried batch rewrites the same versions."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(store))
+    return run
+
+
+def stored_snapshots(spark, store: str, schema: str) -> DataFrame:
+    """All snapshots kept so far, with their ``version`` (the dimension of ``joins.as_of_enrich``)."""
+    return spark.read.schema(f"{schema}, version long").parquet(store)
+
+
 def run_available(df: DataFrame, checkpoint: str, sink_path: str, mode: str = "append",
                   fmt: str = "parquet") -> StreamingQuery:
     """Process everything available now, with offsets and state in ``checkpoint``, into

@@ -1,0 +1,70 @@
+"""A user's accumulator: results, and what travels."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kestrel.operators import accumulate as A
+from tests.conftest import rows
+
+
+def largest():
+    class Largest(A.Accumulator):
+        """The three greatest values, as a text: a state that no built-in aggregate has."""
+
+        def create(self):
+            return []
+
+        def add(self, state, frame):
+            assert len(frame) <= 64  # rows come batch by batch, never a whole key
+            return sorted(state + [int(x) for x in frame["v"].dropna()])[-3:]
+
+        def merge(self, a, b):
+            return sorted(a + b)[-3:]
+
+        def result(self, state):
+            return (",".join(map(str, state)), len(state))
+
+    return Largest()
+
+
+def table(spark, n=900):
+    """A third of the rows have one key, some have none."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 17 == 0, F.lit(None)).otherwise(F.col("id") % 40).cast("long").alias("k"),
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("p"), F.col("id") % 2)).alias("p"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") * 7919) % 1009).alias("v")).repartition(12)
+
+
+@pytest.mark.parametrize("held, slices", [(A.HELD, A.SLICES), (3, 2)])
+def test_moments_equal_built_in_aggregates(spark, held, slices):
+    df = table(spark)
+    got = A.accumulate(df, ["k", "p"], ["v"], A.Moments("v"), "n long, total long, squares long, least long, most long", held, slices)
+    want = df.groupBy("k", "p").agg(F.count("v").alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("total"),
+                                    F.coalesce(F.sum(F.col("v") * F.col("v")), F.lit(0)).alias("squares"), F.min("v").alias("least"), F.max("v").alias("most"))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_no_worker_gets_the_rows_of_a_hot_key(spark):
+    """2,000 rows of one key in 12 tasks of batches of 64 rows: what is shuffled are states, at most one a task and flush."""
+    df = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("v")).repartition(12)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = A.accumulate(df, ["k"], ["v"], largest(), "top string, n int")
+        assert rows(got) == [(1, "1997,1998,1999", 3)]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    # Both shuffles lie above the partial states: exchange lines carry states, not values.
+    exchanges = [line for line in plan.split("Initial Plan")[0].splitlines() if "hashpartitioning(_key" in line]
+    assert len(exchanges) == 2 and "MapInPandas" in plan.split(exchanges[-1])[1]
+
+
+def test_count_by_window_and_empty(spark):
+    df = table(spark)
+    assert rows(A.accumulate(df.where("k is not null"), ["k"], ["v"], A.Count(), "n long")) == rows(df.where("k is not null").groupBy("k").count())
+    assert A.accumulate(df.where("false"), ["k"], ["v"], A.Count(), "n long").collect() == []
+    with pytest.raises(ValueError):
+        A.accumulate(df, [], ["v"], A.Count(), "n long")
+    assert largest().create() == []
