@@ -5,8 +5,9 @@ candidate, and its marginal compressed size is measured, the bytes that zstandar
 context + candidate beyond those for the context alone, with a dictionary of the identifiers that
 stand near sensitive words in this corpus. A candidate whose marginal bytes are at least
 ``NOVELTY`` of its length, or ``RANDOM`` of those of random strings of its alphabet and length (a
-random string of a small alphabet costs less than its length), cannot be told from its surroundings or from known identifiers and is
-reported as ``novel``.
+random string of a small alphabet costs less than its length), cannot be told from its surroundings or
+from known identifiers and is reported as ``novel``. Other copies of the candidate are left out of its
+context, so a key written several times is reported each time.
 
 The dictionary holds the ``DICT_WORDS`` most frequent identifiers (ties by name), counted by Spark
 over all documents; that number bounds what is sent to the executors.
@@ -90,6 +91,18 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def without(text: str, lo: int, hi: int, own: str) -> str:
+    """text[lo:hi] without what belongs to copies of ``own``: a key written twice is as new as written once."""
+    kept, at = [], lo
+    found = text.find(own, max(0, lo - len(own) + 1), hi + len(own) - 1)
+    while found >= 0 and found < hi:
+        if found + len(own) > lo:
+            kept.append(text[at:max(at, found)])
+            at = max(at, min(hi, found + len(own)))
+        found = text.find(own, found + len(own), hi + len(own) - 1)
+    return "".join(kept) + text[at:hi]
+
+
 class Novelty:
     def __init__(self, words: list[str]):
         import zstandard
@@ -104,8 +117,8 @@ class Novelty:
 
     def share(self, text: str, start: int, end: int, own: bytes | None = None) -> float:
         """Marginal compressed bytes of text[start:end], or of ``own`` in its place, per byte, given what stands around it."""
-        own = own or text[start:end].encode()
-        before, after = (x.encode() for x in (text[max(0, start - CONTEXT):start], text[end:end + CONTEXT]))
+        key, own = text[start:end], own or text[start:end].encode()
+        before, after = (without(text, lo, hi, key).encode() for lo, hi in ((max(0, start - CONTEXT), start), (end, end + CONTEXT)))
         return (len(self.z.compress(before + own + after)) - len(self.z.compress(before + after))) / len(own)
 
     def novel(self, text: str, start: int, end: int, novelty: float) -> bool:

@@ -155,7 +155,29 @@ def test_incompressible_strings_near_sensitive_words_are_novel(docs):
     out = {r["doc_id"]: r for r in Z.scan(docs(rows)).collect()}
     start = rows[0][1].index(random_string)
     assert out[1]["spans"] == f"novel:{start}:{start + len(random_string)}" and out[2]["spans"] == "" and out[3]["n_novel"] == 0
-    assert out[4]["n_novel"] == 0  # repeated in its own surroundings: nothing new
+    assert out[4]["n_novel"] == 3  # its own copies are not its surroundings
+
+
+def test_keys_written_twice_are_reported_twice(docs):
+    rng, letters = random.Random(54), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(60)]
+    rows = [(i, f"bearer {k} and then once more {k} for the auth service") for i, k in enumerate(keys)]
+    out = [r["n_novel"] for r in Z.scan(docs(rows), words=["service", "auth"]).collect()]
+    assert out.count(2) >= 58
+
+
+def test_copies_are_cut_out_of_a_context():
+    rng = random.Random(55)
+    for _ in range(300):
+        own = "".join(rng.choice("xy") for _ in range(3)) + "z"
+        text = "".join(rng.choice(["a", "b", own, "xyz"]) for _ in range(8))
+        lo = rng.randint(0, len(text))
+        hi = rng.randint(lo, len(text))
+        copies, at = set(), text.find(own)
+        while at >= 0:
+            copies |= set(range(at, at + len(own)))
+            at = text.find(own, at + len(own))
+        assert Z.without(text, lo, hi, own) == "".join(c for i, c in enumerate(text) if lo <= i < hi and i not in copies)
 
 
 def test_long_random_strings_of_small_alphabets_are_novel(docs):
