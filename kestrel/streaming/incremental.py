@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from kestrel.operators import aggs
-from kestrel.streaming.keys import KEY, process
+from kestrel.streaming.keys import KEY, key_column, process
 
 SLOTS = 64
 BANDS = ("total", "rank1", "rank2", "rank3")
@@ -61,7 +61,7 @@ class NewValues(StatefulProcessor):
                 self.seen.updateValue((value,), (old | bits,))
                 for i, name in enumerate(BANDS):
                     change[f"{name}_{tag}s"] += (bits & ~old) >> i & 1
-        yield pd.DataFrame({KEY: [key[0]], **{m: [change[m]] for m in MEASURES},
+        yield pd.DataFrame({KEY: key_column(key, 1), **{m: [change[m]] for m in MEASURES},
                             "minute": pd.array([None if minute is None or pd.isna(minute) else int(minute)], dtype="Int64")})
 
     def close(self) -> None:
@@ -83,7 +83,7 @@ class Totals(StatefulProcessor):
             if not pd.isna(latest):
                 old[-1] = int(latest) if old[-1] is None else max(old[-1], int(latest))
         self.total.update(tuple(old))
-        yield pd.DataFrame({KEY: [key[0]], **dict(zip(MEASURES, ([v] for v in old))), "minute": pd.array([old[-1]], dtype="Int64")})
+        yield pd.DataFrame({KEY: key_column(key, 1), **dict(zip(MEASURES, ([v] for v in old))), "minute": pd.array([old[-1]], dtype="Int64")})
 
     def close(self) -> None:
         pass
@@ -122,7 +122,7 @@ class MaxChanges(StatefulProcessor):
         if known and new == old:
             return
         self.best.update((new, 1))
-        yield pd.DataFrame({KEY: [key[0]], "d_sum": [(new or 0) - (old or 0)], "d_count": [int(new is not None) - int(old is not None)]})
+        yield pd.DataFrame({KEY: key_column(key, 1), "d_sum": [(new or 0) - (old or 0)], "d_count": [int(new is not None) - int(old is not None)]})
 
     def close(self) -> None:
         pass
@@ -140,7 +140,7 @@ class Mean(StatefulProcessor):
             s, n = s + int(part["d_sum"].sum()), n + int(part["d_count"].sum())
         self.total.update((s, n))
         mean = None if n == 0 else (abs(s) // n) * (1 if s >= 0 else -1)
-        yield pd.DataFrame({KEY: [key[0]], "final": pd.array([mean], dtype="Int64")})
+        yield pd.DataFrame({KEY: key_column(key, 1), "final": pd.array([mean], dtype="Int64")})
 
     def close(self) -> None:
         pass

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kestrel.operators import windows
 from kestrel.streaming import stateful
+from kestrel.streaming.keys import KEY, process, with_key
 
 # The reference's bounded out-of-orderness for every auction job.
 DEFAULT_DELAY = "4 seconds"
@@ -139,31 +140,29 @@ def fraud_alerts(txn: DataFrame, small: float, large: float, timeout_seconds: in
     """Fraud v2 / v3 as a keyed stateful processor (previous row per account, cleared by an
     event-time timer once it can no longer raise an alert)."""
     proc = stateful.FlagProcessor(small, large, timeout_seconds)
-    return (watermarked(txn, "ts", delay).groupBy("account_id")
-            .transformWithStateInPandas(proc, stateful.FLAG_OUTPUT, "Append",
-                                        "EventTime" if timeout_seconds else "None"))
+    return process(watermarked(txn, "ts", delay), ["account_id"], proc, stateful.FLAG_OUTPUT, "Append",
+                   "EventTime" if timeout_seconds else "None").withColumnRenamed("account_id", "id")
 
 
-def count_tumble(cars: DataFrame, key: str, size: int) -> DataFrame:
-    """Count window per key as a stateful processor: emits every ``size``-th row's sum."""
-    proc = stateful.CountWindowProcessor(size)
-    return cars.groupBy(key).transformWithStateInPandas(proc, stateful.COUNT_OUTPUT, "Append", "None")
+def count_tumble(cars: DataFrame, key: str, size: int, ttl_ms: int | None = None) -> DataFrame:
+    """Count window per key as a stateful processor: emits every ``size``-th row's sum. With ``ttl_ms`` an
+    open window without a new row for so long (processing time) is forgotten."""
+    proc = stateful.CountWindowProcessor(size, ttl_ms)
+    return process(cars, [key], proc, stateful.COUNT_OUTPUT, "Append", "ProcessingTime" if ttl_ms else "None")
 
 
 def running_sum(scores: DataFrame, key: str, seq: str, value: str, keep: list[str], scale: int = 2) -> DataFrame:
     """Keyed running sum as a stateful processor (Append: one row per input row)."""
-    out = T.StructType([*[T.StructField(c, T.LongType()) for c in keep], scores.schema[key],
-                        T.StructField(value, T.DoubleType()), T.StructField(f"row_{seq}", T.LongType())])
-    proc = stateful.RunningSumProcessor(key, seq, value, keep, scale)
-    return scores.groupBy(key).transformWithStateInPandas(proc, out, "Append", "None")
+    out = T.StructType([*[T.StructField(c, T.LongType()) for c in keep], T.StructField(value, T.DoubleType()),
+                        T.StructField(f"row_{seq}", T.LongType())])
+    found = process(scores, [key], stateful.RunningSumProcessor(seq, value, keep, scale), out)
+    return found.select(*keep, key, value, f"row_{seq}")
 
 
 def count_slide(cars: DataFrame, key: str, seq: str, value: str, size: int, slide: int) -> DataFrame:
     """Sliding count window per key as a stateful processor."""
-    out = T.StructType([cars.schema[key], T.StructField(value, T.LongType()),
-                        T.StructField("end_position", T.LongType())])
-    proc = stateful.SlidingCountProcessor(size, slide, key, seq, value)
-    return cars.groupBy(key).transformWithStateInPandas(proc, out, "Append", "None")
+    out = T.StructType([T.StructField(value, T.LongType()), T.StructField("end_position", T.LongType())])
+    return process(cars, [key], stateful.SlidingCountProcessor(size, slide, seq, value), out)
 
 
 def with_ingest_time(df: DataFrame, col: str = "p_time") -> DataFrame:
@@ -177,22 +176,23 @@ def per_event_watermark(df: DataFrame, col: str = "p_time") -> DataFrame:
 
 
 def top_k(bids: DataFrame, keys: list[str], k: int, order: list[str], ascending: list[bool],
-          state_schema: str, rank_col: str | None = "rank_number") -> DataFrame:
-    """Stateful top-k per key (row_number is refused on streams). Output mode Update."""
+          state_schema: str, rank_col: str | None = "rank_number", ttl_ms: int | None = None) -> DataFrame:
+    """Stateful top-k per key (row_number is refused on streams). Output mode Update. With ``ttl_ms`` a list
+    that did not change for so long (processing time) is forgotten, which bounds the state by the keys
+    active in that time; a later row of the key starts a new list."""
     cols = [f.name for f in bids.schema.fields]
     out = T.StructType(bids.schema.fields + ([T.StructField(rank_col, T.LongType())] if rank_col else []))
-    proc = stateful.TopKProcessor(k, cols, order, ascending, state_schema, rank_col)
-    return bids.groupBy(*keys).transformWithStateInPandas(proc, out, "Update", "None")
+    proc = stateful.TopKProcessor(k, cols, order, ascending, state_schema, rank_col, ttl_ms)
+    return with_key(bids, keys).groupBy(KEY).transformWithStateInPandas(proc, out, "Update", "ProcessingTime" if ttl_ms else "None")
 
 
 def two_step_pattern(items: DataFrame, rules: list[tuple[str, str]], key: str, seq: str, shape: str) -> DataFrame:
     """Stateful pattern matcher for a fixed rule list (named ``Rule_0``...)."""
     named = [(f"Rule_{i}", a, b) for i, (a, b) in enumerate(rules)]
-    out = T.StructType([T.StructField("rule", T.StringType()), T.StructField(key, items.schema[key].dataType),
-                        T.StructField("first_seq", T.LongType()), T.StructField("second_seq", T.LongType())])
-    proc = stateful.PatternProcessor(named, key, shape, seq)
-    return (items.select(key, seq, shape).groupBy(key)
-            .transformWithStateInPandas(proc, out, "Append", "None"))
+    out = T.StructType([T.StructField("rule", T.StringType()), T.StructField("first_seq", T.LongType()),
+                        T.StructField("second_seq", T.LongType())])
+    found = process(items.select(key, seq, shape), [key], stateful.PatternProcessor(named, shape, seq), out)
+    return found.select("rule", key, "first_seq", "second_seq")
 
 
 def live_pattern(items: DataFrame, rules: DataFrame, key: str, seq: str, shape: str, time: str = "ts",

@@ -7,6 +7,7 @@ NULL, and the key's columns are restored from it, with their types, behind them.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,11 @@ def with_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn(KEY, F.to_json(plain, {"ignoreNullFields": "false"}))
 
 
+def key_column(key: tuple, n: int) -> pd.Series:
+    """``_key`` of ``n`` rows out (plain objects: pandas' own text type ends in chunks that Spark does not take)."""
+    return pd.Series([key[0]] * n, dtype=object)
+
+
 def restored(df: DataFrame, keys: list[T.StructField]) -> DataFrame:
     """The key columns in front, ``_key`` gone."""
     inner = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(keys)])

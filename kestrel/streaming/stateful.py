@@ -13,15 +13,15 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from kestrel.streaming.keys import KEY, key_column
+
 FLAG_OUTPUT = T.StructType([
-    T.StructField("id", T.LongType()),
     T.StructField("txn_id", T.LongType()),
     T.StructField("ts", T.TimestampType()),
     T.StructField("amount", T.DoubleType()),
 ])
 
 COUNT_OUTPUT = T.StructType([
-    T.StructField("key", T.StringType()),
     T.StructField("count", T.LongType()),
     T.StructField("last_seq", T.LongType()),
 ])
@@ -62,13 +62,13 @@ class FlagProcessor(StatefulProcessor):
             # Fires once the watermark passes the last moment the state can matter (ms).
             self.handle.registerTimer((int(ts_us[-1]) + timeout_us) // 1000 + 1)
         alerts = batch[hit]
-        yield pd.DataFrame({"id": np.full(len(alerts), int(key[0]), dtype="int64"),
+        yield pd.DataFrame({KEY: key_column(key, len(alerts)),
                             "txn_id": alerts["id"].astype("int64").to_numpy(),
                             "ts": alerts["ts"].to_numpy(), "amount": alerts["amount"].to_numpy()})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.prev.clear()
-        yield pd.DataFrame(columns=["id", "txn_id", "ts", "amount"])
+        yield pd.DataFrame(columns=[KEY, "txn_id", "ts", "amount"])
 
     def close(self) -> None:
         pass
@@ -78,11 +78,11 @@ class CountWindowProcessor(StatefulProcessor):
     """Count window: every ``size`` rows of a key emit their sum; the partial window
     (fewer than ``size`` rows) waits in state. Rows need ``seq`` and ``count``."""
 
-    def __init__(self, size: int):
-        self.size = size
+    def __init__(self, size: int, ttl_ms: int | None = None):
+        self.size, self.ttl_ms = size, ttl_ms
 
     def init(self, handle) -> None:
-        self.pending = handle.getValueState("pending", "n long, total long")
+        self.pending = handle.getValueState("pending", "n long, total long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
@@ -98,7 +98,7 @@ class CountWindowProcessor(StatefulProcessor):
             self.pending.update((int(pos[last] - pos[ends[-1]]), int(run[last] - run[ends[-1]])))
         else:
             self.pending.update((int(pos[last]), int(run[last])))
-        yield pd.DataFrame({"key": [str(key[0])] * len(ends), "count": sums.astype("int64"),
+        yield pd.DataFrame({KEY: key_column(key, len(ends)), "count": sums.astype("int64"),
                             "last_seq": batch["seq"].to_numpy(dtype="int64")[ends]})
 
     def close(self) -> None:
@@ -108,18 +108,20 @@ class CountWindowProcessor(StatefulProcessor):
 class TopKProcessor(StatefulProcessor):
     """Top ``k`` rows per key (q19; q18 is k = 1 ordered by time descending).
 
-    State: the current top rows of the key. Each micro-batch merges them with the new
+    State: the current top rows of the key, forgotten ``ttl_ms`` after their last change if that is given.
+    Each micro-batch merges them with the new
     rows, keeps ``k`` and emits the key's new top list with ranks (output mode Update:
     the latest list of a key is its answer).
     """
 
     def __init__(self, k: int, columns: list[str], order: list[str], ascending: list[bool],
-                 state_schema: str, rank_col: str | None = "rank_number"):
+                 state_schema: str, rank_col: str | None = "rank_number", ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
         self.k, self.columns, self.order, self.ascending = k, columns, order, ascending
         self.state_schema, self.rank_col = state_schema, rank_col
 
     def init(self, handle) -> None:
-        self.top = handle.getListState("top", self.state_schema)
+        self.top = handle.getListState("top", self.state_schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         new = pd.concat(list(rows), ignore_index=True)[self.columns]
@@ -144,8 +146,8 @@ class PatternProcessor(StatefulProcessor):
     (``searchsorted``); unmatched ones stay pending. Same as the batch form.
     """
 
-    def __init__(self, rules: list[tuple[str, str, str]], key: str, shape: str = "shape", seq: str = "seq"):
-        self.rules, self.key, self.shape, self.seq = rules, key, shape, seq
+    def __init__(self, rules: list[tuple[str, str, str]], shape: str = "shape", seq: str = "seq"):
+        self.rules, self.shape, self.seq = rules, shape, seq
 
     def init(self, handle) -> None:
         self.pending = handle.getListState("pending", "rule string, seq long")
@@ -166,8 +168,7 @@ class PatternProcessor(StatefulProcessor):
             out += [(name, f, int(seconds[p])) for f, p in zip(firsts[hit], pos[hit])]
             keep += [(name, int(f)) for f in firsts[~hit]]
         self.pending.put(keep) if keep else self.pending.clear()
-        k = key[0]
-        yield pd.DataFrame({"rule": [r for r, _, _ in out], self.key: [k] * len(out),
+        yield pd.DataFrame({KEY: key_column(key, len(out)), "rule": pd.Series([r for r, _, _ in out], dtype=object),
                             "first_seq": np.array([f for _, f, _ in out], dtype="int64"),
                             "second_seq": np.array([s for _, _, s in out], dtype="int64")})
 
@@ -179,8 +180,8 @@ class RunningSumProcessor(StatefulProcessor):
     """Keyed running sum, one row out per row in: the fields of the key's first row and
     the running total (exact: summed as integers of 10^-scale)."""
 
-    def __init__(self, key: str, seq: str, value: str, keep: list[str], scale: int = 2):
-        self.key, self.seq, self.value, self.keep, self.scale = key, seq, value, keep, scale
+    def __init__(self, seq: str, value: str, keep: list[str], scale: int = 2):
+        self.seq, self.value, self.keep, self.scale = seq, value, keep, scale
 
     def init(self, handle) -> None:
         self.first = handle.getValueState("first", ", ".join(f"{c} long" for c in self.keep))
@@ -196,8 +197,8 @@ class RunningSumProcessor(StatefulProcessor):
             self.first.update(tuple(int(batch[c].iloc[0]) for c in self.keep))
         first = self.first.get()
         self.total.update((int(run[-1]),))
-        out = {c: np.full(len(batch), first[i], dtype="int64") for i, c in enumerate(self.keep)}
-        out.update({self.key: batch[self.key].to_numpy(), self.value: run / unit,
+        out = {KEY: key_column(key, len(batch)), **{c: np.full(len(batch), first[i], dtype="int64") for i, c in enumerate(self.keep)}}
+        out.update({self.value: run / unit,
                     f"row_{self.seq}": batch[self.seq].to_numpy(dtype="int64")})
         yield pd.DataFrame(out)
 
@@ -210,8 +211,8 @@ class SlidingCountProcessor(StatefulProcessor):
     ``slide``-th row emits the sum of the last ``size`` rows (fewer at the start).
     State: the row count so far and the last ``size - 1`` values."""
 
-    def __init__(self, size: int, slide: int, key: str, seq: str = "seq", value: str = "count"):
-        self.size, self.slide, self.key, self.seq, self.value = size, slide, key, seq, value
+    def __init__(self, size: int, slide: int, seq: str = "seq", value: str = "count"):
+        self.size, self.slide, self.seq, self.value = size, slide, seq, value
 
     def init(self, handle) -> None:
         self.n = handle.getValueState("n", "n long")
@@ -230,7 +231,7 @@ class SlidingCountProcessor(StatefulProcessor):
         sums = csum[idx[ends] + 1] - csum[lo]
         self.n.update((int(pos[-1]),))
         self.tail.put([(int(v),) for v in vals[-(self.size - 1):]] if self.size > 1 else [])
-        yield pd.DataFrame({self.key: [key[0]] * len(ends), self.value: sums.astype("int64"),
+        yield pd.DataFrame({KEY: key_column(key, len(ends)), self.value: sums.astype("int64"),
                             "end_position": pos[ends].astype("int64")})
 
     def close(self) -> None:
