@@ -9,7 +9,7 @@ Filters are written before the join so they reach the parquet scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions import scalar as S
@@ -19,24 +19,34 @@ AUCTION_COLUMNS = ["id", "itemName", "description", "initialBid", "reserve", "da
                    "seller", "category", "extra"]
 
 
+def _near(one: str, other: str, within: str | None) -> Column:
+    """Times at most ``within`` (an interval) apart; without it no condition."""
+    if within is None:
+        return F.lit(True)
+    span = F.expr(f"INTERVAL {within}")
+    return F.col(one).between(F.col(other) - span, F.col(other) + span)
+
+
 def join_equi(auction: DataFrame, person: DataFrame, category: int = 10,
-              states=("OR", "ID", "CA")) -> DataFrame:
-    """q3: sellers of one category living in some states."""
-    a = auction.where(F.col("category") == category).select("id", "seller")
+              states=("OR", "ID", "CA"), within: str | None = None) -> DataFrame:
+    """q3: sellers of one category living in some states. With ``within`` only rows at most so far apart
+    in ``dateTime`` meet, which lets a stream join with watermarks drop old rows."""
+    times = [] if within is None else ["dateTime"]
+    a = auction.where(F.col("category") == category).select("id", "seller", *[F.col(c).alias("a_time") for c in times])
     p = (person.where(F.col("state").isin(*states))
-         .select(F.col("id").alias("p_id"), "name", "city", "state"))
-    return a.join(p, a.seller == p.p_id).select("name", "city", "state", "id")
+         .select(F.col("id").alias("p_id"), "name", "city", "state", *[F.col(c).alias("p_time") for c in times]))
+    return a.join(p, (a.seller == p.p_id) & _near("a_time", "p_time", within)).select("name", "city", "state", "id")
 
 
-def join_expand(bid: DataFrame, auction: DataFrame, category: int = 10) -> DataFrame:
-    """q20: every bid with its auction's columns, for auctions of one category."""
+def join_expand(bid: DataFrame, auction: DataFrame, category: int = 10, within: str | None = None) -> DataFrame:
+    """q20: every bid with its auction's columns, for auctions of one category. ``within`` as in ``join_equi``."""
     a = auction.where(F.col("category") == category).select(
         "id", "itemName", "description", "initialBid", "reserve",
         F.col("dateTime").alias("auction_dateTime"), "expires", "seller", "category",
         F.col("extra").alias("auction_extra"))
     b = bid.select("auction", "bidder", "price", "channel", "url",
                    F.col("dateTime").alias("bid_dateTime"), F.col("extra").alias("bid_extra"))
-    return b.join(a, b.auction == a.id).select(
+    return b.join(a, (b.auction == a.id) & _near("bid_dateTime", "auction_dateTime", within)).select(
         "auction", "bidder", "price", "channel", "url", "bid_dateTime", "bid_extra", "itemName",
         "description", "initialBid", "reserve", "auction_dateTime", "expires", "seller", "category",
         "auction_extra")

@@ -53,6 +53,23 @@ def window_join(orders: DataFrame, goods: DataFrame, size: str, delay: str = DEF
     return joins.window_join(watermarked(orders, "ts", delay), watermarked(goods, "ts", delay), size)
 
 
+def sellers_within(auctions: DataFrame, persons: DataFrame, within: str, delay: str = DEFAULT_DELAY, **options) -> DataFrame:
+    """q3 on two streams with bounded state: a row is kept until the watermark is ``within`` past it. The
+    same rows as ``joins.join_equi(..., within=within)``; without the bound both inputs are kept for good."""
+    from kestrel.operators import joins
+
+    return joins.join_equi(watermarked(auctions, "dateTime", delay), watermarked(persons, "dateTime", delay),
+                           within=within, **options)
+
+
+def expanded_within(bids: DataFrame, auctions: DataFrame, within: str, delay: str = DEFAULT_DELAY, **options) -> DataFrame:
+    """q20 on two streams with bounded state, as ``sellers_within``."""
+    from kestrel.operators import joins
+
+    return joins.join_expand(watermarked(bids, "dateTime", delay), watermarked(auctions, "dateTime", delay),
+                             within=within, **options)
+
+
 def max_per_window(stream: DataFrame, time: str, price: str, size: str, size_seconds: int,
                    delay: str = DEFAULT_DELAY) -> DataFrame:
     """q7 on a stream: rows joined to the maximum of a tumbling window of the same stream
