@@ -4,14 +4,21 @@ E-mail addresses, phone numbers, card numbers, IPv4 addresses and names after a
 the whole text. Each distinct entity of the corpus (its normal form) gets one surrogate of its
 type, so all its mentions stay the same entity: characters are drawn from a keyed hash class by
 class, with length, separators, case and script kept, country codes and reserved domains kept, a
-valid card number kept valid, private addresses kept private, and names drawn from a list of the
-title's gender and the name's script.
-
-Collision checks run over the table of all distinct entities: an entity whose surrogate equals
-another entity's surrogate, or any entity that occurs in the corpus, draws again; rounds end when
-there is no such entity. After ``GROW`` rounds a draw is longer than the original, so rounds end for
-any number of entities. Documents are rewritten with the first draw computed in place; only
-entities that drew again are joined to the documents that mention them.
+valid card number kept valid, private addresses kept private, and given names drawn from a list of
+the title's gender and the name's script.
+
+A name is replaced word by word, each word an entity of its own (a given name with its gender, or a
+family name), so "Mr John Smith", "Dr Smith" and a later "Smith" stay one person. In a text with a titled
+name its words are also replaced where they stand without a title: with a capital, three letters or more
+(two where the script has no capitals), unless the text has the word in lower case too. A title without
+a gender takes that of the same given name in the text, if there is one.
+
+Collision checks run over the table of all distinct entities and compare what is shown: an entity whose
+surrogate equals another entity's surrogate, or any entity that occurs in the corpus, draws again; rounds
+end when there is no such entity. Later draws come from larger sets (longer names and numbers; addresses
+from the whole range, then from 10.0.0.0/8 for private ones, at last IPv6 addresses of the private or
+the documentation range), so rounds end for any number of entities. Documents are rewritten with the
+first draw computed in place; only entities that drew again are joined to the documents that mention them.
 
 Defined results: a null text stays null with no entities; a null ``doc_id`` is kept; repeated rows
 are rewritten alike; other columns are ignored; an empty table gives no rows.
@@ -22,7 +29,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,11 +40,11 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import materialize, row_key, table
 
 KEY = "kestrel-surrogates"  # a parameter: production passes its own secret
-GROW = 6
 KINDS = ("email", "phone", "card", "ip", "name")
 
 EMAIL = r"(?P<email>(?<![\w.+-])[\w.+-]+@(?:[\w-]+\.)+[A-Za-z]{2,24}(?![\w-]))"
-PHONE = r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d))"
+PHONE = (r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
+         r"|(?<![\w+.-])(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]))")
 CARD = r"(?P<card>(?<![\w.-])(?:\d{4}[ -]?){3}\d{4}(?![\w-]))"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?P<ip>(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.\d))"
@@ -43,7 +52,7 @@ IP = rf"(?P<ip>(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?![\w]|\.\d))"
 TITLES = {"m": ("Mr", "Herr", "M", "Monsieur", "Señor", "Sr", "г-н"), "f": ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Señora", "Sra", "г-жа"),
           "n": ("Dr", "Prof")}
 NAME = (r"(?P<name>(?<!\w)(?:" + "|".join(t for ts in TITLES.values() for t in ts) +
-        r")\.?[ ](?P<person>[^\W\d_a-zа-яà-ÿ][^\W\d_]+(?:[ -][^\W\d_a-zа-яà-ÿ][^\W\d_]+){0,2}))")
+        r")\.?[ ](?P<person>[^\W\d_a-zа-яѐ-џà-ÿά-ώ][^\W\d_]+(?:[ -][^\W\d_a-zа-яѐ-џà-ÿά-ώ][^\W\d_]+){0,3}))")
 ENTITY = re.compile("|".join((EMAIL, PHONE, CARD, IP, NAME)))
 QUICK = re.compile(r"@|\d{4}|\+\d|\d\.\d|(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.? ")
 
@@ -51,31 +60,101 @@ QUICK = re.compile(r"@|\d{4}|\+\d|\d\.\d|(?:" + "|".join(t for ts in TITLES.valu
 GIVEN = {("latin", "m"): "Adam Alan Boris Carl David Edgar Felix Georg Hugo Ivan Jakob Karl Leon Marc Nils Oskar Paul Rolf Simon Viktor",
          ("latin", "f"): "Ada Berta Clara Diana Elena Frida Greta Helga Irma Julia Klara Laura Maria Nora Olga Petra Rosa Sonja Tina Vera",
          ("cyrillic", "m"): "Андрей Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Семён Юрий",
+         ("greek", "m"): "Αλέξης Γιάννης Δημήτρης Ηλίας Κώστας Λευτέρης Νίκος Πέτρος Σπύρος Χρήστος",
+         ("greek", "f"): "Αγγελική Βασιλική Δέσποινα Ελένη Ιωάννα Κατερίνα Μαρία Νίκη Σοφία Χριστίνα",
          ("cyrillic", "f"): "Алла Вера Галина Дарья Елена Жанна Инна Кира Лидия Мария Нина Ольга Полина Рада Юлия"}
 SYLLABLES = {"latin": "ba be bo da de do ga gel ha hol ka ker la len ma mer na nor pa per ra ros sa sen ta tor va vin wa wel",
-             "cyrillic": "ба бе бо ва вел га гор да ден ка кол ла лен ма мир на нов па пет ра рос са сен та тор"}
+             "cyrillic": "ба бе бо ва вел га гор да ден ка кол ла лен ма мир на нов па пет ра рос са сен та тор",
+             "greek": "βα γα δη δο ζα θε κα κο λα λο μα με νι πα πε ρα ρο σα σο τα τι φα χα χο",
+             "cjk": "安 白 成 德 方 光 国 海 华 江 金 立 林 明 宁 平 青 山 石 天 文 新 雪 阳 云 志",
+             "hangul": "가 고 기 나 도 라 마 미 보 사 서 소 수 아 영 오 우 원 유 인 정 주 진 하 현 호",
+             "hiragana": "あ い う え お か き く け さ し た と な は ま み も や よ ら り わ",
+             "katakana": "ア イ ウ エ オ カ キ ク ケ サ シ タ ト ナ ハ マ ミ モ ヤ ヨ ラ リ ワ"}
+
+
+WORDS = re.compile(r"[^\W\d_]+")
+MENTION = re.compile(r"(?<!\w)[^\W\d_a-zа-яѐ-џà-ÿά-ώ][^\W\d_]+(?:[ -][^\W\d_a-zа-яѐ-џà-ÿά-ώ][^\W\d_]+)*(?!\w)")
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, normal form) of each entity, leftmost first. A name's form holds gender and script."""
+    """(start, end, kind, normal form) of each entity by place. A name's form lists its words' forms (``parts``)."""
     if not QUICK.search(text):
         return []
-    out = []
+    out, people = [], []
     for m in ENTITY.finditer(text):
         kind = next(k for k in KINDS if m.group(k) is not None)
         if kind == "name":
             title = m.group("name")[:m.start("person") - m.start()].rstrip(". ")
-            gender = next(g for g, ts in TITLES.items() if title in ts)
-            out.append((*m.span("person"), kind, f"{gender}:{script(m.group('person'))}:{m.group('person').casefold()}"))
+            people.append((*m.span("person"), next(g for g, ts in TITLES.items() if title in ts)))
         else:
             whole = m.group(kind)
             norm = whole.lower() if kind == "email" else whole if kind == "ip" else re.sub(r"[^\d+]", "", whole)
+            if kind == "phone" and not norm.startswith("+"):
+                norm = "+1" + norm
             out.append((*m.span(kind), kind, norm))
+    if people:
+        out = sorted(out + named(text, people, [x[:2] for x in out]))
     return out
 
 
-def script(name: str) -> str:
-    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in name) else "latin"
+def named(text: str, people: list[tuple[int, int, str]], taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+    """The names after a title, and their words without one in the rest of the text."""
+    genders: dict[str, str] = {}  # of given names
+    words = set()
+    for s, e, gender in people:
+        first, *rest = text[s:e].split(" ")
+        words |= {w.group().casefold() for w in WORDS.finditer(text, s, e)}
+        for w in first.split("-") if rest else []:
+            if genders.get(w.casefold(), "n") == "n":
+                genders[w.casefold()] = gender
+    out = []
+    for s, e, gender in people:
+        first, *rest = text[s:e].split(" ")
+        given = {w.casefold() for w in first.split("-")} if rest else set()
+        forms = [part(w, (gender if gender != "n" else genders[w]) if w in given and i < len(given) else "")
+                 for i, w in enumerate(x.group().casefold() for x in WORDS.finditer(text, s, e))]
+        out.append((s, e, "name", " ".join(forms)))
+    small = {w.group() for w in WORDS.finditer(text) if w.group().casefold() in words and w.group()[0].islower()}
+    low = {w.casefold() for w in small}
+    known = {w for w in words if w not in low and len(w) >= (3 if w[0].islower() else 2)}
+    spans = sorted(taken + [x[:2] for x in out])
+    at = 0
+    for m in MENTION.finditer(text) if known else ():
+        while at < len(spans) and spans[at][1] <= m.start():
+            at += 1
+        if at < len(spans) and spans[at][0] < m.end():
+            continue
+        run: list[tuple[int, int, str]] = []
+        for w in [*WORDS.finditer(text, m.start(), m.end()), None]:
+            if w is not None and w.group().casefold() in known:
+                run.append((*w.span(), part(w.group().casefold(), genders.get(w.group().casefold(), ""))))
+            elif run:
+                out.append((run[0][0], run[-1][1], "name", " ".join(x[2] for x in run)))
+                run = []
+    return out
+
+
+def part(word: str, gender: str) -> str:
+    """The normal form of one word of a name: given names carry a gender."""
+    return f"{gender}:{script(word)}:{word}"
+
+
+def parts(kind: str, norm: str) -> list[str]:
+    return norm.split(" ") if kind == "name" else [norm]
+
+
+def script(word: str) -> str:
+    """latin, cyrillic, greek, cjk ...: the first word of the first letter's Unicode name."""
+    return unicodedata.name(word[0], "other").split(" ")[0].lower()
+
+
+@cache
+def syllables(way: str, sample: str) -> list[str]:
+    """What names of a script are made of: a list, or else the letters near one of the name's."""
+    if way in SYLLABLES:
+        return SYLLABLES[way].split()
+    low = ord(sample) & ~0x7F
+    return [chr(c) for c in range(low, low + 0x80) if chr(c).isalpha() and script(chr(c)) == way and chr(c) == chr(c).casefold()] or [sample]
 
 
 class Stream:
@@ -119,9 +198,25 @@ def alike(chars: str, s: Stream) -> str:
     return "".join(out)
 
 
+def address(norm: str, attempt: int, s: Stream) -> str:
+    """Octets of as many digits first, then any, then any private address, at last IPv6."""
+    a, b, *_ = old = norm.split(".")
+    keep = 1 if a in ("10", "127") else 2 if (a, b) in (("192", "168"), ("169", "254")) or a == "172" and 16 <= int(b) < 32 else 0
+    if attempt >= 6:
+        head = ["fd00"] if keep else ["2001", "db8"]
+        return ":".join(head + [format(s.below(65536), "x") for _ in range(8 - len(head))])
+    if attempt >= 4 and keep == 2:
+        old, keep = ["10", *old[1:]], 1
+    span = {1: (0, 10), 2: (10, 100), 3: (100, 256)}
+    while True:
+        new = [lo + s.below(hi - lo) for lo, hi in (span[len(p)] if attempt < 2 else (0, 256) for p in old[keep:])]
+        if keep or new[0] < 224 and new[0] not in (0, 10, 127, 169, 172, 192):
+            return ".".join([*old[:keep], *map(str, new)])
+
+
 def surrogate(key: str, kind: str, norm: str, attempt: int) -> str:
-    """The normal form of an entity's surrogate."""
-    s, extra = Stream(key, kind, norm, attempt), max(0, attempt - GROW)
+    """What is shown for an entity, in its normal form."""
+    s, extra = Stream(key, kind, norm, attempt), max(0, attempt - 1)
     if kind == "email":
         local, domain = norm.split("@")
         labels = domain.split(".")
@@ -137,41 +232,38 @@ def surrogate(key: str, kind: str, norm: str, attempt: int) -> str:
         check = (10 - luhn(body + "0")) % 10
         return body + str(check if luhn(norm) == 0 else (check + 1 + s.below(9)) % 10)
     if kind == "ip":
-        a, b, *_ = parts = norm.split(".")
-        keep = 1 if a in ("10", "127") else 2 if (a, b) in (("192", "168"), ("169", "254")) or a == "172" and 16 <= int(b) < 32 else 0
-        span = {1: (0, 10), 2: (10, 100), 3: (100, 256)}
-        new = [lo + s.below(hi - lo) for lo, hi in (span[3 if extra else len(p)] for p in parts[keep:])]
-        return ".".join([*parts[:keep], *map(str, new)])
-    gender, way, name = norm.split(":", 2)
-    lists = [x for (w, g), names in GIVEN.items() if w == way and gender in (g, "n") for x in names.split()]
-    parts = name.split(" ")
-    syllables = SYLLABLES[way].split()
-    family = lambda: "".join(syllables[s.below(len(syllables))] for _ in range(3 + extra))
-    out = [family()] if len(parts) == 1 else [lists[s.below(len(lists))]] + [family() for _ in parts[1:]]
-    return f"{gender}:{way}:" + " ".join(out).casefold()
-
-
-def rendered(original: str, kind: str, form: str) -> str:
-    """A surrogate's normal form in the layout of one mention: separators, case, capitals."""
+        return address(norm, attempt, s)
+    gender, way, word = norm.split(":", 2)
+    pieces = syllables(way, word[0])
+    more = lambda n: "".join(pieces[s.below(len(pieces))] for _ in range(n))
+    lists = [x for (w, g), names in GIVEN.items() if gender and w == way and gender in (g, "n") for x in names.split()]
+    short = way in ("cjk", "hangul")  # a syllable a character
+    return (lists[s.below(len(lists))].casefold() + more(attempt) if lists else more((min(len(word), 3) if short else 3) + attempt))
+
+
+def rendered(original: str, kind: str, forms: list[str]) -> str:
+    """Surrogates in the layout of one mention: separators, case, capitals."""
+    if kind == "name":
+        left = iter(forms)
+        word = lambda x, upper: x.upper() if upper else re.sub("σ$", "ς", x.title())
+        return WORDS.sub(lambda m: word(next(left), m.group().isupper()), original)
+    form = forms[0]
     if kind == "email":
         return "".join(c.upper() if i < len(original) and original[i].isupper() else c for i, c in enumerate(form))
     if kind == "ip":
         return form
-    if kind == "name":
-        name = form.split(":", 2)[2].title()
-        return name.upper() if original.isupper() else name
-    digits = iter(form.lstrip("+"))
+    digits = iter(form.lstrip("+")[1 if kind == "phone" and not original.startswith("+") else 0:])
     out = "".join(next(digits) if c.isdigit() else c for c in original)
     return out + "".join(digits)
 
 
 def detected(docs: DataFrame) -> DataFrame:
-    """(row, kind, norm): the distinct entities of each document."""
+    """(row, kind, norm): the distinct entities of each document; of names, their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(r, k, n) for r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t
-                    for k, n in sorted({(k, n) for _, _, k, n in entities(t)})]
+                    for k, n in sorted({(k, n) for _, _, k, whole in entities(t) for n in parts(k, whole)})]
             for at in range(0, len(rows), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in zip(*rows[at:at + 20_000])],
                                                  names=["row", "kind", "norm"])
@@ -194,10 +286,11 @@ def drawn(pairs: DataFrame, key: str) -> DataFrame:
 def distinct_surrogates(found: DataFrame, key: str) -> DataFrame:
     """(kind, norm, attempt, form): one surrogate for each distinct entity, none of them shared or an entity itself."""
     known = materialize(found.select("kind", "norm").distinct(), "pii-entities")
+    shown = known.select("kind", F.when(F.col("kind") == "name", F.substring_index("norm", ":", -1)).otherwise(F.col("norm")).alias("form")).distinct()
     forms = materialize(drawn(known.withColumn("attempt", F.lit(0)), key), "pii-forms")
     while True:
         order = Window.partitionBy("kind", "form").orderBy("attempt", "norm")
-        real = known.select("kind", F.col("norm").alias("form"), F.lit(True).alias("real"))
+        real = shown.withColumn("real", F.lit(True))
         marked = (forms.withColumn("place", F.row_number().over(order)).join(real, ["kind", "form"], "left")
                   .withColumn("again", (F.col("place") > 1) | F.col("real").isNotNull()))
         again = materialize(marked.where("again").select("kind", "norm", (F.col("attempt") + 1).alias("attempt")), "pii-again")
@@ -228,14 +321,15 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
                 spans = entities(text) if text else []
                 pieces, at = [], 0
                 for s, e, kind, norm in spans:
-                    form = changed.get((kind, norm))
-                    if form is None:
-                        form = memory.get((kind, norm))
+                    shown = []
+                    for p in parts(kind, norm):
+                        form = changed.get((kind, p)) or memory.get((kind, p))
                         if form is None:
                             if len(memory) > 100_000:
                                 memory.clear()
-                            form = memory[kind, norm] = surrogate(key, kind, norm, 0)
-                    pieces += [text[at:s], rendered(text[s:e], kind, form)]
+                            form = memory[kind, p] = surrogate(key, kind, p, 0)
+                        shown.append(form)
+                    pieces += [text[at:s], rendered(text[s:e], kind, shown)]
                     at = e
                 n = [sum(x[2] == k for x in spans) for k in KINDS]
                 out.append((None if text is None else "".join(pieces) + text[at:], len(spans), *n,

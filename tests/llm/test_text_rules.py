@@ -1,6 +1,7 @@
 """Toxicity, PII surrogates and secrets."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -123,6 +124,95 @@ def test_collisions_draw_again_until_all_differ(spark, docs):
     assert P.replaced(docs([])).count() == 0
 
 
+def rounds_brute(known, key):
+    """The collision rounds over all entities at once, by their definition."""
+    shown = {(k, n.rsplit(":", 1)[-1] if k == "name" else n) for k, n in known}
+    attempt = dict.fromkeys(known, 0)
+    while True:
+        form = {e: P.surrogate(key, *e, a) for e, a in attempt.items()}
+        first = {}
+        for e in sorted(known, key=lambda e: (attempt[e], e[1])):
+            first.setdefault((e[0], form[e]), e)
+        again = [e for e in known if first[e[0], form[e]] != e or (e[0], form[e]) in shown]
+        if not again:
+            return sorted((*e, attempt[e], form[e]) for e in known)
+        for e in again:
+            attempt[e] += 1
+
+
+def test_surrogates_against_brute_force(docs):
+    """Texts put together from known entities and plain words: every entity and nothing else is replaced, alike
+    everywhere, and no two alike."""
+    rng = random.Random(56)
+    family = ["Smith", "Berg", "Петров", "Παππάς", "李明", "Ba", "Bapawa", "Müller-Weiß"]
+    things = ([("name", f"{t} ", n) for t in ("Mr", "Frau", "Dr") for n in family + ["John Smith", "Anna Berg", "Иван Петров"]]
+              + [("ip", "", f"{a}.{b}.3.{c}") for a, b in ((10, 0), (192, 168), (8, 9)) for c in range(5)]
+              + [("email", "", f"{c}@x.co") for c in "abcdefghijklmnop"] + [("phone", "", "415-555-12%02d" % i) for i in range(9)]
+              + [("phone", "", "+49 30 1234%02d" % i) for i in range(9)] + [("card", "", "4111 1111 1111 1111")])
+    rows, cut = [], {}
+    for d in range(150):
+        text, own = "", []
+        for _ in range(rng.randint(0, 9)):
+            kind, before, what = rng.choice(things)
+            text += rng.choice(["and then ", "x, ", "", "no 12 or "]) + before
+            own.append((kind, len(text), len(text) + len(what)))
+            text += what + rng.choice([" went. ", " | ", "\n", "; "])
+        rows.append((d, text))
+        cut[d] = own
+    rows += [(500, None), (501, "")]
+    key = "brute"
+    out = {r["doc_id"]: r for r in P.replaced(docs(rows), key).collect()}
+    known = sorted({(k, p) for _, t in rows for _, _, k, n in P.entities(t or "") for p in P.parts(k, n)})
+    final = {(k, n): f for k, n, _, f in rounds_brute(known, key)}
+    assert len({(k, f) for (k, _), f in final.items()}) == len(known)
+    became = {}
+    for d, t in rows:
+        assert [tuple(x.split(":")) for x in filter(None, out[d]["spans"].split(","))] == [(k, str(s), str(e)) for k, s, e in cut.get(d, [])]
+        want, at = "", 0
+        for s, e, kind, norm in P.entities(t or ""):
+            new = P.rendered(t[s:e], kind, [final[kind, p] for p in P.parts(kind, norm)])
+            became.setdefault((kind, norm), set()).add(new)
+            want, at = want + t[at:s] + new, e
+        assert out[d]["text"] == (None if t is None else want + t[at:])
+    assert all(len(v) == 1 for (k, _), v in became.items() if k != "phone")
+    assert len({v for k, vs in became.items() for v in vs}) == sum(map(len, became.values()))
+
+
+def test_rounds_equal_brute_force_where_many_collide(spark):
+    known = ([("name", f":latin:{a}{b}") for a in "abcdefghij" for b in ("", "x", "ba", "bata")] + [("name", f"{g}:latin:john") for g in "mfn"]
+             + [("name", f"m:latin:x{i}") for i in range(60)] + [("ip", f"1.2.{i}.{j}") for i in range(10) for j in range(10)] + [("email", f"{c}@x.co") for c in "abcdefghijklmnopqrstuvwxyz"])
+    got = P.distinct_surrogates(spark.createDataFrame(known + known[:5], "kind string, norm string"), "k").collect()
+    assert sorted(tuple(r) for r in got) == rounds_brute(known, "k")
+
+
+def test_names_of_many_people_stay_apart(docs):
+    names = ["".join(p).title() for p in itertools.product(("ka", "lor", "mi", "tes", "vun"), ("dan", "fel", "gor", "hum"), ("ba", "ce", "di", "fo", "gu"),
+                                                            ("ral", "sen", "tik"), ("", "a", "o", "us", "ix"))]
+    rows = [(i, f"{('Mr', 'Frau', 'Dr')[i % 3]} {n} left") for i, n in enumerate(names)]
+    shown = [r["text"].split(" ")[1] for r in P.replaced(docs(rows), "k").collect()]
+    assert len(set(shown)) == len(names) == 1500 and not set(shown) & set(names)
+
+
+def test_one_person_under_several_names(docs):
+    rows = [(1, "Mr John Smith met Dr John Smith. Later Smith left, JOHN stayed; Smithson did not."), (2, "Smith alone"),
+            (3, "Mr May said it may rain in May"), (4, "Dr Παπάς και Παπάς"), (5, "Mr 李明, 李明"), (6, "г-н Петров и Петров")]
+    out = {r["doc_id"]: r["text"] for r in P.replaced(docs(rows), "k").collect()}
+    words = out[1].replace(".", "").split(" ")
+    assert words[1:3] == words[5:7] and "Smith l" not in out[1] and "JOHN" not in out[1]
+    assert words[8] == words[2] and "Smithson" in out[1]
+    assert out[2] == "Smith alone" and out[3].endswith("it may rain in May")
+    assert [P.script(out[i].split(" ")[1]) for i in (4, 5, 6)] == ["greek", "cjk", "cyrillic"]
+    assert out[4].split(" ")[1] == out[4].split(" ")[3] and out[5].split(" ")[1].rstrip(",") == out[5].split(" ")[2]
+    assert "Παπάς" not in out[4] and "李明" not in out[5]
+
+
+def test_a_full_private_range_has_an_end(spark):
+    known = [("ip", f"192.168.{i >> 8}.{i & 255}") for i in range(60_000)]
+    forms = P.distinct_surrogates(spark.createDataFrame(known, "kind string, norm string"), "k").collect()
+    assert len({r["form"] for r in forms}) == 60_000 and not {r["form"] for r in forms} & {n for _, n in known}
+    assert all(r["form"].startswith(("192.168.", "10.", "fd00:")) for r in forms)
+
+
 def base_brute(text):
     text = text or ""
     out = []
