@@ -1,10 +1,12 @@
 """Toxicity with noisy-channel deobfuscation.
 
 A character trigram model is counted by Spark over all documents (a folded alphabet of 32 symbols,
-so it has 32^3 cells whatever the corpus). Disguised strings become a lattice: each character may
-stand for itself, for the letters it imitates, or for nothing (separators, repeats). Viterbi finds
-the restored string of least channel plus language-model cost. Strings without any disguise are
-their own only path.
+so it has 32^3 cells whatever the corpus). Strings with a look-alike, a separator or a doubled letter become
+a lattice: each character may stand for itself, for the letters it imitates, or for nothing (separators,
+repeats), and a separator may also end a word. Viterbi finds the restored words of least channel plus
+language-model cost; strings of more than ``WINDOW`` characters are decided window by window, so time and
+memory are in proportion to the text. Strings without any disguise are their own only path. Letters
+written apart ("b a d") are read as one such string. Features come from the string as written and as restored.
 
 The restored words and their beginnings are the features of a logistic regression. It is fitted on
 at most ``SAMPLE`` labelled training rows (those of the smallest id hash); features are the
@@ -34,14 +36,15 @@ from kestrel.llm.shingles import text_runs
 FOLDS = 5
 SAMPLE, FEATURES, MIN_DOCS = 20_000, 2_000, 4
 CACHE_WORDS = 200_000
-MAX_WORD = 40  # longer strings are identifiers, not words: they stay as they are
+MAX_WORD = 40  # of longer strings only the parts in ASCII are read, and the whole is not kept in memory
+WINDOW = 64  # characters that one path is searched over
 
 # What a character may imitate (fixed values).
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a",
             "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "¡": "i", "*": "aeiou", "#": "aeiou"}
 SEPARATORS = " .-_*~'`^,:;/\\"
 # Channel costs, as negative natural logarithms.
-KEEP, IMITATE, SKIP_SEPARATOR, SKIP_REPEAT, SKIP_OTHER, OTHER = 0.05, 0.7, 0.3, 0.6, 4.0, 3.0
+KEEP, IMITATE, SKIP_SEPARATOR, BREAK, SKIP_REPEAT, SKIP_OTHER = 0.05, 0.7, 0.3, 0.3, 0.6, 4.0
 
 BITS = 5
 _FOLD = np.zeros(256, np.int64)
@@ -87,9 +90,15 @@ def costs(counts: np.ndarray) -> np.ndarray:
 
 
 def restore(text: str, cost: np.ndarray) -> str:
-    """The least costly reading of one disguised string (lower case). States are the last two symbols."""
+    """The least costly reading of one disguised string (lower case), words parted by one space. States are
+    the last two symbols and the last letter."""
     states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
-    for char in text:
+    done = []
+    for i, char in enumerate(text):
+        if i and i % WINDOW == 0:
+            (total, out), way = min((v, k) for k, v in states.items())
+            done.append(out)
+            states = {way: (total, "")}
         options = [(c, IMITATE) for c in IMITATES.get(char, "")]
         if symbol(char):
             options.append((char, KEEP))
@@ -99,7 +108,7 @@ def restore(text: str, cost: np.ndarray) -> str:
             options.append(("", SKIP_OTHER))
         nxt: dict[tuple[int, int, str], tuple[float, str]] = {}
         for (a, b, last), (total, out) in states.items():
-            for letter, price in options:
+            for letter, price in options + [(" ", BREAK)] if char in SEPARATORS and last not in ("", " ") else options:
                 if letter:
                     s = symbol(letter)
                     way, value, word = (b, s, letter), total + price + cost[a, b, s], out + letter
@@ -112,47 +121,61 @@ def restore(text: str, cost: np.ndarray) -> str:
                 if (a, b, last) not in nxt or value < nxt[a, b, last][0]:
                     nxt[a, b, last] = (value, out)
         states = nxt
-    return min((total + cost[a, b, 0], out) for (a, b, _), (total, out) in states.items())[1]
+    return "".join(done) + min((total + cost[a, b, 0], out) for (a, b, _), (total, out) in states.items())[1]
 
 
 _EDGE = re.compile(r"^[^\w@$!|+(<€¡]+|(?:[.,;:!?)\]}\"'>]+|([^\w\s])\1{2,})+$")
-_REPEAT = re.compile(r"(.)\1\1")
-_SPELLED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|])(?:[ ._*-]+(?:[^\W_]|[@$!|])){3,}(?!\S)")
+_REPEAT = re.compile(r"(.)\1")
+_SPELLED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|])(?:[ ._*-]+(?:[^\W_]|[@$!|])){2,}(?!\S)")
+_ASCII = re.compile(r"[!-~€¡]+")
+_POINTS = ".,;:!?()[]{}\"'<>"
 
 
 def disguised(word: str) -> bool:
-    """Letters mixed with look-alikes or separators, or a character three times in a row."""
+    """Letters with a look-alike or separator among them, a doubled letter, or look-alikes alone that are no number."""
     if word.isalpha():
         return _REPEAT.search(word) is not None
-    if len(word) > MAX_WORD:
-        return False
-    letters = sum(map(str.isalpha, word))
-    return letters >= 2 and 2 * letters >= len(word) - 1 or letters >= 1 and not any(c in ".," for c in word) and 3 * letters >= len(word)
+    if any(map(str.isalpha, word)):
+        return any(c in IMITATES or c in SEPARATORS for c in word) or _REPEAT.search(word) is not None
+    return len(word) > 2 and all(c in IMITATES for c in word) and not word.lstrip("$+<").isdigit()
 
 
 @dataclass
 class Restorer:
     cost: np.ndarray
     limit: int = CACHE_WORDS
-    known: dict[str, str] = field(default_factory=dict)
+    known: dict[str, frozenset[str]] = field(default_factory=dict)
 
     def word(self, raw: str) -> str:
-        """The restored form of one string between white space, in lower case."""
-        out = self.known.get(raw)
-        if out is None:
+        """The restored form of one string between white space, in lower case; a long one as it is."""
+        plain = _EDGE.sub("", raw)
+        return restore(plain, self.cost) if len(plain) <= MAX_WORD and disguised(plain) else plain
+
+    def readings(self, raw: str) -> frozenset[str]:
+        """The words that one string between white space may stand for: as written and as restored."""
+        found = self.known.get(raw)
+        if found is None:
             plain = _EDGE.sub("", raw)
-            out = restore(plain, self.cost) if plain and disguised(plain) else plain
-            if len(self.known) < self.limit:
-                self.known[raw] = out
-        return out
+            words = {plain}
+            for piece in [plain] if len(plain) <= MAX_WORD else _ASCII.findall(plain):
+                if disguised(piece):
+                    words.update(restore(piece, self.cost).split(" "))
+            masked = raw.strip(_POINTS)
+            if len(plain) < 3 and masked != plain and ("*" in masked or "#" in masked):
+                words.add(masked)  # a word of which little is left
+            found = frozenset(words - {""})
+            if len(self.known) < self.limit and len(raw) <= WINDOW:
+                self.known[raw] = found
+        return found
+
+    def spelled(self, low: str) -> set[str]:
+        """Words whose letters are written apart."""
+        return {w for m in _SPELLED.finditer(low) if any(map(str.isalpha, m.group()))
+                for w in restore(m.group(), self.cost).split(" ") if w}
 
     def words(self, text: str) -> set[str]:
         low = text.lower()
-        out = set(map(self.word, set(low.split())))
-        for m in _SPELLED.finditer(low):
-            out.add(restore(m.group(), self.cost))
-        out.discard("")
-        return out
+        return self.spelled(low).union(*map(self.readings, set(low.split())))
 
 
 def features(words: set[str]) -> set[str]:
@@ -237,9 +260,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         def telling(raw: str) -> tuple:
             got = known.get(raw)
             if got is None:
-                word = restorer.word(raw)
-                got = tuple(index[f] for f in features({word}) if f in index) if word else ()
-                if len(known) < CACHE_WORDS:
+                got = tuple(index[f] for f in features(restorer.readings(raw)) if f in index)
+                if len(known) < CACHE_WORDS and len(raw) <= WINDOW:
                     known[raw] = got
             return got
 
@@ -249,8 +271,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 for t in texts:
                     low = t.decode().lower()
                     found = set().union(*map(telling, set(low.split())))
-                    for s in _SPELLED.finditer(low):
-                        found.update(index[f] for f in features({restore(s.group(), m.cost)}) if f in index)
+                    found.update(index[f] for f in features(restorer.spelled(low)) if f in index)
                     score.append(m.bias + sum(m.weight[i] for i in sorted(found)))
                 p = 1 / (1 + np.exp(-np.clip(np.array(score, float), -500, 500)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)).cast(pa.int64()), pa.array(p)],

@@ -45,6 +45,7 @@ def test_viterbi_is_the_best_path_of_all():
             for total, (a, b), last, out in paths:
                 options = [(x, X.IMITATE) for x in X.IMITATES.get(c, "")]
                 options += [(c, X.KEEP)] if X.symbol(c) else []
+                options += [(" ", X.BREAK)] if c in X.SEPARATORS and last not in ("", " ") else []
                 options += [("", X.SKIP_SEPARATOR)] if c in X.SEPARATORS else [] if X.symbol(c) else [("", X.SKIP_OTHER)]
                 for x, price in options:
                     if x:
@@ -57,10 +58,27 @@ def test_viterbi_is_the_best_path_of_all():
             paths = nxt
         return min((t + table[a, b, 0], o) for t, (a, b), _, o in paths)[1]
 
-    for text in ("1d1ot", "st*pid", "mmo0n", "g.a.r", "$1m|"):
+    for text in ("1d1ot", "st*pid", "mmo0n", "g.a.r", "$1m|", "an-id", "a. b", "mm--oo"):
         assert X.restore(text, table) == every(text)
 
 
+def test_strings_of_any_share_and_length_are_restored():
+    words = "asshole shit idiot ass stupid you are an bad letter person worthless good moron number class garden".split()
+    f = X._FOLD[np.frombuffer((" " + " ".join(words * 80) + " ").encode(), np.uint8)]
+    table = X.costs(np.bincount((f[:-2] << 2 * X.BITS) | (f[1:-1] << X.BITS) | f[2:], minlength=1 << 3 * X.BITS))
+    r = X.Restorer(table)
+    for raw, word in (("4$$h0l3", "asshole"), ("$#!t", None), ("1d10+", "idiot"), ("@$$", "ass"), ("stuupid", "stupid"), ("letter", "letter"), ("good", "good")):
+        assert word is None or word in r.readings(raw), (raw, r.readings(raw))
+        assert raw in r.readings(raw)
+    assert X.disguised("$#!t") and "f***" in r.readings("f***,") and r.readings("$100") == {"$100"} and r.readings("2024") == {"2024"}
+    joined = "you.are.an.idiot.and.a.worthless.person.number.one"
+    assert len(joined) > X.MAX_WORD and {"idiot", "worthless", "person"} <= r.readings(joined)
+    assert {"you", "are", "an", "idiot"} <= r.words("y o u a r e a n i d i o t") and "bad" in r.words("b a d")
+    assert r.words("1 2 3 4 5") == set("12345") and r.words("") == set()
+    many = "_".join(["st.u.p1d"] * 5000)
+    assert "stupid" in r.readings(many) and many not in r.known
+
+
 def test_toxicity_is_learned_without_the_held_out_fold(spark, docs):
     rng = random.Random(51)
     rows, labels = [], []
