@@ -1,11 +1,13 @@
 """Quality rules: n-gram perplexity under a modified Kneser-Ney model, with bands by language.
 
-Spark counts the character 4-grams of every distinct text by language (a folded alphabet of 64
-symbols, so a language has at most 64^4 of them whatever the corpus; texts are told apart by 64-bit
-hashes, and copies count once, or the model would learn a copied text by heart). From these counts the
+Spark counts the 4-grams of every distinct text by language. Texts are written in 64 symbols without
+loss, a byte as one symbol or two (see ``_code``), and end with a symbol that is counted and predicted
+like the others; so every byte is modelled and a language still has at most 64^4 4-grams whatever the
+corpus. Texts are told apart by 64-bit hashes, and copies count once, or the model would learn a copied
+text by heart. From these counts the
 interpolated modified Kneser-Ney probabilities and back-off weights of orders 1 to 4 are
 computed and kept in arrays sorted by (language, n-gram) key; a lookup is a binary search. Each
-document gets its perplexity per character; a language's band is the median of the log
+document gets its perplexity per byte, the end being one more; a language's band is the median of the log
 perplexity plus and minus a number of robust standard deviations (median absolute deviation)
 over the distinct texts of the language that pass the base rules, so copies do not narrow it. A
 language with a zero deviation or fewer than MIN_TEXTS texts gets at least the deviation of all
@@ -40,32 +42,51 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 SYMBOLS = "#*$%&|<>"
 
 
-def _fold() -> np.ndarray:
-    """Byte -> symbol: letters by case, white space, digits as one, marks, other bytes in eight groups."""
-    out = np.zeros(256, np.int64)
-    out[ord("a"):ord("z") + 1] = np.arange(1, 27)
-    out[ord("A"):ord("Z") + 1] = np.arange(27, 53)
-    out[ord("0"):ord("9") + 1] = 53
-    out[[9, 10, 11, 12, 13]] = 54
-    out[32] = 55
-    out[128:] = 56 + np.arange(128) % 8
-    return out  # 0: other ASCII
+BOUND = 55  # around every text, never inside one
 
 
-FOLD = _fold()
+def _code() -> tuple[np.ndarray, np.ndarray]:
+    """Byte -> (symbol, second symbol or -1), so that a text's symbols give back its bytes.
+
+    Letters, space, newline, three marks and the first bytes of the commonest two-byte characters have a
+    symbol of their own. A byte that goes on a UTF-8 character is its six bits: the first byte tells how many
+    follow. Every other byte is a mark for its range and its six bits. A text never holds the byte 255.
+    """
+    every = np.arange(256)
+    first, second = np.array([56, 57, 0, 58])[every >> 6], every & 63
+    one = [*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), ord(" "), ord("\n"), 255]
+    first[one], second[one] = [*range(1, 53), 53, 54, BOUND], -1
+    common = [*b".,-", 0xC3, 0xD0, 0xD1]
+    first[common], second[common] = np.array([59, 60, 61, 62, 63, 0]), -1
+    follow = slice(128, 192)
+    first[follow], second[follow] = every[follow] & 63, -1
+    return first.astype(np.int32), second.astype(np.int32)
+
+
+FIRST, SECOND = _code()
 
 
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram ending at each byte, first place of each text and the end). Texts start after a run of newlines."""
-    pad = b"\n" * (order - 1)
-    data = FOLD[np.frombuffer(pad + pad.join(texts), np.uint8)]
-    g = np.zeros(len(data), np.int64)
+    """(n-gram ending at each symbol and at the end of each text, first place of each text and the end).
+
+    Every byte of a text is one symbol or two; bounds stand before the text, and one more is its end.
+    """
+    pad = b"\xff" * (order - 1)
+    raw = np.frombuffer(pad + b"".join(t + pad for t in texts), np.uint8)
+    size = np.where(SECOND >= 0, 2, 1).astype(np.int8)[raw]
+    at = np.cumsum(size, dtype=np.int64) - 1  # the last symbol of each byte
+    data = np.zeros(int(at[-1]) + 1 if len(at) else 0, np.int32)
+    two = size == 2
+    data[at] = np.where(two, SECOND[raw], FIRST[raw])
+    data[at[two] - 1] = FIRST[raw[two]]
+    g = np.zeros(len(data), np.int32 if order * SYMBOL_BITS < 32 else np.int64)
     for j in range(order):
-        g[j:] |= data[:len(data) - j] << (SYMBOL_BITS * j)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    keep = np.arange(int(starts[-1])) + np.repeat((np.arange(len(texts)) + 1) * (order - 1), sizes)
-    return g[keep], starts
+        g[j:] |= data[:len(data) - j].astype(g.dtype) << (SYMBOL_BITS * j)
+    ends = at[np.cumsum([len(t) + order - 1 for t in texts], dtype=np.int64)] if texts else np.zeros(0, np.int64)
+    keep = np.ones(len(g), bool)
+    keep[at[raw == 255]] = False
+    keep[ends] = True
+    return g[keep], np.concatenate([[0], ends + 1 - (order - 1) * (np.arange(len(texts)) + 1) + np.arange(len(texts))])
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +120,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                     [pa.array([lang] * len(part), pa.string()), pa.array(part.astype(np.int32)),
                      pa.array(n[at:at + 100_000].astype(np.int64))], names=["lang", "gram", "n"])
 
-    part = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text").mapInArrow(
+    part = docs.where(F.octet_length("text") > 0).select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text").mapInArrow(
         run, "lang string, gram int, n long")
     return part.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -241,9 +262,8 @@ def scored(docs: DataFrame, model: KneserNey, keep: list[str]) -> DataFrame:
                     g, starts = grams([texts[i] for i in rows])
                     codes, seen = pd.factorize(g)
                     sums = np.concatenate([[0.0], np.cumsum(kn.log_prob(int(lang), seen)[codes])])
-                    size = np.diff(starts)
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        ppl[rows] = -(sums[starts[1:]] - sums[starts[:-1]]) / size
+                    size = np.array([len(texts[i]) for i in rows])
+                    ppl[rows] = np.where(size, -(sums[starts[1:]] - sums[starts[:-1]]) / (size + 1), np.nan)
                 base = [base_metrics(t.decode(), t) for t in texts]
                 cols = [batch.column(2 + i).slice(lo, len(texts)) for i in range(len(names))]
                 metric = [pa.array(list(x), pa.int64() if i < 5 else pa.bool_()) for i, x in enumerate(zip(*base))]

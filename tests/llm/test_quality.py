@@ -68,6 +68,63 @@ def test_kneser_ney_against_recursion():
     assert np.exp(model.log_prob(0, context + np.arange(64))).sum() == pytest.approx(1.0)
 
 
+def read_back(codes):
+    """The bytes that a text's symbols stand for, read one after the other as a decoder would."""
+    whole = {int(Q.FIRST[b]): b for b in range(256) if Q.SECOND[b] < 0 and not 128 <= b < 192}
+    pair = {(int(Q.FIRST[b]), int(Q.SECOND[b])): b for b in range(256) if Q.SECOND[b] >= 0}
+    out, at, follow = [], 0, 0
+    while at < len(codes):
+        if follow:
+            out.append(128 | codes[at])
+            follow -= 1
+        else:
+            if codes[at] in whole:
+                out.append(whole[codes[at]])
+            else:
+                out.append(pair[codes[at], codes[at + 1]])
+                at += 1
+            follow = (out[-1] >= 0xC0) + (out[-1] >= 0xE0) + (out[-1] >= 0xF0) if out[-1] != 255 else 0
+        at += 1
+    return bytes(out)
+
+
+def test_symbols_leave_nothing_of_a_text_out():
+    rng = random.Random(40)
+    pool = "".join(map(chr, range(128))) + "éßñжЯђ漢字語かな가한🙂𝔘\u07ff\u0800\uffff"
+    texts = ["", "a", "7", "é", "漢", pool] + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    raw = [t.encode() for t in texts]
+    g, starts = Q.grams(raw)
+    for t, lo, hi in zip(raw, starts, starts[1:]):
+        own = [int(x) & 63 for x in g[lo:hi]]
+        assert own[-1] == Q.BOUND and read_back(own[:-1]) == t
+        before = [Q.BOUND] * (Q.ORDER - 1) + own
+        for i, x in enumerate(g[lo:hi]):
+            assert [int(x) >> 6 * j & 63 for j in range(Q.ORDER - 1, -1, -1)] == before[i:i + Q.ORDER]
+    assert len({bytes(map(int, g[a:b] & 63)) for a, b in zip(starts, starts[1:])}) == len(set(texts))
+
+
+def test_other_scripts_digits_and_marks_are_told_apart(docs):
+    """Junk that a fold of bytes to classes (non-ASCII modulo 8, digits as one, marks as one) cannot see."""
+    rng = random.Random(41)
+    words = ["река", "камень", "свет", "облако", "рынок", "окно", "семь", "люди", "сад", "письмо"]
+    clean = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(30, 120))), "ru") for i in range(120)]
+    junk = [(500 + i, "".join(chr(0x430 + rng.randrange(4) * 8 + (ord(c) & 7)) if c != " " else c for c in clean[i][1]), "ru") for i in range(4)]
+    number = lambda digits, mark: "".join(rng.choice(digits) for _ in range(3)) + rng.choice(mark)
+    sums = [(600 + i, " ".join(number("2468", "+;") for _ in range(rng.randint(30, 90))), "sum") for i in range(120)]
+    odd = [(800, " ".join(number("13579", "|~^`@!?") for _ in range(60)), "sum")]
+    got = {r["doc_id"] for r in Q.keep_good(docs(clean + junk + sums + odd)).collect()}
+    assert got == {i for i, _, _ in clean + sums}
+
+
+def test_the_end_of_a_text_counts(spark, docs):
+    rng = random.Random(42)
+    clean, _ = corpus(rng)
+    whole = "river stone light cloud green under market window seven people garden letter."
+    d = docs(clean + [(900, whole, "en"), (901, whole[:-3], "en"), (902, "", "en"), (903, None, "en")])
+    rows = {r["c0"]: r["log_ppl"] for r in Q.scored(d, Q.fit_model(d), ["doc_id"]).collect()}
+    assert rows[901] > rows[900] and rows[902] is None and rows[903] is None
+
+
 def corpus(rng):
     words = ["river", "stone", "light", "cloud", "green", "under", "market", "window", "seven", "people", "garden", "letter"]
     clean = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(30, 120))) + ".", "en") for i in range(150)]
