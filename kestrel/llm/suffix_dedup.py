@@ -8,15 +8,18 @@ seed occurs again. Steps:
 1. Each block of rows asks, packed by key bucket, which seeds occur again and which whole texts are
    copies (one block owns the text; the others send nothing more, as all their bytes go).
 2. A block cuts the stretches with repeating seeds, groups them by the bin of the seed, sorts each
-   bin's distinct stretches as a run, and sends the run front-coded: the length shared with the
-   string before, and the rest.
+   bin's distinct stretches by seed and bytes as a run, and sends the run front-coded: the length
+   shared with the string before, and the rest. A block that cuts more than HELD bytes sends
+   several runs a bin.
 3. A bin merges its runs with a loser tree. Every player carries the length that it shares with the
    last winner, so a match compares only bytes that are not known to be equal. The merged order is
-   the bin's suffix order; equal stretches meet, and neighbours of one seed give the windows that
-   occur again: wholly for a stretch found twice, else by the seed-aligned windows of its seed.
+   the suffix order within each seed; equal stretches meet, and a seed, whose stretches come one
+   after the other, gives the windows that occur again: wholly for a stretch found twice, else by
+   the seed-aligned windows of its seed.
 4. The windows go back to the block, which marks the bytes.
 
-Blocks, buckets and bins grow with the input. Matches never cross documents.
+Blocks, buckets and bins grow with the input. A block holds the stretches of one run a bin, a bin
+those of one seed. Matches never cross documents.
 
 Defined results: a null text is the empty text; texts shorter than LENGTH lose nothing; a null
 ``doc_id`` is kept; repeated rows are copies of each other; other columns are ignored; an empty
@@ -28,8 +31,10 @@ windows are compared byte by byte, windows of a seed with a stretch over LONG by
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +49,8 @@ LENGTH, SEED = 200, 150
 LONG = 17 * LENGTH - 1  # bytes of a stretch of 16 * LENGTH windows
 BLOCK_ROWS = 4096
 BUCKET_DOCS = 4000
+HELD = 16 << 20  # bytes of cut stretches that a block holds before it sends them
+KEY = 8  # bytes of the seed in front of a sent stretch
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: list[np.ndarray] = []
@@ -259,9 +266,8 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, int, int, bytes]]:
             node //= 2
 
 
-SEND = [("bin", pa.int32()), ("block", pa.string()), ("shared", _LISTS), ("rest", _LISTS), ("blob", pa.binary()),
-        ("seeds", _LISTS), ("counts", _LISTS)]
-SEND_DDL = "bin int, block string, shared array<long>, rest array<long>, blob binary, seeds array<long>, counts array<long>"
+SEND = [("bin", pa.int32()), ("block", pa.string()), ("shared", _LISTS), ("rest", _LISTS), ("blob", pa.binary()), ("counts", _LISTS)]
+SEND_DDL = "bin int, block string, shared array<long>, rest array<long>, blob binary, counts array<long>"
 
 
 class Replies:
@@ -273,22 +279,39 @@ class Replies:
         text = keys & 1 == 1
         self.seeds = np.unique(keys[~text])
         self.copies = dict(zip(keys[text].tolist(), (owned[text] == 1).tolist()))
-        self.windows: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, f, e in zip(*(x.tolist() for x in self._lists(right.filter(pa.array(kinds == WINDOWS))))):
-            self.windows[k].append((f, e))
+        keys, first, last = self._lists(right.filter(pa.array(kinds == WINDOWS)))
+        by = np.argsort(keys)
+        self.keys, self.first, self.last = keys[by], first[by], last[by]
 
     @staticmethod
     def _lists(part: pa.Table) -> list[np.ndarray]:
         return [part.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("keys", "first", "last")]
 
-    def repeating(self, text: bytes) -> Iterator[tuple[int, int, bytes]]:
-        """(seed, first window, bytes) of the stretches whose seed occurs again."""
+    def repeating(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(seed, first window, end of the bytes) of the stretches whose seed occurs again."""
         seeds, first, end = stretches(text)
-        at = np.minimum(np.searchsorted(self.seeds, seeds & ~np.int64(1)), max(0, len(self.seeds) - 1))
-        if len(self.seeds):
-            for i in np.flatnonzero(self.seeds[at] == seeds & ~np.int64(1)).tolist():
-                f = int(first[i])
-                yield int(seeds[i]), f, text[f:int(end[i]) + LENGTH - 1]
+        asked = seeds & ~np.int64(1)
+        at = np.minimum(np.searchsorted(self.seeds, asked), max(0, len(self.seeds) - 1))
+        pick = self.seeds[at] == asked if len(self.seeds) else np.zeros(len(seeds), bool)
+        return seeds[pick], first[pick], end[pick] + LENGTH - 1
+
+    def windows(self, stretch_keys: list[int]) -> Iterator[tuple[int, int, int]]:
+        """(place in the list, first window, last window + 1) of the told windows of stretches."""
+        asked = np.array(stretch_keys, np.int64)
+        lo, hi = np.searchsorted(self.keys, asked), np.searchsorted(self.keys, asked, "right")
+        for i in np.flatnonzero(hi > lo).tolist():
+            for j in range(lo[i], hi[i]):
+                yield i, int(self.first[j]), int(self.last[j])
+
+
+def run_rows(block: str, found: dict[int, dict[bytes, int]]) -> list[tuple]:
+    """A row of SEND for each bin of (seed and stretch -> times, at most 2)."""
+    rows = []
+    for b, strings in found.items():
+        order = sorted(strings)
+        shared, rest, blob = front_code(order)
+        rows.append((b, block, np.array(shared), np.array(rest), zstd.compress(blob), np.array([strings[s] for s in order])))
+    return rows
 
 
 def sorted_runs(docs: DataFrame, replies: DataFrame, bins: int) -> DataFrame:
@@ -296,7 +319,8 @@ def sorted_runs(docs: DataFrame, replies: DataFrame, bins: int) -> DataFrame:
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         told, sent = Replies(right), set()
-        found: dict[int, dict[bytes, list[int]]] = defaultdict(dict)
+        found: dict[int, dict[bytes, int]] = defaultdict(dict)
+        rows, held, block = [], 0, left.column("block")[0].as_py() if len(left) else ""
         for _, texts in text_runs(left.column("text").combine_chunks()):
             for t in texts:
                 weight, k = 1, text_key(t) | 1
@@ -305,54 +329,65 @@ def sorted_runs(docs: DataFrame, replies: DataFrame, bins: int) -> DataFrame:
                         continue
                     sent.add(k)
                     weight = 2
-                for seed, _, s in told.repeating(t):
-                    here = found[int(buckets_of(np.array([seed & ~1]), bins)[0])]
+                seeds, first, end = told.repeating(t)
+                names = seeds.astype(">i8").tobytes()
+                bin_of = buckets_of(seeds & ~np.int64(1), bins).tolist()
+                for i, (b, f, e) in enumerate(zip(bin_of, first.tolist(), end.tolist())):
+                    here, s = found[b], names[KEY * i:KEY * i + KEY] + t[f:e]
                     if s in here:
-                        here[s][1] = 2
+                        here[s] = 2
                     else:
-                        here[s] = [seed, weight]
-        rows = []
-        for b, strings in found.items():
-            order = sorted(strings)
-            seeds, counts = zip(*(strings[s] for s in order))
-            shared, rest, blob = front_code(order)
-            rows.append((b, left.column("block")[0].as_py(), shared, rest, zstd.compress(blob), list(seeds), list(counts)))
-        return pa.Table.from_batches([record(rows, SEND)])
+                        here[s] = weight
+                        held += len(s)
+                if held > HELD:
+                    rows += run_rows(block, found)
+                    found.clear()
+                    held = 0
+        return pa.Table.from_batches([record(rows + run_rows(block, found), SEND)])
 
     return docs.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(cut, SEND_DDL)
 
 
+def merged_stretches(runs: list[Run], counts: list[list[int]]) -> Iterator[list]:
+    """[seed and stretch, times, runs that sent it] of the distinct strings of runs, in order."""
+    now: list | None = None
+    for run, at, shared, s in merge(runs):
+        if now and shared == len(s) == len(now[0]):
+            now[1] = 2
+            now[2].append(run)
+        else:
+            if now:
+                yield now
+            now = [s, counts[run][at], [run]]
+    if now:
+        yield now
+
+
 def repeated_windows(runs: DataFrame) -> DataFrame:
     """Kind WINDOWS: the windows of sent stretches that occur again, from first to before last, by key of the stretch."""
 
     def join(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        same: list[list] = []  # [string, times, seed, runs that sent it], in suffix order
-        for run, at, shared, s in merge([Run(r["shared"], r["rest"], zstd.decompress(r["blob"])) for r in rows]):
-            if same and shared == len(s) == len(same[-1][0]):
-                same[-1][1] = 2
-                same[-1][3].append(run)
-            else:
-                same.append([s, rows[run]["counts"][at], rows[run]["seeds"][at], [run]])
-        by_seed: dict[int, list] = defaultdict(list)
-        for x in same:
-            by_seed[x[2]].append(x)
-        out: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
-        for group_ in by_seed.values():
+        blocks = group.column("block").to_pylist()
+        lists = {c: group.column(c).to_pylist() for c in ("shared", "rest", "counts")}
+        readers = [Run(shared, rest, zstd.decompress(blob.as_py()))
+                   for shared, rest, blob in zip(lists["shared"], lists["rest"], group.column("blob"))]
+        out: dict[str, tuple[array, array, array]] = defaultdict(lambda: (array("q"), array("q"), array("q")))
+        for _, same in groupby(merged_stretches(readers, lists["counts"]), lambda x: x[0][:KEY]):
+            of_seed = [(s[KEY:], times, members) for s, times, members in same]
             count: dict[bytes, int] = {}
-            packed = max(len(s) for s, _, _, _ in group_) > LONG  # one key form for all stretches of a seed
-            if any(times == 1 for _, times, _, _ in group_):
-                for s, times, _, _ in group_:
+            packed = max(len(s) for s, _, _ in of_seed) > LONG  # one key form for all stretches of a seed
+            if any(times == 1 for _, times, _ in of_seed):
+                for s, times, _ in of_seed:
                     for w in windows(s, packed):
                         count[w] = count.get(w, 0) + times
-            for s, times, _, members in group_:
+            for s, times, members in of_seed:
                 spans = [(0, len(s) - LENGTH + 1)] if times > 1 else spans_of([count[w] > 1 for w in windows(s, packed)])
                 key = text_key(s)
                 for f, e in spans:
                     for run in members:
-                        for column, value in zip(out[rows[run]["block"]], (key, f, e)):
+                        for column, value in zip(out[blocks[run]], (key, f, e)):
                             column.append(value)
-        return pa.Table.from_batches([record([(b, WINDOWS, *cols) for b, cols in out.items()], REPLY)])
+        return pa.Table.from_batches([record([(b, WINDOWS, *map(np.array, cols)) for b, cols in out.items()], REPLY)])
 
     return runs.groupBy("bin").applyInArrow(join, REPLY_DDL)
 
@@ -375,12 +410,12 @@ def rest_of(text: bytes, told: Replies) -> tuple[int, int, bytes]:
     if len(text) >= LENGTH and text_key(text) | 1 in told.copies:
         return len(text), 1, b""
     step = None
-    for _, at, s in told.repeating(text):
-        for f, e in told.windows.get(text_key(s), ()):
-            if step is None:
-                step = np.zeros(len(text) + 1, np.int64)
-            step[at + f] += 1
-            step[at + e - 1 + LENGTH] -= 1
+    _, first, end = told.repeating(text)
+    for i, f, e in told.windows([text_key(text[a:z]) for a, z in zip(first.tolist(), end.tolist())]):
+        if step is None:
+            step = np.zeros(len(text) + 1, np.int32)
+        step[first[i] + f] += 1
+        step[first[i] + e - 1 + LENGTH] -= 1
     if step is None:
         return 0, 0, text
     gone = np.cumsum(step[:-1]) > 0

@@ -72,6 +72,32 @@ def test_blocks_and_bins(docs, monkeypatch):
     compare(S.deduplicate(docs(rows).withColumn("keys", F.lit(1)).withColumn("block", F.lit("x"))), rows)
 
 
+def test_blocks_that_send_several_runs_a_bin(docs, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(S, "HELD", 700)
+    base, other = words(rng, 120), words(rng, 150)
+    rows = [(i, base[:rng.randint(0, 400)] + words(rng, 10) + base[rng.randint(0, 300):]) for i in range(12)]
+    rows += [(20 + i, words(rng, 5) + other) for i in range(3)] + [(30, other), (31, other), (32, "ab" * 400), (33, "x" * 3000)]
+    compare(S.deduplicate(docs(rows)), rows)
+
+
+def test_a_block_holds_one_run_and_a_bin_one_seed(monkeypatch):
+    """What a bin holds at a time is a seed's stretches: merging gives a seed's strings one after the other."""
+    rng = random.Random(12)
+    passage = [words(rng, 100) for _ in range(20)]
+    texts = [(words(rng, 9) + p + words(rng, 9)).encode() for p in passage for _ in range(4)]
+    runs = []
+    for part in range(0, len(texts), 8):
+        found = {}
+        for t in texts[part:part + 8]:
+            for seed, f, e in zip(*S.stretches(t)):
+                found[int(seed).to_bytes(8, "big", signed=True) + t[f:e + S.LENGTH - 1]] = 1
+        (row,) = S.run_rows("b", {0: found})
+        runs.append((S.Run(row[2].tolist(), row[3].tolist(), S.zstd.decompress(row[4])), row[5].tolist()))
+    seeds = [s[:S.KEY] for s, _, _ in S.merged_stretches([r for r, _ in runs], [n for _, n in runs])]
+    assert len(set(seeds)) == 1 + sum(a != b for a, b in zip(seeds, seeds[1:]))
+
+
 def test_empty_table(docs):
     assert S.deduplicate(docs([])).count() == 0
 
