@@ -22,27 +22,32 @@ from pyspark.sql import functions as F
 from kestrel.llm import decontaminate as _decontaminate
 from kestrel.llm import minhash_odd, pfair_mix, quality_kn, token_output
 from kestrel.llm.common import materialize, table
-from kestrel.session import shared_folder
+from kestrel.session import configure, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return quality_kn.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return minhash_odd.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return _decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return pfair_mix.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the row order of ``docs``' files, which is the mixing order."""
+    configure(spark)
     part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
     placed = docs.select("doc_id", "text", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
     path = shared_folder(spark, "tokens")

@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ from kestrel.llm.shingles import text_runs
 ORDER, SYMBOL_BITS = 4, 6
 LOW_DEVIATIONS, HIGH_DEVIATIONS = 5.0, 5.0
 MIN_TEXTS = 30
+SCORED_BYTES = 1 << 20  # of texts looked at together; a byte takes about 50 bytes of arrays
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 SYMBOLS = "#*$%&|<>"
 
@@ -74,7 +76,7 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     pad = b"\xff" * (order - 1)
     raw = np.frombuffer(pad + b"".join(t + pad for t in texts), np.uint8)
     size = np.where(SECOND >= 0, 2, 1).astype(np.int8)[raw]
-    at = np.cumsum(size, dtype=np.int64) - 1  # the last symbol of each byte
+    at = np.cumsum(size, dtype=np.int32 if len(raw) < 1 << 30 else np.int64) - 1  # the last symbol of each byte
     data = np.zeros(int(at[-1]) + 1 if len(at) else 0, np.int32)
     two = size == 2
     data[at] = np.where(two, SECOND[raw], FIRST[raw])
@@ -82,7 +84,7 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     g = np.zeros(len(data), np.int32 if order * SYMBOL_BITS < 32 else np.int64)
     for j in range(order):
         g[j:] |= data[:len(data) - j].astype(g.dtype) << (SYMBOL_BITS * j)
-    ends = at[np.cumsum([len(t) + order - 1 for t in texts], dtype=np.int64)] if texts else np.zeros(0, np.int64)
+    ends = at[np.cumsum([len(t) + order - 1 for t in texts], dtype=np.int64)].astype(np.int64) if texts else np.zeros(0, np.int64)
     keep = np.ones(len(g), bool)
     keep[at[raw == 255]] = False
     keep[ends] = True
@@ -242,36 +244,40 @@ def base_metrics(text: str, raw: bytes) -> tuple:
     return n, len(text) - white, sum(map(text.count, SYMBOLS)), dup, repeat, failed
 
 
-def scored(docs: DataFrame, model: KneserNey, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of each row and the METRICS; ``log_ppl`` is null for an empty text."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def scored(docs: DataFrame, model: KneserNey | Broadcast, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of each row and the METRICS; ``log_ppl`` is null for an empty text.
+
+    A text goes to the workers once, also where it is kept. Give the broadcast of a model that scores twice.
+    """
+    shared = model if isinstance(model, Broadcast) else docs.sparkSession.sparkContext.broadcast(model)
     names = [f"c{i}" for i in range(len(keep))]
     schema = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, names)]).schema
+    sent = [c for c in keep if c != "text"]
+    place = [1 if c == "text" else 2 + sent.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kn = shared.value
         index = {x: i for i, x in enumerate(kn.langs)}
         for batch in batches:
             langs = [index.get(x, len(index)) for x in batch.column(0).to_pylist()]
-            for lo, texts in text_runs(batch.column(1)):
+            for lo, texts in text_runs(batch.column(1), SCORED_BYTES):
                 ppl = np.full(len(texts), np.nan)
                 here = np.array(langs[lo:lo + len(texts)])
                 for lang in np.unique(here):
                     rows = np.flatnonzero(here == lang)
                     g, starts = grams([texts[i] for i in rows])
                     codes, seen = pd.factorize(g)
-                    sums = np.concatenate([[0.0], np.cumsum(kn.log_prob(int(lang), seen)[codes])])
+                    sums = np.add.reduceat(kn.log_prob(int(lang), seen)[codes], starts[:-1])
                     size = np.array([len(texts[i]) for i in rows])
-                    ppl[rows] = np.where(size, -(sums[starts[1:]] - sums[starts[:-1]]) / (size + 1), np.nan)
+                    ppl[rows] = np.where(size, -sums / (size + 1), np.nan)
                 base = [base_metrics(t.decode(), t) for t in texts]
-                cols = [batch.column(2 + i).slice(lo, len(texts)) for i in range(len(names))]
+                cols = [batch.column(i).slice(lo, len(texts)) for i in place]
                 metric = [pa.array(list(x), pa.int64() if i < 5 else pa.bool_()) for i, x in enumerate(zip(*base))]
                 yield pa.RecordBatch.from_arrays([*cols, *metric, pa.array(ppl, from_pandas=True)],
                                                  names=[*names, *[m.split()[0] for m in METRICS.split(", ")]])
 
     source = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("_lang"), F.col("text").alias("_text"),
-                         *[F.col(f"`{c}`").alias(a) for c, a in zip(keep, names)])
+                         *[F.col(f"`{c}`").alias(f"s{i}") for i, c in enumerate(sent)])
     from pyspark.sql.types import StructType, _parse_datatype_string
 
     return source.mapInArrow(run, StructType(schema.fields + _parse_datatype_string(METRICS).fields))
@@ -313,7 +319,7 @@ def with_verdict(rows: DataFrame, limits: DataFrame, low: float = LOW_DEVIATIONS
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass the base rules and their language's band, with all their columns."""
-    model = fit_model(docs)
+    model = docs.sparkSession.sparkContext.broadcast(fit_model(docs))
     texts = docs.select("lang", "text", F.xxhash64("text").alias("digest"))
     measured = materialize(scored(texts, model, ["lang", "digest"]), "quality")
     limits = materialize(bands(measured, "c1"), "bands")

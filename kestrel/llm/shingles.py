@@ -50,8 +50,13 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lens = ends - starts
     first = np.concatenate([[0], np.cumsum(lens)[:-1]])
     power = np.cumprod(np.full(int(lens.max()), _BASE, np.uint64), dtype=np.uint64)
-    place = np.arange(int(lens.sum())) - np.repeat(first, lens)
-    h = np.add.reduceat((data[word].astype(np.uint64) + np.uint64(1)) * power[place], first)
+    small = np.int32 if len(data) < 1 << 31 else np.int64
+    place = np.arange(int(lens.sum()), dtype=small)
+    place -= np.repeat(first.astype(small), lens)
+    terms = power[place]  # in place from here: these arrays are eight times the texts
+    del place
+    terms *= data[word].astype(np.uint16) + np.uint16(1)
+    h = np.add.reduceat(terms, first)
     return mix(h + lens.astype(np.uint64) * _PLACE[63]), bounds
 
 

@@ -25,6 +25,8 @@ DEFAULTS = {
     # Split a hot join key even where the join's partitioning feeds an aggregate (q4, q9).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of long texts go to the workers few at a time: a task holds several copies of a batch.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
     # Broadcast only below a fixed size: AQE re-checks the real size at runtime.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.streaming.stateStore.providerClass":

@@ -170,5 +170,21 @@ def test_language_of_two_texts_keeps_both(docs):
     assert Q.keep_good(docs(two)).count() == 2
 
 
+def test_text_is_sent_once_and_kept_in_its_place(spark, docs, monkeypatch):
+    clean, junk = corpus(random.Random(43))
+    d = docs(clean + junk + [(900, None, "en"), (901, "", None)])
+    model = spark.sparkContext.broadcast(Q.fit_model(d))
+    one = Q.scored(d, model, ["doc_id"]).collect()
+    monkeypatch.setattr(Q, "SCORED_BYTES", 700)
+    out = Q.scored(d, model, ["text", "lang", "doc_id", "text"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    sent = next(line for line in plan.splitlines() if "AS _text" in line)
+    assert len(re.findall(r"\btext#", sent)) == 1
+    rows = out.collect()
+    assert [(r["c0"], r["c1"], r["c2"], r["c3"]) for r in rows] == [(x["text"], x["lang"], x["doc_id"], x["text"]) for x in d.collect()]
+    assert [r["log_ppl"] or 0.0 for r in rows] == pytest.approx([r["log_ppl"] or 0.0 for r in one])
+    assert [r[4:10] for r in rows] == [r[1:7] for r in one]
+
+
 def test_empty_table(docs):
     assert Q.keep_good(docs([])).count() == 0
