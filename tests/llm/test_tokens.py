@@ -26,6 +26,37 @@ def test_pieces_encode_like_whole_texts():
             assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(batch)] == [plain(t) for t in batch]
 
 
+def test_new_words_of_letters_go_straight_to_the_model():
+    plain, e, handed = encoder(), T.ChunkEncoder(T.tokenizer_path()), []
+    inner = e._ids
+    e._ids = lambda text: handed.append(text) or inner(text)
+    texts = ["zorblat quixem, Étrefou.\nOuèeno zorblat.\nquixem"]
+    assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(texts)] == [plain(t) for t in texts]
+    assert handed == []
+    texts = ["zorblat 3x, Étrefou² a|b\nvexil x×y don't"]
+    assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(texts)] == [plain(t) for t in texts]
+    assert not any(w in "".join(handed) for w in ("zorblat", "vexil"))
+
+
+def test_words_of_all_kinds_encode_like_whole_texts():
+    rng, plain = random.Random(43), encoder()
+    parts = ["a", "é", ".", ",", "'s", "1", "é.", "ė,", "×", "÷.", "ŗ,", "一.", "\xa0", "\x85", "\u2003", "\u3000", "“x”", "ª.", "|", "|a", "ɏ.", "ʰ.", "ж,", "の,"]
+    for cache in (T.CACHE_PIECES, 5, 40):
+        e = T.ChunkEncoder(T.tokenizer_path(), cache)
+        for _ in range(200):
+            batch = [rng.choice(" \n").join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 9))) for _ in range(8)]
+            assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(batch)] == [plain(t) for t in batch]
+
+
+def test_memory_of_pieces_is_bounded():
+    rng, plain, e = random.Random(44), encoder(), T.ChunkEncoder(T.tokenizer_path(), 100)
+    for _ in range(40):
+        batch = [" ".join("".join(rng.choice("abcdé") for _ in range(6)) + rng.choice(["", ".", ","]) for _ in range(10)) for _ in range(3)]
+        assert [np.frombuffer(x, "<i4").tolist() for x in e.encode(batch)] == [plain(t) for t in batch]
+        assert len(e.cache) <= 100 and e.pieces <= 101
+    assert len(e.size) < 1000 and len(e.pool) < 5000
+
+
 def test_special_tokens_are_the_librarys():
     plain, e = encoder(), T.ChunkEncoder(T.tokenizer_path())
     texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n\ny z", "no <|endoftext |>", None, "", "\n", " ", "a\n b. c,"]
